@@ -1,0 +1 @@
+"""No streaming operators: every analysis in this library is a batch job."""

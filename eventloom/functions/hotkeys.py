@@ -46,8 +46,10 @@ class HotKeys:
 
 
 def target_tasks(df: DataFrame) -> int:
-    """Reduce tasks the session plans for."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Reduce tasks the session plans for, before adaptive execution merges any."""
+    conf = df.sparkSession.conf
+    first = conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return int(first or conf.get("spark.sql.shuffle.partitions"))
 
 
 def find_hot_keys(
@@ -76,11 +78,12 @@ def find_hot_keys(
             F.count(F.lit(1)).alias("n"),
         )
     )
-    found = lanes.agg(
+    # grouped by a constant, so that an empty table gives no row instead of an empty sketch
+    found = lanes.groupBy(F.lit("all").alias("all")).agg(
         F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {tracked}), {limit})").alias("top"),
         F.sum("n").alias("n"),
     ).first()
-    if not found or not found["n"]:
+    if found is None:
         return HotKeys(names)
     total = found["n"]
     pieces = tuple(

@@ -25,42 +25,62 @@ from eventloom.functions.salt import pick_spread
 
 SLICE = "slice_no"
 _HASH, _TIE = "slice_hash", "slice_tie"
+# most slices per key, and cut points per block of the two-step lookup
+MAX_SLICES = 4096
+BLOCK = 64
 
 
 @dataclass(frozen=True)
 class Cuts:
-    """Per hot key hash: ordered cut points, and cut points inside shared moments."""
+    """Per hot key hash: its cut points in order, in blocks, and for every cut
+    point the cut points inside the moment that starts there, if it is shared."""
 
     keys: tuple[str, ...]
     rows: tuple[tuple, ...]
     schema: str
 
 
-def _quantiles(column: str, pieces: int) -> Column:
-    return F.percentile_approx(column, [i / pieces for i in range(1, pieces)])
+def _quantiles(column: str, finest: int, pieces: Column) -> Column:
+    """Aggregate: the pieces - 1 cut points, thinned out of finest - 1 quantiles."""
+    steps = [i / finest for i in range(1, finest)]
+    points = F.percentile_approx(column, steps, max(10_000, 10 * finest))
+    place = lambda i: F.call_function("div", i * F.lit(finest), pieces) - F.lit(1)
+    return F.transform(
+        F.sequence(F.lit(1), pieces - F.lit(1)), lambda i: F.get(points, place(i).cast("int"))
+    )
+
+
+def _blocks(points: list) -> list[list]:
+    return [points[i : i + BLOCK] for i in range(0, len(points), BLOCK)]
 
 
-def _thin(points: list, pieces: int) -> list:
-    """Every k-th of the finest cut points, for a key that needs fewer pieces."""
-    finest = len(points) + 1
-    return [points[(i * finest) // pieces - 1] for i in range(1, pieces)]
+def _rank(blocks: Column, before) -> Column:
+    """How many points ``before`` holds for: blocks by their first point, then one block."""
+    passed = F.size(F.filter(blocks, lambda b: before(F.get(b, F.lit(0)))))
+    inside = F.size(F.filter(F.get(blocks, passed - 1), before))
+    return F.when(passed == 0, F.lit(0)).otherwise((passed - 1) * F.lit(BLOCK) + inside)
 
 
 def find_cuts(
     df: DataFrame, keys: Sequence[str], order_by: str, tie: Column, hot: HotKeys
 ) -> Cuts:
-    """Cut points of the hot keys; at most one per piece, read once and frozen.
+    """Cut points of the hot keys; one per piece, read once and frozen.
 
     Quantile sketches are merged from partial ones, so no task sees a key whole.
     """
-    pieces = dict(hot.pieces)
-    finest = max(pieces.values())
+    limited = HotKeys(hot.keys, tuple((h, min(n, MAX_SLICES)) for h, n in hot.pieces))
+    finest = max(n for _, n in limited.pieces)
     order_type = df.schema[order_by].dataType.simpleString()
     hot_rows = df.select(key_hash(keys).alias(_HASH), F.col(order_by), tie.alias(_TIE)).join(
-        F.broadcast(hot.table(df.sparkSession)), F.col(_HASH) == F.col("hot_hash"), "left_semi"
+        F.broadcast(limited.table(df.sparkSession)), F.col(_HASH) == F.col("hot_hash")
     )
-    found = hot_rows.groupBy(_HASH).agg(_quantiles(order_by, finest).alias("cuts")).collect()
-    cuts = {r[_HASH]: _thin(r["cuts"], pieces[r[_HASH]]) for r in found if r["cuts"]}
+    found = (
+        hot_rows.where(F.col(order_by).isNotNull())
+        .groupBy("hot_hash", "hot_pieces")
+        .agg(_quantiles(order_by, finest, F.col("hot_pieces")).alias("cuts"))
+        .collect()
+    )
+    cuts = {r["hot_hash"]: r["cuts"] for r in found}
 
     # a moment on at least two cut points holds more than a piece of its key
     shared = [
@@ -72,51 +92,53 @@ def find_cuts(
     inner: dict[tuple, list] = {}
     if shared:
         busy = df.sparkSession.createDataFrame(
-            [(h, m) for h, m, _ in shared], f"busy_hash bigint, busy_moment {order_type}"
+            shared, f"busy_hash bigint, busy_moment {order_type}, busy_pieces int"
         )
         most = max(times for _, _, times in shared)
-        rows = (
-            hot_rows.join(
-                F.broadcast(busy),
-                (F.col(_HASH) == F.col("busy_hash")) & (F.col(order_by) == F.col("busy_moment")),
-            )
-            .groupBy("busy_hash", "busy_moment")
-            .agg(_quantiles(_TIE, most).alias("cuts"))
+        same = (F.col(_HASH) == F.col("busy_hash")) & (F.col(order_by) == F.col("busy_moment"))
+        split = (
+            hot_rows.join(F.broadcast(busy), same)
+            .groupBy("busy_hash", "busy_moment", "busy_pieces")
+            .agg(_quantiles(_TIE, most, F.col("busy_pieces")).alias("cuts"))
             .collect()
         )
-        found_inner = {(r["busy_hash"], r["busy_moment"]): r["cuts"] for r in rows}
-        for h, moment, times in shared:
-            if found_inner.get((h, moment)):
-                inner[h, moment] = _thin(found_inner[h, moment], times)
-    table = tuple(
-        (h, points, [(m, ties) for (hh, m), ties in inner.items() if hh == h])
-        for h, points in cuts.items()
-    )
+        inner = {(r["busy_hash"], r["busy_moment"]): _blocks(r["cuts"]) for r in split}
+
+    def ties(h, points):
+        """The inner cuts at the first cut point of each shared moment."""
+        firsts = [i == 0 or points[i - 1] != p for i, p in enumerate(points)]
+        return [inner.get((h, p)) if first else None for p, first in zip(points, firsts, strict=True)]
+
+    rows = tuple((h, _blocks(points), ties(h, points)) for h, points in cuts.items())
     schema = (
-        f"cut_hash bigint, cut_points array<{order_type}>, "
-        f"cut_ties array<struct<moment:{order_type}, ties:array<bigint>>>"
+        f"cut_hash bigint, cut_points array<array<{order_type}>>, "
+        "cut_ties array<array<array<bigint>>>"
     )
-    return Cuts(tuple(keys), table, schema)
+    return Cuts(tuple(keys), rows, schema)
 
 
 def add_slices(df: DataFrame, order_by: str, tie: Column, cuts: Cuts) -> DataFrame:
     """Add the slice number: 0 for ordinary keys, rising with the order in hot ones."""
     table = df.sparkSession.createDataFrame(list(cuts.rows), cuts.schema)
-    below = F.size(F.filter("cut_points", lambda c: c < F.col(order_by)))
-    reached = F.size(F.filter("cut_points", lambda c: c <= F.col(order_by)))
-    own = F.filter("cut_ties", lambda t: t["moment"] == F.col(order_by))
-    passed = F.size(F.filter(F.flatten(F.transform(own, lambda t: t["ties"])), lambda c: c <= F.col(_TIE)))
+    now = F.col(order_by)
+    below = _rank(F.col("cut_points"), lambda c: c < now)
+    reached = _rank(F.col("cut_points"), lambda c: c <= now)
+    passed = _rank(F.get("cut_ties", F.col("slice_below")), lambda c: c <= F.col(_TIE))
     number = (
-        F.when(F.col("cut_points").isNull(), F.lit(0))
-        .when(reached - below > 1, below + 1 + passed)
-        .otherwise(reached)
+        F.when(F.col("cut_points").isNull() | now.isNull(), F.lit(0))
+        .when(
+            F.col("slice_reached") - F.col("slice_below") > 1,
+            F.col("slice_below") + 1 + F.coalesce(passed, F.lit(0)),
+        )
+        .otherwise(F.col("slice_reached"))
     )
     return (
         df.withColumn(_HASH, key_hash(cuts.keys))
         .withColumn(_TIE, tie)
         .join(F.broadcast(table), F.col(_HASH) == F.col("cut_hash"), "left")
-        .withColumn(SLICE, number)
-        .drop(_HASH, "cut_points", "cut_ties")
+        .withColumns({"slice_below": below, "slice_reached": reached})
+        .withColumn(SLICE, number.cast("int"))
+        .drop(_HASH, "cut_points", "cut_ties", "slice_below", "slice_reached")
     )
 
 

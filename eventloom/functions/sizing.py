@@ -14,10 +14,10 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of the pruned plan, or None where it is not offered."""
     try:
-        stats = df._jdf.queryExecution().optimizedPlan().stats()
-        return int(stats.sizeInBytes().toString())
-    except (AttributeError, TypeError):
+        plan = df._jdf.queryExecution().optimizedPlan()
+    except AttributeError:
         return None
+    return int(str(plan.stats().sizeInBytes()))
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:

@@ -63,7 +63,7 @@ def hot_key_rows(spark, sf_dir):
 
 def _events_and_profile(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
-    return events, profile(spark, sf_dir).select("user_id", "user_segment")
+    return events, profile(spark, sf_dir)
 
 
 def enrich_shuffle(spark, sf_dir):

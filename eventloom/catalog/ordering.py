@@ -38,13 +38,13 @@ def write_range_layout(spark, sf_dir):
 def range_files(spark, sf_dir):
     """Files of the time-ordered layout whose time range overlaps another file's."""
     path, files = version_roots(spark, sf_dir)["v1"]
-    place = with_row_place(read_root(spark, path).select("event_timestamp", "event_id", "_metadata"))
+    place = with_row_place(read_root(spark, path).select("event_timestamp", "_metadata"))
     ranges = place.groupBy("file_path").agg(
-        F.min(F.struct("event_timestamp", "event_id")).alias("low"),
-        F.max(F.struct("event_timestamp", "event_id")).alias("high"),
+        F.min("event_timestamp").alias("low"),
+        F.max("event_timestamp").alias("high"),
         F.count(F.lit(1)).alias("n"),
     )
-    # part names rise with the range, so each file must start after the one before
+    # part names rise with the range, so no file may start before the one above ends
     named = ranges.withColumn("next_file", F.regexp_extract("file_path", r"part-(\d+)", 1).cast("int") + 1)
     following = ranges.select(
         F.regexp_extract("file_path", r"part-(\d+)", 1).cast("int").alias("next_file"),
@@ -52,7 +52,7 @@ def range_files(spark, sf_dir):
     )
     return named.join(following, "next_file", "left").agg(
         F.sum("n").alias("rows"),
-        F.count_if(F.col("next_low") <= F.col("high")).alias("overlaps"),
+        F.count_if(F.col("next_low") < F.col("high")).alias("overlaps"),
         (F.count(F.lit(1)) <= files).alias("files_ok"),
     )
 

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from eventloom.functions.assign import null_where, pick_uniform, pick_weighted
 from eventloom.functions.sizing import file_count
-from eventloom.operators.joins import enrich
 from eventloom.sources.scratch import scratch_path
 from eventloom.sources.writers import write_ordered
 
@@ -64,12 +63,9 @@ def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """User profiles: segment and home nation per user."""
-    nation = table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("home_nation")
-    )
-    return enrich(table(spark, sf_dir, "customer"), nation, "c_nationkey", strategy="broadcast").select(
-        F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("user_segment"), "home_nation"
+    """User profiles: the segment per user."""
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("user_id"), F.col("c_mktsegment").alias("user_segment")
     )
 
 
@@ -121,8 +117,7 @@ ACTIVITY_SQL = """activity as (
   from events)"""
 
 PROFILE_SQL = """profile as (
-  select c_custkey as user_id, c_mktsegment as user_segment, n_name as home_nation
-  from customer join nation on c_nationkey = n_nationkey)"""
+  select c_custkey as user_id, c_mktsegment as user_segment from customer)"""
 
 VERSIONS_SQL = (
     ACTIVITY_SQL

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 def padded_id(prefix: str, number: Column, width: int) -> Column:
     """``prefix`` and the number padded with zeros; wider numbers keep all digits."""
-    return F.format_string(f"{prefix}%0{width}d", number.cast("bigint"))
+    digits = number.cast("bigint").cast("string")
+    return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0")))
 
 
 def stable_draw(*keys: Column) -> Column:

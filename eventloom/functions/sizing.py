@@ -21,7 +21,11 @@ def estimated_bytes(df: DataFrame) -> int | None:
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
-    """True only when the estimate is known and within the bound."""
+    """True only when the estimate is known and within the bound.
+
+    Catalyst overestimates joins and aggregates, so a derived dimension may be
+    refused that would fit; callers always have another way.
+    """
     size = estimated_bytes(df)
     return size is not None and size <= max_bytes
 
@@ -31,7 +35,7 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> D
     return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
 
 
-def file_count(df: DataFrame, target_bytes: int = 256 * 1024 * 1024, minimum: int = 1) -> int:
+def file_count(df: DataFrame, target_bytes: int = 128 * 1024 * 1024, minimum: int = 1) -> int:
     """Files needed to hold ``df`` at about ``target_bytes`` each."""
     size = estimated_bytes(df) or 0
     return max(minimum, math.ceil(size / target_bytes))

@@ -12,13 +12,13 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 
 
 def shared_values(a: DataFrame, b: DataFrame, column: str) -> DataFrame:
-    """Values found in both tables."""
-    return a.select(column).intersect(b.select(column))
+    """Values found in both tables; each side shrinks to its values before they meet."""
+    return a.select(column).distinct().intersect(b.select(column).distinct())
 
 
 def unknown_values(df: DataFrame, allowed: DataFrame, column: str) -> DataFrame:
     """Values of a column that the allowed list does not hold."""
-    return df.select(column).subtract(allowed.select(column))
+    return df.select(column).distinct().subtract(allowed.select(column).distinct())
 
 
 def rows_outside(df: DataFrame, column: str, allowed: list[str]) -> DataFrame:

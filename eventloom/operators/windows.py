@@ -237,14 +237,21 @@ def running_anchor(
         return df.withColumn(name, F.first(time).over(upto) + F.make_dt_interval(secs=moved))
 
     sliced = add_slices(df, time, F.col(tie), cuts).drop(_TIE)
-    head = F.min_by(F.struct(time, step), F.struct(time, tie))
-    totals = (
-        sliced.where(F.col("cut_hash").isNotNull())
+    hot_rows = sliced.where(F.col("cut_hash").isNotNull())
+    sums = hot_rows.groupBy(*names, SLICE).agg(F.sum(step).alias("slice_sum"))
+    # a key's first row is in slice 0, or in 1 when its moment is shared
+    heads = (
+        hot_rows.where(F.col(SLICE) <= 1)
+        .groupBy(*names, SLICE)
+        .agg(F.min(F.struct(time, tie, step)).alias("slice_head"))
+    )
+    per_slice = (
+        sums.unionByName(heads, allowMissingColumns=True)
         .groupBy(*names, SLICE)
-        .agg(F.sum(step).alias("slice_sum"), head.alias("slice_head"))
+        .agg(F.max("slice_sum").alias("slice_sum"), F.min("slice_head").alias("slice_head"))
     )
     earlier = Window.partitionBy(*names).orderBy(SLICE)
-    carried = totals.select(
+    carried = per_slice.select(
         *names,
         SLICE,
         F.coalesce(
@@ -260,7 +267,7 @@ def running_anchor(
     rows = (
         sliced.drop("cut_hash")
         .withColumn("inside_sum", F.sum(step).over(upto))
-        .withColumn("inside_head", F.first(F.struct(time, step)).over(upto))
+        .withColumn("inside_head", F.first(F.struct(time, tie, step)).over(upto))
     )
     start = F.coalesce(F.col("key_head"), F.col("inside_head"))
     moved = F.coalesce("carried_sum", F.lit(0)) + F.col("inside_sum") - start[step]

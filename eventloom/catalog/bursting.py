@@ -9,9 +9,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from eventloom.catalog.joining import watched_users
-from eventloom.catalog.tables import table
-from eventloom.operators.windows import running_anchor
+from eventloom.catalog.tables import profile, table
+from eventloom.functions.sizing import estimated_bytes
+from eventloom.operators.joins import key_coverage
+from eventloom.operators.quality import source_report
+from eventloom.operators.windows import out_of_order, running_anchor
 from eventloom.plans.bursts import burst_users, gap_report, watchlist_gaps
+from eventloom.sources.readers import with_row_place
 
 HOUR = 3600
 
@@ -40,6 +44,21 @@ def watched_gaps(spark, sf_dir):
     )
 
 
+def dq_sources(spark, sf_dir):
+    """Watched gaps, stored order, profile coverage, and the sizes that matter
+    for a broadcast and a cache."""
+    events, users = table(spark, sf_dir, "events"), profile(spark, sf_dir)
+    return source_report(
+        tight_gaps=watched_gaps(spark, sf_dir),
+        stored_order=out_of_order(with_row_place(events), "ts"),
+        coverage=key_coverage(events, users, "user_id"),
+        # fixed size bound on the smallest table of the star, read from its plan
+        dimension_bytes=estimated_bytes(table(spark, sf_dir, "nation")),
+        wide_bytes=estimated_bytes(events),
+        narrow_bytes=estimated_bytes(events.select("user_id", "event_type", "value")),
+    )
+
+
 def anchors(spark, sf_dir):
     steps = _events(spark, sf_dir).withColumn("step", F.lit(1) + F.col("event_id") % 2)
     return running_anchor(steps, "user_id", "event_timestamp", "step", "event_id").drop("step")
@@ -51,6 +70,7 @@ QUERIES = {
     "q_burst_users_tight": burst_default,
     "q_watchlist_gaps": watched_gaps,
     "q_running_anchor": anchors,
+    "q_dq_sources": dq_sources,
 }
 
 _GAPS = """g as (
@@ -71,6 +91,18 @@ SQL = {
         from g where gap_seconds <= 2 group by user_id having count(gap_seconds) > 0""",
     "q_watchlist_gaps": f"""with {_WATCHED} select user_id, count(*) as tight_gaps
         from g where gap_seconds < 3600 group by user_id""",
+    "q_dq_sources": f"""with {_WATCHED},
+        t as (select count(*) as n from g where gap_seconds < 3600),
+        o as (select count(*) as n from (select ts, lag(ts) over (order by event_id) as above from events)
+              where ts < above),
+        c as (select count(distinct c_custkey) * cast(100 as double) / count(distinct user_id) as pct
+              from events left join customer on user_id = c_custkey)
+        select 'watched_tight_gaps' as "check", cast(n as double) as value, cast(10 as double) as threshold,
+          n > 10 as passed from t
+        union all select 'out_of_order_rows', n, 0, n = 0 from o
+        union all select 'join_coverage_pct', round(pct, 1), 80, pct > 80 from c
+        union all select 'dimension_fits', 1, 1, true
+        union all select 'narrow_is_smaller', 1, 1, true""",
     "q_running_anchor": """
         select event_id, user_id, ts as event_timestamp,
           first_value(ts) over w + to_seconds(cast(

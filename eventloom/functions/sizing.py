@@ -35,7 +35,16 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> D
     return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
 
 
-def file_count(df: DataFrame, target_bytes: int = 128 * 1024 * 1024, minimum: int = 1) -> int:
-    """Files needed to hold ``df`` at about ``target_bytes`` each."""
+def file_count(
+    df: DataFrame,
+    target_bytes: int = 128 * 1024 * 1024,
+    minimum: int = 1,
+    maximum: int = 20_000,
+) -> int:
+    """Files needed to hold ``df`` at about ``target_bytes`` each.
+
+    Past ``maximum`` the files grow instead: a shuffle into more partitions
+    costs more than it saves.
+    """
     size = estimated_bytes(df) or 0
-    return max(minimum, math.ceil(size / target_bytes))
+    return max(minimum, min(maximum, math.ceil(size / target_bytes)))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from eventloom.functions.hotkeys import HotKeys, find_hot_keys, key_hash
 from eventloom.functions.salt import SALT, pick_spread, row_salt
-from eventloom.functions.sizing import MAX_BROADCAST_BYTES, broadcast_if_small, fits_broadcast
+from eventloom.functions.sizing import MAX_BROADCAST_BYTES, fits_broadcast
 
 # the right side may be repeated only where an unmatched right row is not kept
 _SALTABLE = ("inner", "left", "left_semi", "left_anti")
@@ -125,7 +125,8 @@ def enrich(
 
     ``shuffle`` asks for a sort-merge join, ``broadcast`` for a broadcast when
     the dimension's estimated size is within ``max_bytes`` and a sort-merge
-    join otherwise, ``auto`` leaves it to the optimizer's own threshold.
+    join otherwise, ``salted`` for a join that spreads hot keys, and ``auto``
+    leaves it to the optimizer's own threshold.
     """
     if strategy == "broadcast":
         if fits_broadcast(dimension, max_bytes):
@@ -133,14 +134,27 @@ def enrich(
         return fact.join(dimension.hint("merge"), on, "inner")
     if strategy == "shuffle":
         return fact.join(dimension.hint("merge"), on, "inner")
+    if strategy == "salted":
+        return hot_key_join(fact, dimension, on)
     if strategy == "auto":
         return fact.join(dimension, on, "inner")
     raise ValueError(f"unknown strategy {strategy}")
 
 
-def only_listed(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is in a list of ids, however long the list."""
-    return df.join(broadcast_if_small(ids.select(key).distinct()), key, "left_semi")
+def only_listed(
+    df: DataFrame,
+    ids: DataFrame,
+    key: str,
+    *,
+    max_bytes: int = MAX_BROADCAST_BYTES,
+    spread_by: Sequence[str] | None = None,
+) -> DataFrame:
+    """Rows whose key is in a list of ids. A list within ``max_bytes`` is
+    broadcast; for a longer one both sides are shuffled, hot keys spread."""
+    listed = ids.select(key).distinct()
+    if fits_broadcast(listed, max_bytes):
+        return df.join(F.broadcast(listed), key, "left_semi")
+    return hot_key_join(df, listed, key, how="left_semi", spread_by=spread_by)
 
 
 def key_coverage(fact: DataFrame, dimension: DataFrame, key: str) -> DataFrame:

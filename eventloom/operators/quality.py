@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,3 +76,42 @@ def quality_report(
         check_row("purchase_error_pct", F.round(money_share, 1), 0.0, money_share > 0.0),
     ]
     return totals.select(F.inline(F.array(*rows)))
+
+
+def one_check(df: DataFrame, check: str, value: Column, threshold: float, passed: Column) -> DataFrame:
+    """A check over a one-row table, as a one-row table."""
+    return df.select(F.inline(F.array(check_row(check, value, threshold, passed))))
+
+
+def source_report(
+    *,
+    tight_gaps: DataFrame,
+    stored_order: DataFrame,
+    coverage: DataFrame,
+    dimension_bytes: int | None,
+    wide_bytes: int | None,
+    narrow_bytes: int | None,
+    more_than_gaps: int = 10,
+    min_coverage: float = 80.0,
+    max_dimension_bytes: int = 10 * 1024 * 1024,
+) -> DataFrame:
+    """Checks on a fact table and its dimension, one row each.
+
+    ``tight_gaps`` counts short gaps per watched user, ``stored_order`` the
+    out-of-order rows per file, ``coverage`` is one row from ``key_coverage``.
+    The byte figures come from plan statistics; unknown ones fail their check.
+    """
+    gaps = tight_gaps.agg(F.coalesce(F.sum("tight_gaps"), F.lit(0)).alias("v"))
+    order = stored_order.agg(F.coalesce(F.sum("out_of_order"), F.lit(0)).alias("v"))
+    known = coverage.select(F.round("coverage_pct", 1).alias("v"), "coverage_pct")
+    v = F.col("v")
+    fits = dimension_bytes is not None and dimension_bytes < max_dimension_bytes
+    slim = None not in (wide_bytes, narrow_bytes) and narrow_bytes < wide_bytes
+    rows = [
+        one_check(gaps, "watched_tight_gaps", v, more_than_gaps, v > more_than_gaps),
+        one_check(order, "out_of_order_rows", v, 0, v == 0),
+        one_check(known, "join_coverage_pct", v, min_coverage, F.col("coverage_pct") > min_coverage),
+        one_check(known, "dimension_fits", F.lit(float(fits)), 1, F.lit(fits)),
+        one_check(known, "narrow_is_smaller", F.lit(float(slim)), 1, F.lit(slim)),
+    ]
+    return reduce(DataFrame.unionByName, rows)

@@ -33,7 +33,7 @@ BLOCK = 64
 @dataclass(frozen=True)
 class Cuts:
     """Per hot key hash: its cut points in order, in blocks, and for every cut
-    point the cut points inside the moment that starts there, if it is shared."""
+    point the inner cut points of the shared moment that starts there, if any."""
 
     keys: tuple[str, ...]
     rows: tuple[tuple, ...]
@@ -105,40 +105,40 @@ def find_cuts(
         inner = {(r["busy_hash"], r["busy_moment"]): _blocks(r["cuts"]) for r in split}
 
     def ties(h, points):
-        """The inner cuts at the first cut point of each shared moment."""
+        """Shared moment and its inner cuts, at the moment's first cut point."""
         firsts = [i == 0 or points[i - 1] != p for i, p in enumerate(points)]
-        return [inner.get((h, p)) if first else None for p, first in zip(points, firsts, strict=True)]
+        return [
+            (p, inner[h, p]) if first and (h, p) in inner else None
+            for p, first in zip(points, firsts, strict=True)
+        ]
 
     rows = tuple((h, _blocks(points), ties(h, points)) for h, points in cuts.items())
     schema = (
         f"cut_hash bigint, cut_points array<array<{order_type}>>, "
-        "cut_ties array<array<array<bigint>>>"
+        f"cut_ties array<struct<moment:{order_type}, points:array<array<bigint>>>>"
     )
     return Cuts(tuple(keys), rows, schema)
 
 
 def add_slices(df: DataFrame, order_by: str, tie: Column, cuts: Cuts) -> DataFrame:
-    """Add the slice number: 0 for ordinary keys, rising with the order in hot ones."""
+    """Add the slice number: 0 for ordinary keys, rising with the order in hot ones.
+
+    A row's slice is the number of cut points before it, so the first row of a
+    key is always in slice 0. A shared moment covers several cut points; its
+    rows go on counting at the inner ones.
+    """
     table = df.sparkSession.createDataFrame(list(cuts.rows), cuts.schema)
-    now = F.col(order_by)
-    below = _rank(F.col("cut_points"), lambda c: c < now)
-    reached = _rank(F.col("cut_points"), lambda c: c <= now)
-    passed = _rank(F.get("cut_ties", F.col("slice_below")), lambda c: c <= F.col(_TIE))
-    number = (
-        F.when(F.col("cut_points").isNull() | now.isNull(), F.lit(0))
-        .when(
-            F.col("slice_reached") - F.col("slice_below") > 1,
-            F.col("slice_below") + 1 + F.coalesce(passed, F.lit(0)),
-        )
-        .otherwise(F.col("slice_reached"))
+    shared = F.get("cut_ties", F.col(SLICE))
+    inner = F.when(
+        shared["moment"] == F.col(order_by), _rank(shared["points"], lambda c: c < F.col(_TIE))
     )
     return (
         df.withColumn(_HASH, key_hash(cuts.keys))
         .withColumn(_TIE, tie)
         .join(F.broadcast(table), F.col(_HASH) == F.col("cut_hash"), "left")
-        .withColumns({"slice_below": below, "slice_reached": reached})
-        .withColumn(SLICE, number.cast("int"))
-        .drop(_HASH, "cut_points", "cut_ties", "slice_below", "slice_reached")
+        .withColumn(SLICE, F.coalesce(_rank(F.col("cut_points"), lambda c: c < F.col(order_by)), F.lit(0)))
+        .withColumn(SLICE, (F.col(SLICE) + F.coalesce(inner, F.lit(0))).cast("int"))
+        .drop(_HASH, "cut_points", "cut_ties")
     )
 
 
@@ -239,9 +239,8 @@ def running_anchor(
     sliced = add_slices(df, time, F.col(tie), cuts).drop(_TIE)
     hot_rows = sliced.where(F.col("cut_hash").isNotNull())
     sums = hot_rows.groupBy(*names, SLICE).agg(F.sum(step).alias("slice_sum"))
-    # a key's first row is in slice 0, or in 1 when its moment is shared
     heads = (
-        hot_rows.where(F.col(SLICE) <= 1)
+        hot_rows.where(F.col(SLICE) == 0)
         .groupBy(*names, SLICE)
         .agg(F.min(F.struct(time, tie, step)).alias("slice_head"))
     )
@@ -304,13 +303,23 @@ def out_of_order(
 
     Files are cut into blocks of stored rows, so a huge file is many tasks;
     the seams between blocks are checked from one first and last time per block.
+    Rows travel under a hash of the path, which is far shorter than the path;
+    the paths come back at the end, and two with one hash would stop the job.
     """
+    names = (
+        df.select(file_column)
+        .distinct()
+        .groupBy(F.xxhash64(file_column).alias("file_key"))
+        .agg(F.min(file_column).alias(file_column), F.count(F.lit(1)).alias("paths"))
+    )
+    clash = F.raise_error(F.lit("two files share a path hash")).cast("string")
+    names = names.select("file_key", F.when(F.col("paths") > 1, clash).otherwise(F.col(file_column)).alias(file_column))
     block = F.floor(F.col(row_column) / F.lit(block_rows)).alias("block")
-    rows = df.select(file_column, block, row_column, time)
-    inside = Window.partitionBy(file_column, "block").orderBy(row_column)
+    rows = df.select(F.xxhash64(file_column).alias("file_key"), block, row_column, time)
+    inside = Window.partitionBy("file_key", "block").orderBy(row_column)
     blocks = (
         rows.withColumn("above", F.lag(time).over(inside))
-        .groupBy(file_column, "block")
+        .groupBy("file_key", "block")
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.count_if(F.col(time) < F.col("above")).alias("bad"),
@@ -318,12 +327,13 @@ def out_of_order(
             F.max_by(time, row_column).alias("last_time"),
         )
     )
-    seams = Window.partitionBy(file_column).orderBy("block")
-    return (
+    seams = Window.partitionBy("file_key").orderBy("block")
+    per_file = (
         blocks.withColumn("before", F.lag("last_time").over(seams))
-        .groupBy(file_column)
+        .groupBy("file_key")
         .agg(
             F.sum("n").alias("rows"),
             (F.sum("bad") + F.count_if(F.col("first_time") < F.col("before"))).alias("out_of_order"),
         )
     )
+    return per_file.join(names, "file_key").select(file_column, "rows", "out_of_order")

@@ -25,7 +25,8 @@ def build_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.parquet.filterPushdown", "true")
+        # nanosecond Parquet timestamps arrive as numbers, see sources.readers.nanos_as_time
+        .config("spark.sql.legacy.parquet.nanosAsLong", "true")
     )
     if master is not None:
         builder = builder.master(master)

@@ -61,6 +61,24 @@ def read_part(spark: SparkSession, root: str, file_name: str) -> DataFrame:
     return spark.read.parquet(root).where(F.col("_metadata.file_name") == file_name)
 
 
+def nanos_as_time(df: DataFrame, *columns: str) -> DataFrame:
+    """Turn nanosecond counts into zoneless timestamps with microseconds.
+
+    Some writers store nanosecond timestamps, which Spark refuses to read
+    unless ``spark.sql.legacy.parquet.nanosAsLong`` makes them numbers.
+    Columns that already are timestamps stay as they are.
+    """
+    kinds = dict(df.dtypes)
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+    def moment(name: str):
+        micros = F.floor(F.col(name) / F.lit(1000).cast("decimal(20,0)")).cast("decimal(20,0)")
+        seconds = (micros / F.lit(1_000_000).cast("decimal(20,0)")).cast("decimal(18,6)")
+        return start + F.make_dt_interval(secs=seconds)
+
+    return df.withColumns({c: moment(c) for c in columns if kinds[c] == "bigint"})
+
+
 def with_row_place(df: DataFrame, file_column: str = "file_path", row_column: str = "row_index") -> DataFrame:
     """Add where a row is stored: file and position in it. Only for file reads."""
     return df.select(

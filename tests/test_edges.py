@@ -236,7 +236,8 @@ def test_coverage_and_lists(spark):
     fact = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
     dim = spark.createDataFrame([(1,), (1,), (7,), (None,)], "k int")
     assert tuple(key_coverage(fact, dim, "k").first()) == (2, 1, 50.0)
-    assert only_listed(fact, dim, "k").count() == 2
+    for max_bytes in (0, 10**15):
+        assert only_listed(fact, dim, "k", max_bytes=max_bytes).count() == 2
 
 
 def test_domains(spark):

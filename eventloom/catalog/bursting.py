@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 
 from eventloom.catalog.joining import watched_users
 from eventloom.catalog.tables import profile, table
-from eventloom.functions.sizing import estimated_bytes
 from eventloom.operators.joins import key_coverage
-from eventloom.operators.quality import source_report
+from eventloom.operators.quality import size_report, source_report
 from eventloom.operators.windows import out_of_order, running_anchor
 from eventloom.plans.bursts import burst_users, gap_report, watchlist_gaps
 from eventloom.sources.readers import with_row_place
@@ -45,20 +44,22 @@ def watched_gaps(spark, sf_dir):
 
 
 def dq_sources(spark, sf_dir):
-    """Watched gaps, stored order, profile coverage, and the sizes that matter
-    for a broadcast and a cache."""
+    """Watched gaps, stored order and profile coverage."""
     events, users = table(spark, sf_dir, "events"), profile(spark, sf_dir)
     return source_report(
         tight_gaps=watched_gaps(spark, sf_dir),
         stored_order=out_of_order(with_row_place(events), "ts"),
         coverage=key_coverage(events, users, "user_id"),
-        # fixed size bound on the smallest table of the star, read from its plan
-        dimension_bytes=estimated_bytes(table(spark, sf_dir, "nation")),
-        wide_bytes=estimated_bytes(events),
-        narrow_bytes=estimated_bytes(events.select("user_id", "event_type", "value")),
     )
 
 
+def dq_sizes(spark, sf_dir):
+    """The sizes that matter for a broadcast and a cache."""
+    events = table(spark, sf_dir, "events")
+    money = events.where(F.col("event_type").isin("purchase", "error"))
+    return size_report(profile(spark, sf_dir), events, money.select("user_id", "event_type", "value"))
+
+
 def anchors(spark, sf_dir):
     steps = _events(spark, sf_dir).withColumn("step", F.lit(1) + F.col("event_id") % 2)
     return running_anchor(steps, "user_id", "event_timestamp", "step", "event_id").drop("step")
@@ -71,6 +72,7 @@ QUERIES = {
     "q_watchlist_gaps": watched_gaps,
     "q_running_anchor": anchors,
     "q_dq_sources": dq_sources,
+    "q_dq_sizes": dq_sizes,
 }
 
 _GAPS = """g as (
@@ -100,9 +102,7 @@ SQL = {
         select 'watched_tight_gaps' as "check", cast(n as double) as value, cast(10 as double) as threshold,
           n > 10 as passed from t
         union all select 'out_of_order_rows', n, 0, n = 0 from o
-        union all select 'join_coverage_pct', round(pct, 1), 80, pct > 80 from c
-        union all select 'dimension_fits', 1, 1, true
-        union all select 'narrow_is_smaller', 1, 1, true""",
+        union all select 'join_coverage_pct', round(pct, 1), 80, pct > 80 from c""",
     "q_running_anchor": """
         select event_id, user_id, ts as event_timestamp,
           first_value(ts) over w + to_seconds(cast(

@@ -12,6 +12,7 @@ from eventloom.catalog.tables import (
     table,
     version_roots,
 )
+from eventloom.functions.exact import hundredths
 from eventloom.functions.salt import label_part, row_salt, salt_label
 from eventloom.operators.aggregates import (
     count_by,
@@ -59,7 +60,7 @@ def salted_label_count(spark, sf_dir):
 
 def salted_measures(spark, sf_dir):
     """Every measure kind through the two-phase aggregate."""
-    whole = F.round(F.col("duration_seconds") * 100).cast("bigint")
+    whole = hundredths(F.col("duration_seconds"))
     return salted_aggregate(
         activity(spark, sf_dir),
         ["country"],

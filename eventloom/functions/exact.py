@@ -12,8 +12,11 @@ from pyspark.sql import functions as F
 
 
 def hundredths(value: Column) -> Column:
-    """A two-decimal double as a whole number of hundredths."""
-    return F.round(value * F.lit(100.0)).cast("bigint")
+    """A two-decimal double as a whole number of hundredths, to the nearest one.
+
+    floor(x + 0.5) stays in primitive arithmetic; round() goes through BigDecimal.
+    """
+    return F.floor(value * F.lit(100.0) + F.lit(0.5)).cast("bigint")
 
 
 def half_up(numerator: Column, denominator: Column) -> Column:

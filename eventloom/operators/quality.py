@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventloom.functions.sizing import estimated_bytes
+
 
 def check_row(check: str, value: Column, threshold: float, passed: Column) -> Column:
     """One result row as a struct."""
@@ -88,30 +90,45 @@ def source_report(
     tight_gaps: DataFrame,
     stored_order: DataFrame,
     coverage: DataFrame,
-    dimension_bytes: int | None,
-    wide_bytes: int | None,
-    narrow_bytes: int | None,
     more_than_gaps: int = 10,
     min_coverage: float = 80.0,
-    max_dimension_bytes: int = 10 * 1024 * 1024,
 ) -> DataFrame:
     """Checks on a fact table and its dimension, one row each.
 
     ``tight_gaps`` counts short gaps per watched user, ``stored_order`` the
     out-of-order rows per file, ``coverage`` is one row from ``key_coverage``.
-    The byte figures come from plan statistics; unknown ones fail their check.
     """
     gaps = tight_gaps.agg(F.coalesce(F.sum("tight_gaps"), F.lit(0)).alias("v"))
     order = stored_order.agg(F.coalesce(F.sum("out_of_order"), F.lit(0)).alias("v"))
     known = coverage.select(F.round("coverage_pct", 1).alias("v"), "coverage_pct")
     v = F.col("v")
-    fits = dimension_bytes is not None and dimension_bytes < max_dimension_bytes
-    slim = None not in (wide_bytes, narrow_bytes) and narrow_bytes < wide_bytes
     rows = [
         one_check(gaps, "watched_tight_gaps", v, more_than_gaps, v > more_than_gaps),
         one_check(order, "out_of_order_rows", v, 0, v == 0),
         one_check(known, "join_coverage_pct", v, min_coverage, F.col("coverage_pct") > min_coverage),
-        one_check(known, "dimension_fits", F.lit(float(fits)), 1, F.lit(fits)),
-        one_check(known, "narrow_is_smaller", F.lit(float(slim)), 1, F.lit(slim)),
     ]
     return reduce(DataFrame.unionByName, rows)
+
+
+def size_report(
+    dimension: DataFrame,
+    wide: DataFrame,
+    narrow: DataFrame,
+    *,
+    max_dimension_bytes: int = 10 * 1024 * 1024,
+) -> DataFrame:
+    """Does the dimension stay small, and is the narrow table smaller than the wide one?
+
+    Values are bytes from plan statistics; an unknown size fails its check.
+    Each row is taken over the table it is about, so an empty one fails too.
+    """
+    small, full, slim = (estimated_bytes(df) for df in (dimension, wide, narrow))
+    fits = small is not None and small < max_dimension_bytes
+    less = None not in (full, slim) and slim < full
+    some = F.count(F.lit(1)) > 0
+    size = lambda n: F.lit(None if n is None else float(n)).cast("double")
+    rows = [
+        dimension.agg(check_row("dimension_bytes", size(small), max_dimension_bytes, F.lit(fits) & some).alias("c")),
+        narrow.agg(check_row("narrow_bytes", size(slim), full or 0, F.lit(less) & some).alias("c")),
+    ]
+    return reduce(DataFrame.unionByName, rows).select("c.*")

@@ -19,27 +19,32 @@ from eventloom.sources.readers import with_row_place
 HOUR = 3600
 
 
+# where a row is stored tells even copies of one event apart
+PLACE = ["file_path", "row_index"]
+
+
 def _events(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", "user_id", F.col("ts").alias("event_timestamp"))
+    rows = with_row_place(table(spark, sf_dir, "events"))
+    return rows.select("event_id", "user_id", F.col("ts").alias("event_timestamp"), *PLACE)
 
 
 def gap_events(spark, sf_dir):
-    return gap_report(_events(spark, sf_dir), max_gap=HOUR, spread_by=["event_id"])
+    return gap_report(_events(spark, sf_dir), max_gap=HOUR, spread_by=PLACE)
 
 
 def burst(spark, sf_dir):
-    return burst_users(_events(spark, sf_dir), more_than=2, max_gap=HOUR, spread_by=["event_id"])
+    return burst_users(_events(spark, sf_dir), more_than=2, max_gap=HOUR, spread_by=PLACE)
 
 
 def burst_default(spark, sf_dir):
     """Two-second gaps, counted without a lower limit."""
-    return burst_users(_events(spark, sf_dir), more_than=0, spread_by=["event_id"])
+    return burst_users(_events(spark, sf_dir), more_than=0, spread_by=PLACE)
 
 
 def watched_gaps(spark, sf_dir):
     # fewer than HOUR seconds, in whole seconds
     return watchlist_gaps(
-        _events(spark, sf_dir), watched_users(spark, sf_dir), max_gap=HOUR - 1, spread_by=["event_id"]
+        _events(spark, sf_dir), watched_users(spark, sf_dir), max_gap=HOUR - 1, spread_by=PLACE
     )
 
 
@@ -62,6 +67,7 @@ def dq_sizes(spark, sf_dir):
 
 def anchors(spark, sf_dir):
     steps = _events(spark, sf_dir).withColumn("step", F.lit(1) + F.col("event_id") % 2)
+    steps = steps.drop(*PLACE)
     return running_anchor(steps, "user_id", "event_timestamp", "step", "event_id").drop("step")
 
 

@@ -85,20 +85,6 @@ def hot_key_join(
     return joined.drop(SALT)
 
 
-def pair_counts(left: DataFrame, right: DataFrame, key: str, name: str = "total") -> DataFrame:
-    """Pairs per key of ``left join right on key``, without forming a pair.
-
-    Both sides shrink to one count per key before they meet, so a key with n
-    and m rows costs two counts, not n * m rows. The product is a
-    decimal(38,0): it passes a bigint long before the counts do.
-    """
-    wide = "decimal(19,0)"
-    a = left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).cast(wide).alias("n_left"))
-    b = right.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).cast(wide).alias("n_right"))
-    pairs = (F.col("n_left") * F.col("n_right")).cast("decimal(38,0)")
-    return a.join(b, key).select(key, pairs.alias(name))
-
-
 def counted_side(df: DataFrame, key: str, name: str = "partners") -> DataFrame:
     """One side of a counting join shrunk to one row per key with its row count."""
     return (
@@ -108,6 +94,25 @@ def counted_side(df: DataFrame, key: str, name: str = "partners") -> DataFrame:
     )
 
 
+def pair_counts(
+    left: DataFrame, right: DataFrame | None, key: str, name: str = "total"
+) -> DataFrame:
+    """Pairs per key of ``left join right on key``, without forming a pair;
+    ``right`` None pairs the left side with itself.
+
+    Both sides shrink to one count per key before they meet, so a key with n
+    and m rows costs two counts, not n * m rows. The product is a
+    decimal(38,0): it passes a bigint long before the counts do.
+    """
+    sizes = counted_side(left, key, "n_left")
+    if right is None:
+        both = sizes.withColumn("n_right", F.col("n_left"))
+    else:
+        both = sizes.join(counted_side(right, key, "n_right"), key)
+    pairs = (F.col("n_left") * F.col("n_right")).cast("decimal(38,0)")
+    return both.select(key, pairs.alias(name))
+
+
 def sum_partners(joined: DataFrame, key: str, name: str = "total") -> DataFrame:
     """Pairs per key from rows that each carry their number of partners."""
     return joined.groupBy(key).agg(F.sum("partners").cast("decimal(38,0)").alias(name))
@@ -151,10 +156,10 @@ def only_listed(
 ) -> DataFrame:
     """Rows whose key is in a list of ids. A list within ``max_bytes`` is
     broadcast; for a longer one both sides are shuffled, hot keys spread."""
-    listed = ids.select(key).distinct()
+    listed = ids.select(key)
     if fits_broadcast(listed, max_bytes):
         return df.join(F.broadcast(listed), key, "left_semi")
-    return hot_key_join(df, listed, key, how="left_semi", spread_by=spread_by)
+    return hot_key_join(df, listed.distinct(), key, how="left_semi", spread_by=spread_by)
 
 
 def key_coverage(fact: DataFrame, dimension: DataFrame, key: str) -> DataFrame:

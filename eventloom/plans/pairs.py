@@ -40,5 +40,5 @@ def pairs_hot_salted(df: DataFrame, key: str, spread_by: list[str], **options) -
 
 
 def pairs_counted(df: DataFrame, key: str) -> DataFrame:
-    """Both sides shrunk to counts before they meet; the cheapest way."""
-    return pair_counts(df, df, key)
+    """One count per key, squared; the cheapest way."""
+    return pair_counts(df, None, key)

@@ -14,6 +14,7 @@ from eventloom.operators.aggregates import count_by, salted_aggregate
 from eventloom.operators.joins import hot_key_join, pair_counts, salted_join
 from eventloom.operators.windows import find_cuts, add_slices, running_anchor, with_gaps, with_previous
 from eventloom.plans.pairs import pairs_counted, pairs_hot_salted, pairs_joined, pairs_salted
+from eventloom.sources.readers import with_row_place
 
 START = datetime.datetime(2024, 1, 1)
 
@@ -137,6 +138,7 @@ def test_four_ways_to_count_pairs(spark, salt_keys):
         pairs_salted(salt_keys, "k", ["id"]),
         pairs_hot_salted(salt_keys, "k", ["id"], spread=16),
         pairs_counted(salt_keys, "k"),
+        pair_counts(salt_keys, salt_keys.select("k", "id"), "k"),
     ):
         assert bag(pairs.withColumn("total", F.col("total").cast("bigint"))) == want
     formed = salt_keys.alias("a").join(salt_keys.alias("b"), "k").groupBy("k").count()
@@ -258,3 +260,28 @@ def test_many_slices_need_several_blocks(spark):
     assert drops.count() == 0
     plain = with_previous(df, "user_id", "ts", name="p", hot=HotKeys(("user_id",)))
     assert bag(with_previous(df, "user_id", "ts", name="p", spread=300)) == bag(plain)
+
+
+def test_copies_of_one_event_are_spread_by_their_place(spark, tmp_path):
+    copies = [(1, 1, START)] * 2000
+    others = [(i, 1 + i % 4, START + datetime.timedelta(seconds=i)) for i in range(2, 2002)]
+    spark.createDataFrame(copies + others, SCHEMA).repartition(3).write.parquet(str(tmp_path / "e"))
+    df = with_row_place(spark.read.parquet(str(tmp_path / "e")))
+    place = ["file_path", "row_index"]
+    cuts = find_cuts(df, ["user_id"], "ts", F.xxhash64(*place), find_hot_keys(df, "user_id", spread=20))
+    sizes = add_slices(df, "ts", F.xxhash64(*place), cuts).where("user_id = 1").groupBy("slice_no").count()
+    assert max(r["count"] for r in sizes.collect()) <= 2 * 4000 / 20
+    plain = with_previous(df, "user_id", "ts", name="p", hot=HotKeys(("user_id",))).drop(*place)
+    split = with_previous(df, "user_id", "ts", name="p", spread=20, spread_by=place).drop(*place)
+    assert bag(split) == bag(plain)
+
+
+def test_very_wide_spread(spark):
+    rows = [(i, 1 if i % 3 else None, START + datetime.timedelta(seconds=i // 5)) for i in range(9000)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    hot = find_hot_keys(df, "user_id", spread=20_000)
+    assert len(hot.pieces) == 2 and sum(n for _, n in hot.pieces) <= 20_002
+    plain = with_previous(df, "user_id", "ts", name="p", hot=HotKeys(("user_id",)))
+    split = with_previous(df, "user_id", "ts", name="p", hot=hot)
+    # rows at one moment may trade places, so compare without the id
+    assert bag(split.drop("event_id")) == bag(plain.drop("event_id"))

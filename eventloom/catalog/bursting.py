@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from eventloom.catalog.joining import watched_users
-from eventloom.catalog.tables import profile, table
+from eventloom.catalog.tables import PLACE, profile, table
 from eventloom.operators.joins import key_coverage
 from eventloom.operators.quality import size_report, source_report
 from eventloom.operators.windows import out_of_order, running_anchor
@@ -19,10 +19,6 @@ from eventloom.sources.readers import with_row_place
 HOUR = 3600
 
 
-# where a row is stored tells even copies of one event apart
-PLACE = ["file_path", "row_index"]
-
-
 def _events(spark, sf_dir):
     rows = with_row_place(table(spark, sf_dir, "events"))
     return rows.select("event_id", "user_id", F.col("ts").alias("event_timestamp"), *PLACE)

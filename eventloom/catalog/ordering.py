@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from eventloom.catalog.measuring import MINUTES_SQL, minutes_by_user
-from eventloom.catalog.tables import MIN_FILES, table, version_roots
+from eventloom.catalog.tables import MIN_FILES, PLACE, table, version_roots
 from eventloom.functions.sizing import file_count
 from eventloom.operators.windows import out_of_order
 from eventloom.sources.inventory import file_profile
@@ -31,7 +32,9 @@ def write_few_files(spark, sf_dir):
 
 def write_range_layout(spark, sf_dir):
     rows, out = table(spark, sf_dir, "events"), scratch_path(spark, "events-ranged")
-    write_ordered(rows, out, file_count(rows, minimum=6), ["ts", "event_id"], input_roots=[sf_dir])
+    files = file_count(rows, minimum=6)
+    placed = with_row_place(rows)
+    write_ordered(placed, out, files, ["ts", "event_id"], place=PLACE, input_roots=[sf_dir])
     return read_root(spark, out, rows.schema)
 
 
@@ -44,15 +47,13 @@ def range_files(spark, sf_dir):
         F.max("event_timestamp").alias("high"),
         F.count(F.lit(1)).alias("n"),
     )
-    # part names rise with the range, so no file may start before the one above ends
-    named = ranges.withColumn("next_file", F.regexp_extract("file_path", r"part-(\d+)", 1).cast("int") + 1)
-    following = ranges.select(
-        F.regexp_extract("file_path", r"part-(\d+)", 1).cast("int").alias("next_file"),
-        F.col("low").alias("next_low"),
-    )
-    return named.join(following, "next_file", "left").agg(
+    # part names rise with the range, so no file may start before the one above
+    # ends; one row per file, and file_count allows few enough for one window
+    part = F.regexp_extract("file_path", r"part-(\d+)", 1).cast("int")
+    above = F.lag("high").over(Window.orderBy(part))
+    return ranges.withColumn("above", above).agg(
         F.sum("n").alias("rows"),
-        F.count_if(F.col("next_low") < F.col("high")).alias("overlaps"),
+        F.count_if(F.col("low") < F.col("above")).alias("overlaps"),
         (F.count(F.lit(1)) <= files).alias("files_ok"),
     )
 

@@ -7,11 +7,14 @@ three devices. The same rules are stated as SQL at the end.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.functions.assign import null_where, pick_uniform, pick_weighted
 from eventloom.functions.sizing import file_count
+from eventloom.sources.readers import with_row_place
 from eventloom.sources.scratch import scratch_path
 from eventloom.sources.writers import write_ordered
 
@@ -26,6 +29,8 @@ COUNTRY_WEIGHTS = {"US": 0.55, "India": 0.25, "Brazil": 0.10}
 OTHERS_WEIGHT = 0.10
 
 MIN_FILES = 4
+# where a row is stored tells even copies of one event apart
+PLACE = ("file_path", "row_index")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,9 +53,12 @@ def _device(event_id: Column) -> Column:
     return pick_weighted(slot, {"mobile": 11, "desktop": 7, "tablet": 2})
 
 
-def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with country, device and a duration that clicks and errors lack."""
+def activity(spark: SparkSession, sf_dir: str, place: Sequence[str] = ()) -> DataFrame:
+    """Events with country, device and a duration that clicks and errors lack;
+    with ``PLACE`` also where each is stored."""
     e = table(spark, sf_dir, "events")
+    if place:
+        e = with_row_place(e)
     return e.select(
         "event_id",
         "user_id",
@@ -59,6 +67,7 @@ def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
         null_where(F.col("event_type").isin(list(EMPTY_KINDS)), F.col("value")).alias("duration_seconds"),
         _country(F.col("event_id")).alias("country"),
         _device(F.col("event_id")).alias("device_type"),
+        *place,
     )
 
 
@@ -69,11 +78,13 @@ def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def version_frames(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def version_frames(
+    spark: SparkSession, sf_dir: str, place: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame]:
     """The older and newer half of the events; the newer has two more columns."""
     events = table(spark, sf_dir, "events")
     n = events.count()
-    rows = activity(spark, sf_dir)
+    rows = activity(spark, sf_dir, place)
     number = F.col("event_id")
     old = rows.where(number * 2 < n).withColumn("app_version", pick_uniform(number, V1_APPS))
     new = (
@@ -96,9 +107,10 @@ def version_roots(spark: SparkSession, sf_dir: str) -> dict[str, tuple[str, int]
     place = (spark.sparkContext.applicationId, sf_dir)
     if place not in _WRITTEN:
         written = {}
-        for name, rows in zip(("v1", "v2"), version_frames(spark, sf_dir), strict=True):
+        order = ["event_timestamp", "event_id"]
+        for name, rows in zip(("v1", "v2"), version_frames(spark, sf_dir, PLACE), strict=True):
             path, files = scratch_path(spark, f"events-{name}"), file_count(rows, minimum=MIN_FILES)
-            write_ordered(rows, path, files, ["event_timestamp", "event_id"], input_roots=[sf_dir])
+            write_ordered(rows, path, files, order, place=PLACE, input_roots=[sf_dir])
             written[name] = (path, files)
         _WRITTEN[place] = written
     return _WRITTEN[place]

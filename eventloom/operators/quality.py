@@ -50,7 +50,14 @@ def quality_report(
         F.count_if(empties & F.col(duration).isNull()).alias("n_empty"),
         F.count_if(F.col(kind).isin(list(money_kinds))).alias("n_money"),
     )
-    leaders = per_key.orderBy(F.col("n").desc(), F.col(key)).limit(top).agg(F.sum("n")).scalar()
+    # asks for every count, so that both uses of the per-key table share one exchange
+    counts = ("n", "n_empty_kind", "n_empty", "n_money")
+    leaders = (
+        per_key.orderBy(F.col("n").desc(), F.col(key))
+        .limit(top)
+        .agg(F.struct(*[F.sum(c).alias(c) for c in counts]))
+        .scalar()
+    )
     totals = per_key.agg(
         F.sum("n").alias("rows"),
         F.max("n").alias("most"),
@@ -58,7 +65,7 @@ def quality_report(
         F.sum("n_empty_kind").alias("empty_kind"),
         F.sum("n_empty").alias("empty"),
         F.sum("n_money").alias("money"),
-    ).withColumn("leaders", leaders)
+    ).withColumn("leaders", leaders["n"])
 
     share = lambda part, whole: F.col(part) * F.lit(100.0) / F.nullif(F.col(whole), F.lit(0))
     top_share = share("leaders", "rows")

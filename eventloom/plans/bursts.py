@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,27 +26,44 @@ def gap_events(
     user: str = "user_id",
     time: str = "event_timestamp",
     spread_by: list[str] | None = None,
+    keep: Sequence[str] = (),
     **options,
 ) -> DataFrame:
     """Events at most ``max_gap`` seconds after the user's previous one.
 
-    A user's first event has no gap and drops out.
+    A user's first event has no gap and drops out. ``keep`` names further
+    columns to carry along.
     """
-    wanted = [user, time, *[c for c in (spread_by or []) if c not in (user, time)]]
+    wanted = list(dict.fromkeys([user, time, *(spread_by or []), *keep]))
     gaps = with_gaps(events.select(*wanted), user, time, spread_by=spread_by, **options)
     return (
         gaps.dropna(subset=["gap_seconds"])
         .where(F.col("gap_seconds") <= max_gap)
-        .select(user, time, "previous_timestamp", "gap_seconds")
+        .select(user, time, "previous_timestamp", "gap_seconds", *keep)
     )
 
 
-def gap_report(events: DataFrame, **options) -> DataFrame:
-    """``gap_events``, widest first. Sorted on all columns, because the few
-    distinct gaps alone would leave the sort with a few huge partitions."""
-    found = gap_events(events, **options)
-    user, time = found.columns[:2]
-    return found.orderBy(F.col("gap_seconds").desc(), F.col(user), F.col(time))
+def gap_report(
+    events: DataFrame,
+    *,
+    user: str = "user_id",
+    time: str = "event_timestamp",
+    spread_by: list[str] | None = None,
+    **options,
+) -> DataFrame:
+    """``gap_events``, widest first.
+
+    Sorted on all columns and the hash of ``spread_by``: the few distinct gaps,
+    or one busy moment, would leave a sort on less with a few huge partitions.
+    """
+    order = [F.col("gap_seconds").desc(), F.col(user), F.col(time)]
+    if not spread_by:
+        return gap_events(events, user=user, time=time, **options).orderBy(*order)
+    placed = events.withColumn("place_hash", F.xxhash64(*spread_by))
+    found = gap_events(
+        placed, user=user, time=time, spread_by=["place_hash"], keep=["place_hash"], **options
+    )
+    return found.orderBy(*order, "place_hash").drop("place_hash")
 
 
 def burst_users(

@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 _GLOB = re.compile(r"[*?\[{]")
 
@@ -67,11 +68,20 @@ def write_coalesced(df: DataFrame, target: str, files: int, **options) -> None:
     write_table(df.coalesce(files), target, **options)
 
 
-def write_ordered(df: DataFrame, target: str, files: int, order_by: Sequence[str], **options) -> None:
+def write_ordered(
+    df: DataFrame,
+    target: str,
+    files: int,
+    order_by: Sequence[str],
+    *,
+    place: Sequence[str] = (),
+    **options,
+) -> None:
     """``files`` files that each hold one range of ``order_by``, sorted inside.
 
-    End ``order_by`` with a column that tells rows apart, so that a moment
-    shared by many rows can still be cut into several files.
+    ``place`` names columns that are not written but tell equal rows apart, so
+    that even copies of one row can be cut into several files.
     """
-    ranged = df.repartitionByRange(files, *order_by).sortWithinPartitions(*order_by)
-    write_table(ranged, target, **options)
+    ties = [F.xxhash64(*place)] if place else []
+    ranged = df.repartitionByRange(files, *order_by, *ties).sortWithinPartitions(*order_by)
+    write_table(ranged.drop(*place), target, **options)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from eventloom.functions.sizing import broadcast_if_small, estimated_bytes, file_count, fits_broadcast
 from eventloom.operators.layout import balance, hash_partition, job_label, kept, rows_in_place, rows_per_partition
 from eventloom.sources.inventory import expect_files, file_profile, root_totals
-from eventloom.sources.readers import read_part
+from eventloom.sources.readers import read_part, with_row_place
 from eventloom.sources.scratch import scratch_path
 from eventloom.sources.writers import check_target, write_coalesced, write_ordered, write_repartitioned, write_table
 
@@ -46,6 +46,16 @@ def test_ordered_files_hold_rising_ranges(spark, tmp_path):
         last = held[-1]
 
 
+def test_copies_of_one_row_can_fill_several_files(spark, tmp_path):
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    spark.range(3000).select(F.when(F.col("id") % 3 == 0, 500).otherwise(F.col("id")).alias("t")).write.parquet(src)
+    placed = with_row_place(spark.read.parquet(src))
+    write_ordered(placed, out, 6, ["t"], place=["file_path", "row_index"])
+    sizes = [spark.read.parquet(f).count() for f in parts(out)]
+    assert sum(sizes) == 3000 and max(sizes) < 800
+    assert spark.read.parquet(out).columns == ["t"]
+
+
 def test_existing_target_is_refused_unless_overwritten(spark, tmp_path):
     out = str(tmp_path / "out")
     write_table(spark.range(3), out)

@@ -11,6 +11,17 @@ from pyspark.sql import functions as F
 from eventloom.functions.sizing import estimated_bytes
 
 
+# fixed values: thresholds of the checks
+MIN_TOP_SHARE_PCT = 80.0
+MIN_SKEW = 150
+MIN_PARTITION_RATIO = 100
+MIN_EMPTY_PCT = 95.0
+WEIGHT_TOLERANCE = 1e-9
+MORE_THAN_GAPS = 10
+MIN_COVERAGE_PCT = 80.0
+MAX_DIMENSION_BYTES = 10 * 1024 * 1024
+
+
 def check_row(check: str, value: Column, threshold: float, passed: Column) -> Column:
     """One result row as a struct."""
     return F.struct(
@@ -31,11 +42,11 @@ def quality_report(
     empty_kinds: Sequence[str] = ("click", "error"),
     money_kinds: Sequence[str] = ("purchase", "error"),
     top: int = 3,
-    min_top_share: float = 80.0,
-    min_skew: int = 150,
-    min_ratio: int = 100,
-    min_empty_share: float = 95.0,
-    weight_tolerance: float = 1e-9,
+    min_top_share: float = MIN_TOP_SHARE_PCT,
+    min_skew: int = MIN_SKEW,
+    min_ratio: int = MIN_PARTITION_RATIO,
+    min_empty_share: float = MIN_EMPTY_PCT,
+    weight_tolerance: float = WEIGHT_TOLERANCE,
 ) -> DataFrame:
     """Weights, skew and null-alignment checks from one count per key.
 
@@ -97,8 +108,8 @@ def source_report(
     tight_gaps: DataFrame,
     stored_order: DataFrame,
     coverage: DataFrame,
-    more_than_gaps: int = 10,
-    min_coverage: float = 80.0,
+    more_than_gaps: int = MORE_THAN_GAPS,
+    min_coverage: float = MIN_COVERAGE_PCT,
 ) -> DataFrame:
     """Checks on a fact table and its dimension, one row each.
 
@@ -122,7 +133,7 @@ def size_report(
     wide: DataFrame,
     narrow: DataFrame,
     *,
-    max_dimension_bytes: int = 10 * 1024 * 1024,
+    max_dimension_bytes: int = MAX_DIMENSION_BYTES,
 ) -> DataFrame:
     """Does the dimension stay small, and is the narrow table smaller than the wide one?
 

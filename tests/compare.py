@@ -2,6 +2,7 @@
 
 import datetime
 import math
+import os
 from collections import Counter
 from decimal import Decimal
 
@@ -38,7 +39,10 @@ def duck_bag(sql, sf_dir):
     con = duckdb.connect()
     con.execute("set timezone = 'UTC'")
     for t in TABLES:
-        con.execute(f"create view {t} as select * from read_parquet('{sf_dir}/{t}.parquet')")
+        path = f"{sf_dir}/{t}.parquet"
+        if os.path.exists(path):
+            files = f"{path}/*.parquet" if os.path.isdir(path) else path
+            con.execute(f"create view {t} as select * from read_parquet('{files}')")
     got = con.execute(sql)
     names = [d[0] for d in got.description]
     types = {d[0]: str(d[1]) for d in got.description}

@@ -82,6 +82,8 @@ def write_ordered(
     ``place`` names columns that are not written but tell equal rows apart, so
     that even copies of one row can be cut into several files.
     """
-    ties = [F.xxhash64(*place)] if place else []
-    ranged = df.repartitionByRange(files, *order_by, *ties).sortWithinPartitions(*order_by)
-    write_table(ranged.drop(*place), target, **options)
+    ties = ["place_hash"] if place else []
+    # only the hash of the place travels through the shuffle
+    rows = df.withColumn("place_hash", F.xxhash64(*place)).drop(*place) if place else df
+    ranged = rows.repartitionByRange(files, *order_by, *ties).sortWithinPartitions(*order_by)
+    write_table(ranged.drop(*ties), target, **options)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventloom.llm import decontaminate
+from eventloom.llm import decontaminate, jaccard_join
 from eventloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,7 +20,14 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
-QUERIES: dict[str, Query] = {"op2_decontamination": op2_decontamination}
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.joined(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES: dict[str, Query] = {
+    "op2_decontamination": op2_decontamination,
+    "op9_jaccard_join": op9_jaccard_join,
+}
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from eventloom.llm import decontaminate, jaccard_join
+from eventloom.llm import decontaminate, jaccard_join, language_id, toxicity
 from eventloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,12 +21,30 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    return toxicity.scored(docs, model).select(
+        "doc_id", toxicity.held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.learn(docs)
+    return language_id.predicted(docs.select("doc_id", "text"), model).select(
+        "doc_id", language_id.held_out("doc_id").alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.joined(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
+    "op5_toxicity": op5_toxicity,
+    "op6_language_id": op6_language_id,
     "op9_jaccard_join": op9_jaccard_join,
 }
 

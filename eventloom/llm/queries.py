@@ -7,12 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import decontaminate, jaccard_join, language_id, toxicity
+from eventloom.llm import decontaminate, jaccard_join, language_id, token_files, toxicity
 from eventloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def word_tokenizer() -> str:
+    """Where the tokenizer's file is on every node."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), word_tokenizer())
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(
         table(spark, sf_dir, "documents").select("doc_id", "text"),
@@ -42,6 +53,7 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_token_files": op1_token_files,
     "op2_decontamination": op2_decontamination,
     "op5_toxicity": op5_toxicity,
     "op6_language_id": op6_language_id,

@@ -83,8 +83,11 @@ class Words:
         return np.repeat(np.arange(len(self.splits) - 1), np.diff(self.splits))
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray, member: np.ndarray) -> Words:
-    """All words of the rows; ``member`` tells which bytes belong to words."""
+def words_of(data: np.ndarray, offsets: np.ndarray, member: np.ndarray, cut: tuple[np.ndarray, np.ndarray] | None = None) -> Words:
+    """All words of the rows; ``member`` tells which bytes belong to words.
+
+    ``cut``: between a byte of the first kind and one of the second a word ends too.
+    """
     member = member[_LOWER]
     first, last = int(offsets[0]), int(offsets[-1])
     at_row = np.zeros(last - first + 1, bool)
@@ -104,6 +107,8 @@ def words_of(data: np.ndarray, offsets: np.ndarray, member: np.ndarray) -> Words
         inside = member[data[at:to]]
         fresh = at_row[at - first : to - first].copy()
         fresh[0] = True
+        if cut is not None:
+            fresh[1:] |= cut[0][data[at : to - 1]] & cut[1][data[at + 1 : to]]
         begins = inside & (fresh | ~np.concatenate(([False], inside[:-1])))
         stops = inside & np.concatenate((fresh[1:] | ~inside[1:], [True]))
         s, e = np.flatnonzero(begins), np.flatnonzero(stops) + 1

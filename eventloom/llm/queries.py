@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import decontaminate, jaccard_join, language_id, token_files, toxicity
+from eventloom.llm import decontaminate, jaccard_join, language_id, nearest, sharding, token_files, toxicity, warc
 from eventloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.digest(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
@@ -48,21 +52,39 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).drop("url")
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.joined(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_files": op1_token_files,
     "op2_decontamination": op2_decontamination,
+    "op4_sharding": op4_sharding,
     "op5_toxicity": op5_toxicity,
     "op6_language_id": op6_language_id,
+    "op8_warc": op8_warc,
     "op9_jaccard_join": op9_jaccard_join,
+    "op10_nearest": op10_nearest,
 }
 
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 SQL: dict[str, str] = {
+    "op8_warc": """
+with p as (select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages),
+f as (select payload_digest, min(page_id) as first from p where payload_bytes >= 100 group by payload_digest)
+select p.page_id, cast(payload_bytes as bigint) as payload_bytes, payload_digest,
+  case when first is null or page_id = first then 'response' else 'revisit' end as record_type,
+  case when page_id <> first then first end as refers_to
+from p left join f using (payload_digest)""",
     "op2_decontamination": f"""
 with d as (select doc_id, {_WORDS} as w from documents),
 b as (select item_id, {_WORDS} as w from benchmark),

@@ -13,13 +13,16 @@ chance. The steps:
 2. The few nodes that are left get their whole sets. Nodes that link must share
    one of the first ``n - ceil(0.75 n) + 1`` shingles in one common order, rare
    ones first; these are the nodes' lists.
-3. Each node is searched against the two leaders with which it shares most
-   lists. What links is a component from then on.
-4. Lists within one component are done. For the others, all pairs across
-   components that size and place in the order allow are searched.
+3. Each list has a leader, the node with the largest share of frequent shingles:
+   of a text and its copies that is the text. A leader's cluster is all nodes that
+   have a list of it. Each node is searched against the two leaders with which it
+   shares most lists; what links is a component from then on.
+4. Nodes that link meet in a cluster. In each cluster that still has several
+   components, all nodes outside the largest one are searched against the
+   cluster, in square blocks of bounded size.
 
-A search takes a node as query and its candidates in blocks, as the index:
-T-occurrence search by DivideSkip (see ``t_occurrence``).
+A search takes nodes as queries and a block of sets as index: T-occurrence by
+DivideSkip (see ``t_occurrence``).
 
 Defined cases: no words or a null text: an empty set, linked with nothing,
 component of its own. Fewer than five words: the whole sequence is one shingle.
@@ -40,7 +43,7 @@ from pyspark.sql import functions as F
 
 from eventloom.llm.common import text_bytes, written
 from eventloom.llm.components import components
-from eventloom.llm.t_occurrence import linked
+from eventloom.llm.t_occurrence import InvertedIndex
 from eventloom.llm.words import NOT_SPACE, buffer_of, row_blocks, shingles_of, words_of
 
 SHINGLE_WORDS = 5
@@ -51,13 +54,14 @@ CHUNK_BYTES = 6 << 20
 BUCKET_POSTINGS = 2 << 20
 #: Frequent shingles whose counts are handed to every task, to put rare ones first.
 ORDERED = 1 << 19
-#: Candidate sets in one block of a search.
+#: Sets in one block of an index, and queries that come to it.
 BLOCK_SETS = 256
 #: Node ids that may be broadcast.
 BROADCAST_NODES = 1 << 20
 
-_PARTS = "bucket int, doc_id long, node binary, n int, dup long, own int, hashes binary, docs binary, nodes binary"
-_COUNTS = "doc_id long, node binary, n int, dup long, own int, row boolean"
+_PARTS = "bucket int, doc_id long, node binary, n int, own int, key long, dup long, hashes binary, docs binary, keys binary"
+_COUNTS = "doc_id long, node binary, n int, own int, key long, dup long"
+_ZSTD = pa.Codec("zstd", compression_level=1)
 
 
 def _sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
@@ -70,11 +74,23 @@ def _digest(values: np.ndarray) -> bytes:
     return hashlib.blake2b(values.tobytes(), digest_size=16).digest()
 
 
+def _packed(values: np.ndarray) -> bytes:
+    """32-bit numbers, compressed; the bytes of each significance stand together."""
+    planes = np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return len(values).to_bytes(8, "little") + _ZSTD.compress(planes.tobytes(), asbytes=True)
+
+
+def _unpacked(value: bytes, kind: str) -> np.ndarray:
+    n = int.from_bytes(value[:8], "little")
+    planes = np.frombuffer(_ZSTD.decompress(value[8:], decompressed_size=4 * n, asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).reshape(-1).view(kind)
+
+
 def _postings(bits: int):
     """For mapInArrow: a row for each document, and packed postings for each bucket."""
     top, names = np.uint64(64 - bits), [x.split()[0] for x in _PARTS.split(", ")]
-    kinds = [pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-    schema = pa.schema(list(zip(names, kinds, strict=True)))
+    kinds = [pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+    schema, buckets = pa.schema(list(zip(names, kinds, strict=True))), 1 << bits
 
     def rows(ids, data, offsets):
         sets = _sets(data, offsets)
@@ -83,7 +99,11 @@ def _postings(bits: int):
         for i, d in enumerate(digests):
             if d is not None:
                 at.setdefault(d, i)
+        for i, (doc, d) in enumerate(zip(ids, digests, strict=True)):
+            own = int(d is not None and at[d] == i)
+            yield i % buckets, doc, d, len(sets[i]), own, None if d is None else _key(d), None, None, None, None
         firsts = list(at.values())
+        keys = np.array([_key(digests[i]) for i in firsts], "<i8")
         hashes = np.concatenate([sets[i] for i in firsts]) if firsts else np.zeros(0, np.uint64)
         local = np.repeat(np.arange(len(firsts)), [len(sets[i]) for i in firsts])
         order = np.argsort(hashes, kind="stable")
@@ -91,74 +111,57 @@ def _postings(bits: int):
         fresh = np.concatenate(([True], hashes[1:] != hashes[:-1])) if len(hashes) else np.zeros(0, bool)
         alone = fresh & np.concatenate((fresh[1:], [True])) if len(hashes) else fresh
         dup = np.bincount(local[~alone], minlength=len(firsts))
-        hashes, local = hashes[fresh], np.where(alone, local, -1)[fresh].astype("<i4")
-        bucket = (hashes >> top).astype(np.int64)
-        cuts = np.searchsorted(bucket, np.arange((1 << bits) + 1))
-        short = ((hashes << np.uint64(bits)) >> np.uint64(32)).astype("<u4")
-        # the bytes of each significance together, which compress better
-        packed = lambda x: np.ascontiguousarray(x.view(np.uint8).reshape(-1, 4).T).tobytes()
-        nodes = b"".join(digests[i] for i in firsts)
-        for i, (doc, d) in enumerate(zip(ids, digests, strict=True)):
-            own = d is not None and at[d] == i
-            yield i % (1 << bits), doc, d, len(sets[i]), 0, int(own), None, None, None
-        for k, i in enumerate(firsts):
-            if dup[k]:
-                yield k % (1 << bits), None, digests[i], 0, int(dup[k]), None, None, None, None
-        for b in range(1 << bits):
+        for k in np.flatnonzero(dup):
+            yield int(k) % buckets, None, None, None, None, int(keys[k]), int(dup[k]), None, None, None
+        # a shingle that several nodes of this chunk share goes on once, as nobody's (the number past the last)
+        hashes, local = hashes[fresh], np.where(alone, local, len(firsts))[fresh]
+        cuts = np.searchsorted(hashes >> top, np.arange(buckets + 1, dtype=np.uint64))
+        short = ((hashes << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)
+        for b in range(buckets):
             lo, hi = cuts[b], cuts[b + 1]
             if hi > lo:
-                step = np.diff(short[lo:hi], prepend=short.dtype.type(0)).astype("<u4")
-                yield b, None, None, 0, 0, None, packed(step), packed(local[lo:hi]), nodes
+                yield b, None, None, None, None, None, None, _packed(np.diff(short[lo:hi], prepend=np.uint32(0))), _packed(local[lo:hi]), keys.tobytes()
 
     def of(batches):
         for batch in batches:
             data, offsets = buffer_of(batch.column(1))
             for a, b in row_blocks(offsets, CHUNK_BYTES):
                 out = list(zip(*rows(batch.column(0).slice(a, b - a).to_pylist(), data, offsets[a : b + 1]), strict=True))
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds, strict=True)], schema=schema)
 
     return of
 
 
-def _unpacked(value: bytes, kind: str) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(value, np.uint8).reshape(4, -1).T).reshape(-1).view(kind)
-
-
 def _shared(part: pa.Table) -> pa.Table:
     """One bucket: how many shingles of each node another node has as well."""
-    kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int32(), pa.bool_()]
-    names = [x.split()[0] for x in _COUNTS.split(", ")]
+    kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+    schema = pa.schema(list(zip([x.split()[0] for x in _COUNTS.split(", ")], kinds, strict=True)))
     packed = part.column("hashes").is_valid()
-    plain = part.filter(pc.invert(packed))
-    keep = [plain.column(n).combine_chunks() for n in names[:-1]]
-    keep.append(plain.column("own").combine_chunks().is_valid())
-    out = [pa.Table.from_arrays(keep, schema=pa.schema(list(zip(names, kinds, strict=True))))]
+    out = [part.filter(pc.invert(packed)).select(schema.names).cast(schema)]
     part = part.filter(packed)
     if len(part):
-        hashes, owners, digests, base = [], [], [], 0
+        hashes, owners, keys, base = [], [], [], 0
         for i in range(len(part)):
             hashes.append(np.cumsum(_unpacked(part.column("hashes")[i].as_py(), "<u4"), dtype=np.uint32))
+            own = np.frombuffer(part.column("keys")[i].as_py(), "<i8")
             local = _unpacked(part.column("docs")[i].as_py(), "<i4")
-            nodes = np.frombuffer(part.column("nodes")[i].as_py(), "V16")
-            owners.append(np.where(local >= 0, local + base, -1).astype(np.int32))
-            digests.append(nodes)
-            base += len(nodes)
-        digests, owner, value = np.concatenate(digests), np.concatenate(owners), np.concatenate(hashes)
+            owners.append(np.where(local < len(own), local + base, -1).astype(np.int32))
+            keys.append(own)
+            base += len(own)
+        key, owner, value = np.concatenate(keys), np.concatenate(owners), np.concatenate(hashes)
         order = np.argsort(value, kind="stable")
         value, owner = value[order], owner[order]
         # equal nodes of several chunks are one
-        node = np.unique(digests.view("<u8").reshape(-1, 2)[:, 0], return_inverse=True)[1].astype(np.int32)
-        who = np.where(owner >= 0, node[owner], -1)
+        node = np.unique(key, return_inverse=True)[1].astype(np.int32)
+        who = np.where(owner >= 0, node[owner] if len(node) else -1, -1)
         start = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1])))
-        several = np.minimum.reduceat(who, start) != np.maximum.reduceat(who, start)
-        several |= np.minimum.reduceat(who, start) < 0  # shared within a chunk
+        least = np.minimum.reduceat(who, start)
+        several = (least != np.maximum.reduceat(who, start)) | (least < 0)
         several = np.repeat(several, np.diff(np.concatenate((start, [len(value)]))))
-        dup = np.bincount(owner[several & (owner >= 0)], minlength=len(digests))
-        met = np.flatnonzero(dup)
-        n, nodes = len(met), [digests[i].tobytes() for i in met]
-        columns = [pa.nulls(n, pa.int64()), pa.array(nodes, pa.binary()), pa.nulls(n, pa.int32()), pa.array(dup[met], pa.int64()), pa.nulls(n, pa.int32()), pa.array(np.zeros(n, bool))]
-        out.append(pa.Table.from_arrays(columns, schema=out[0].schema))
+        dup = np.bincount(node[owner[several & (owner >= 0)]], minlength=int(node.max()) + 1 if len(node) else 0)
+        met, names = np.flatnonzero(dup), np.unique(key)
+        none = [pa.nulls(len(met), k) for k in kinds[:4]]
+        out.append(pa.Table.from_arrays([*none, pa.array(names[met], pa.int64()), pa.array(dup[met], pa.int64())], schema=schema))
     return pa.concat_tables(out)
 
 
@@ -185,7 +188,7 @@ def _first_shingles(frequent):
     def of(batches):
         hot, count = frequent.value
         for batch in batches:
-            keys, sizes, places, hashes = [], [], [], []
+            keys, sizes, shares, hashes = [], [], [], []
             for key, n, packed in zip(*(batch.column(c).to_pylist() for c in ("key", "n", "hashes")), strict=True):
                 h = np.frombuffer(packed, "<u8")
                 weight = np.ones(n, np.int64)
@@ -196,9 +199,9 @@ def _first_shingles(frequent):
                 hashes.append(h[first].view(np.int64))
                 keys.append(np.full(len(first), key))
                 sizes.append(np.full(len(first), n))
-                places.append(np.arange(len(first)))
-            joined = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (hashes, keys, sizes, places)]
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in joined], names=["shingle", "key", "n", "place"])
+                shares.append(np.full(len(first), int(1000 * (weight > 1).mean())))
+            joined = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (hashes, keys, sizes, shares)]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in joined], names=["shingle", "key", "n", "share"])
 
     return of
 
@@ -234,26 +237,48 @@ def _frequent(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _search(part: pa.Table) -> pa.Table:
-    """One query against one block of candidate sets."""
-    query, keys, sets = None, [], []
-    for q, c, packed in zip(part.column("q").to_pylist(), part.column("c").to_pylist(), part.column("hashes").to_pylist(), strict=True):
-        if c is None:
-            query = q, np.frombuffer(packed, "<u8")
-        else:
-            keys.append(c)
-            sets.append(np.frombuffer(packed, "<u8"))
-    found = [] if query is None or not sets else [keys[i] for i in linked(query[1], sets, PERCENT)]
-    return pa.table({"a": pa.array([query[0]] * len(found) if query else [], pa.int64()), "b": pa.array(found, pa.int64())})
-
-
-def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (q, c) of nodes that link. A query's candidates come in blocks."""
-    blocks = pairs.groupBy("q").agg(F.ceil(F.count("*") / BLOCK_SETS).alias("blocks"))
-    pairs = pairs.join(blocks, "q").withColumn("block", F.pmod(F.xxhash64("c"), F.col("blocks")))
-    plain = sets.select("key", "hashes")
-    index = pairs.join(plain.withColumnRenamed("key", "c"), "c").select("q", "block", "c", "hashes")
-    query = pairs.select("q", "block").distinct().join(plain.withColumnRenamed("key", "q"), "q").select("q", "block", F.lit(None).cast("long").alias("c"), "hashes")
-    return index.unionByName(query).groupBy("q", "block").applyInArrow(_search, "a long, b long")
+    """The queries of one block against its index; one link is enough between two components."""
+    index, queries = [], []
+    for is_query, *row in zip(*(part.column(c).to_pylist() for c in ("is_query", "key", "component", "hashes")), strict=True):
+        (queries if is_query else index).append((row[0], row[1], np.frombuffer(row[2], "<u8")))
+    index.sort(key=lambda x: x[0])
+    lists = InvertedIndex([x[2] for x in index])
+    merged: dict[int, int] = {}
+
+    def root(c):
+        while c in merged:
+            c = merged[c]
+        return c
+
+    a, b = [], []
+    for key, component, query in sorted(queries, key=lambda x: x[0]):
+        mine = root(component)
+        if all(root(x[1]) == mine for x in index):
+            continue
+        for i in lists.linked(query, PERCENT):
+            if (other := root(index[i][1])) != mine:
+                a.append(key)
+                b.append(index[i][0])
+                merged[max(mine, other)] = min(mine, other)
+                mine = min(mine, other)
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _links(queries: DataFrame, index: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between the queries and the index of each cluster.
+
+    Both have cluster, key, component. The index comes in blocks, the queries in
+    turns; each row meets every row of the other side of its cluster once.
+    """
+    size = lambda rows, name: rows.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK_SETS).alias(name))
+    sizes = size(index, "blocks").join(size(queries, "turns"), "cluster")
+    own = lambda many: F.pmod(F.xxhash64("key"), F.col(many))
+    every = lambda many: F.explode(F.sequence(F.lit(0).cast("long"), F.col(many) - 1))
+    columns = ["cluster", "block", "turn", "is_query", "key", "component"]
+    left = index.join(sizes, "cluster").withColumn("block", own("blocks")).withColumn("turn", every("turns")).withColumn("is_query", F.lit(False))
+    right = queries.join(sizes, "cluster").withColumn("turn", own("turns")).withColumn("block", every("blocks")).withColumn("is_query", F.lit(True))
+    met = left.select(columns).union(right.select(columns)).join(sets.select("key", "hashes"), "key")
+    return met.groupBy("cluster", "block", "turn").applyInArrow(_search, "a long, b long")
 
 
 def nodes_of(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
@@ -267,36 +292,30 @@ def nodes_of(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFr
 def joined(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of every document row."""
     counts = nodes_of(docs, doc, text)
-    nodes = counts.where("node is not null").groupBy("node").agg(
-        F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.sum("dup").alias("dup"), F.sum("own").alias("own")
-    )
+    dups = counts.where("dup is not null").groupBy("key").agg(F.sum("dup").alias("dup"))
+    nodes = counts.where("node is not null").groupBy("node", "key").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.sum("own").alias("own"))
     nodes = written(nodes, "reps")
-    able = nodes.where(F.col("rep").isNotNull() & (F.col("dup") * 100 >= F.col("n") * PERCENT * F.col("own"))).select("node", "rep")
-    sets = written(_sets_of(docs, able, doc, text), "sets")
+    # copies in several chunks have been counted once in each
+    able = nodes.join(dups, "key").where(F.col("rep").isNotNull() & (F.col("dup") * 100 >= F.col("n") * PERCENT * F.col("own"))).select("node", "rep")
+    sets = written(_sets_of(docs, written(able, "able"), doc, text), "sets")
     frequent = docs.sparkSession.sparkContext.broadcast(_frequent(sets))
-    lists = written(sets.select("key", "n", "hashes").mapInArrow(_first_shingles(frequent), "shingle long, key long, n long, place long"), "lists")
-    stars = written(_links(_leaders(lists), sets), "stars")
-    first = components(stars)
-    rest = written(_links(_across(lists, first), sets), "links")
+    lists = written(sets.select("key", "n", "hashes").mapInArrow(_first_shingles(frequent), "shingle long, key long, n long, share long"), "lists")
+    members = written(_clusters(lists), "clusters")
+    stars = written(_stars(members, sets), "stars")
+    rest = written(_rest(members, components(stars), sets), "links")
     groups = components(stars.unionByName(rest))
 
     # smallest document of each component, then of each node
-    named = nodes.withColumn("key", _key_column("node")).join(F.broadcast(groups) if groups.count() <= BROADCAST_NODES else groups, "key", "left")
-    named = named.withColumn("group", F.coalesce("component", "key"))
-    least = named.where("component is not null").groupBy("group").agg(F.min("rep").alias("least"))
-    named = named.join(least, "group", "left").select("node", F.coalesce("least", "rep").alias("component_id"))
-    return counts.where("row").join(named, "node", "left").select(
+    named = nodes.join(F.broadcast(groups) if groups.count() <= BROADCAST_NODES else groups, "key", "left")
+    least = named.where("component is not null").groupBy("component").agg(F.min("rep").alias("least"))
+    named = named.join(least, "component", "left").select("node", F.coalesce("least", "rep").alias("component_id"))
+    return counts.where("n is not null").join(named, "node", "left").select(
         "doc_id",
         F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
     )
 
 
-def _key_column(node: str):
-    """The first eight bytes of a node's digest as a number, as ``_key`` has it."""
-    return F.conv(F.hex(F.substring(node, 1, 8)), 16, -10).cast("long")
-
-
 def _sets_of(docs: DataFrame, able: DataFrame, doc: str, text: str) -> DataFrame:
     """The whole sets of these nodes, from one document each."""
     ids = able.select("rep")
@@ -306,26 +325,32 @@ def _sets_of(docs: DataFrame, able: DataFrame, doc: str, text: str) -> DataFrame
     return sets.groupBy("node", "key", "n").agg(F.first("hashes").alias("hashes")).join(able, "node", "left_semi")
 
 
-def _leaders(lists: DataFrame) -> DataFrame:
-    """Each node with the two leaders (least key of a list) it shares most lists with."""
-    heads = lists.groupBy("shingle").agg(F.min("key").alias("c"), F.count("*").alias("size")).where("size > 1").select("shingle", "c")
-    shared = lists.join(heads, "shingle").where("key <> c").groupBy("key", "c").count()
-    order = Window.partitionBy("key").orderBy(F.desc("count"), "c")
-    picked = shared.withColumn("nth", F.row_number().over(order)).where("nth <= 2")
-    return picked.select(F.col("c").alias("q"), F.col("key").alias("c"))
-
-
-def _across(lists: DataFrame, groups: DataFrame) -> DataFrame:
-    """All pairs that share a list, lie in different components and could still link."""
-    named = lists.join(groups, "key", "left").withColumn("component", F.coalesce("component", "key"))
-    mixed = named.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("shingle")
-    named = written(named.join(mixed, "shingle", "left_semi"), "mixed")
-    a, b = named.alias("a"), named.alias("b")
-    most = F.least("a.place", "b.place") + F.least(F.col("a.n") - F.col("a.place"), F.col("b.n") - F.col("b.place"))
-    able = (F.col("a.key") < F.col("b.key")) & (F.col("a.component") != F.col("b.component"))
-    able = able & (most * (100 + PERCENT) >= (F.col("a.n") + F.col("b.n")) * PERCENT)
-    pairs = a.join(b, (F.col("a.shingle") == F.col("b.shingle")) & able)
-    return pairs.select(F.col("a.key").alias("q"), F.col("b.key").alias("c")).distinct()
+def _clusters(lists: DataFrame) -> DataFrame:
+    """cluster (its leader's key), key, and how many lists of that leader the node has."""
+    heads = lists.groupBy("shingle").agg(F.max(F.struct("share", (-F.col("key")).alias("least"))).alias("head"), F.count("*").alias("size"))
+    heads = heads.where("size > 1").select("shingle", (-F.col("head.least")).alias("cluster"))
+    return lists.join(heads, "shingle").groupBy("cluster", "key").agg(F.count("*").alias("lists"))
+
+
+def _stars(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links of each node with the two leaders it shares most lists with."""
+    order = Window.partitionBy("key").orderBy(F.desc("lists"), "cluster")
+    near = members.where("key <> cluster").withColumn("nth", F.row_number().over(order)).where("nth <= 2")
+    index = near.select("cluster", "key", F.col("key").alias("component"))
+    leaders = index.select("cluster").distinct().select("cluster", F.col("cluster").alias("key"), F.col("cluster").alias("component"))
+    return _links(leaders, index, sets)
+
+
+def _rest(members: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links across components, in clusters that have several."""
+    few = F.broadcast(groups) if groups.count() <= BROADCAST_NODES else groups
+    named = members.join(few, "key", "left").select("cluster", "key", F.coalesce("component", "key").alias("component"))
+    counts = named.groupBy("cluster", "component").count()
+    largest = counts.groupBy("cluster").agg(F.max(F.struct("count", "component")).alias("top"), F.count("*").alias("parts"))
+    largest = largest.where("parts > 1").select("cluster", F.col("top.component").alias("main"))
+    open_ones = written(named.join(largest, "cluster"), "open")
+    index = open_ones.select("cluster", "key", "component")
+    return _links(open_ones.where("component <> main").select("cluster", "key", "component"), index, sets)
 
 
 def one_of_each(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import decontaminate, jaccard_join, language_id, nearest, sharding, token_files, toxicity, warc
+from eventloom.llm import decontaminate, jaccard_join, language_id, mixing, nearest, sharding, token_files, toxicity, warc
 from eventloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,12 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labelled = mixing.labelled_by_quality(docs, table(spark, sf_dir, "labels"))
+    return mixing.rates(docs, labelled, mixing.WEIGHTS)
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -67,6 +73,7 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_token_files": op1_token_files,
     "op2_decontamination": op2_decontamination,
+    "op3_mixing": op3_mixing,
     "op4_sharding": op4_sharding,
     "op5_toxicity": op5_toxicity,
     "op6_language_id": op6_language_id,

@@ -17,20 +17,6 @@ import numpy as np
 MU = 0.01
 
 
-def inverted_lists(query: np.ndarray, sets: list[np.ndarray]) -> list[list[int]]:
-    """For each element of the sorted query that any set has: the ordered set numbers."""
-    sizes = np.array([len(s) for s in sets])
-    every = np.concatenate(sets) if len(sets) else np.zeros(0, query.dtype)
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    at = np.minimum(np.searchsorted(query, every), len(query) - 1)
-    met = query[at] == every
-    at, owner = at[met], owner[met]
-    order = np.argsort(at, kind="stable")
-    at, owner = at[order], owner[order]
-    cuts = np.flatnonzero(np.diff(at)) + 1
-    return [x.tolist() for x in np.split(owner, cuts)] if len(at) else []
-
-
 def occurring(lists: list[list[int]], least: int) -> dict[int, int]:
     """Set number -> how many lists hold it, for those that ``least`` (at least 1) or more hold."""
     if len(lists) < least:
@@ -71,8 +57,24 @@ def occurring(lists: list[list[int]], least: int) -> dict[int, int]:
     return out
 
 
-def linked(query: np.ndarray, sets: list[np.ndarray], percent: int) -> list[int]:
-    """Numbers of the sets with 100 * shared >= percent * union."""
-    least = max(1, -(-percent * len(query) // 100))
-    found = occurring(inverted_lists(query, sets), least)
-    return [i for i, shared in found.items() if 100 * shared >= percent * (len(query) + len(sets[i]) - shared)]
+class InvertedIndex:
+    """Element -> ordered numbers of the sets that hold it, for one block of sets."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.sizes = np.array([len(s) for s in sets], np.int64)
+        every = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+        owner = np.repeat(np.arange(len(sets)), self.sizes)
+        order = np.argsort(every, kind="stable")
+        self.owner, every = owner[order], every[order]
+        self.element, start = np.unique(every, return_index=True)
+        self.start = np.append(start, len(every))
+
+    def linked(self, query: np.ndarray, percent: int) -> list[int]:
+        """Numbers of the sets with 100 * shared >= percent * union."""
+        if not len(self.element):
+            return []
+        at = np.minimum(np.searchsorted(self.element, query), len(self.element) - 1)
+        at = at[self.element[at] == query]
+        lists = [self.owner[a:b].tolist() for a, b in zip(self.start[at], self.start[at + 1], strict=True)]
+        found = occurring(lists, max(1, -(-percent * len(query) // 100)))
+        return sorted(i for i, shared in found.items() if 100 * shared >= percent * (len(query) + self.sizes[i] - shared))

@@ -13,7 +13,7 @@ Three steps, all in DataFrame functions:
    residual is measured in the metric of the domains' overlaps, in which a step of
    length one is right; without a rate at zero the first step is exact.
 3. A document is taken ``floor(rate)`` times and once more by a coin with the rest
-   as its chance. The coin is a hash of id and text, so it can be repeated.
+   as its chance. The coin is a hash of the id, so it can be repeated.
 
 Only sums per domain reach the driver. Labelled rows are all used.
 
@@ -26,6 +26,7 @@ domain every rate is 1. Repeated rows are mixed row by row.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -43,25 +44,29 @@ SEED = 31
 #: Characters and pairs whose rates tell languages and kinds of text apart.
 _COUNTED = ("th", "en", "qu", "ou", "ch", "ci", "a", "o", "z", "w", "é", "ó", "ü", "ñ", "!", "|", "%", ".", "\n")
 
-_PREFIX = "mix_"
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, wherever the optimizer moves the expression."""
+    return F.get(F.transform(F.array(value), body), 0)
 
 
-def measured(docs: DataFrame, text: str) -> DataFrame:
-    """The rows with ``mix_tokens`` (white-space words) and one ``mix_f<k>`` per rate."""
-    value = F.coalesce(F.col(text), F.lit(""))
-    out = docs.withColumn(_PREFIX + "text", value).withColumn(_PREFIX + "chars", F.greatest(F.length(value), F.lit(1)))
-    value, chars = F.col(_PREFIX + "text"), F.col(_PREFIX + "chars")
-    size = F.octet_length(value)
-    rates = [(size - F.octet_length(F.replace(value, F.lit(c), F.lit("")))) / len(c.encode()) for c in _COUNTED]
-    rates += [size - F.length(value), F.regexp_count(value, F.lit("[A-Z]"))]
-    tokens = F.regexp_count(value, F.lit(r"\S+")).cast("long")
-    out = out.withColumn(_PREFIX + "tokens", tokens)
-    rates = [x / chars for x in rates] + [F.col(_PREFIX + "tokens") / chars]
-    out = out.select("*", *(F.sqrt(x.cast("double")).alias(f"{_PREFIX}f{k}") for k, x in enumerate(rates)))
-    return out.drop(_PREFIX + "text", _PREFIX + "chars")
+def token_count(text: str) -> Column:
+    """White-space words of a text."""
+    return F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(r"\S+")).cast("long")
 
 
-FEATURES = [f"{_PREFIX}f{k}" for k in range(len(_COUNTED) + 3)]
+def features(text: str) -> Column:
+    """Square roots of the rates per character, as an array."""
+
+    def of(value: Column) -> Column:
+        size = F.octet_length(value)
+        counts = [(size - F.octet_length(F.replace(value, F.lit(c), F.lit("")))) / len(c.encode()) for c in _COUNTED]
+        counts += [size - F.length(value), F.regexp_count(value, F.lit("[A-Z]"))]
+        return F.array(*(F.sqrt(x / F.greatest(F.length(value), F.lit(1))).cast("double") for x in counts))
+
+    return _let(F.coalesce(F.col(text), F.lit("")), of)
+
+
+N_FEATURES = len(_COUNTED) + 2
 
 
 @dataclass
@@ -73,44 +78,42 @@ class Classifier:
     mean: list[list[float]]
     variance: list[list[float]]
 
-    def posteriors(self) -> list[Column]:
-        """Log odds of each domain, up to a constant, from the measured columns."""
-        out = []
-        for prior, mean, variance in zip(self.prior, self.mean, self.variance, strict=True):
-            parts = [((F.col(f) - m) * (F.col(f) - m)) * (-0.5 / v) for f, m, v in zip(FEATURES, mean, variance, strict=True)]
-            constant = -0.5 * sum(map(math.log, variance)) / SOFTNESS + math.log(prior)
-            out.append(reduce(lambda a, b: a + b, parts) / SOFTNESS + constant)
-        return out
+    def posteriors(self, found: Column) -> Column:
+        """Array of the domains' posteriors from an array of features."""
+
+        def odds(f: Column) -> Column:
+            out = []
+            for prior, mean, variance in zip(self.prior, self.mean, self.variance, strict=True):
+                parts = [(f[k] - m) * (f[k] - m) * (-0.5 / v / SOFTNESS) for k, (m, v) in enumerate(zip(mean, variance, strict=True))]
+                out.append(_total(parts) + (-0.5 * sum(map(math.log, variance)) / SOFTNESS + math.log(prior)))
+            return F.array(*out)
+
+        k = range(len(self.domains))
+        likely = lambda x: F.array(*(F.exp(x[d] - F.array_max(x)) for d in k))
+        shares = lambda x: F.array(*(x[d] / _total([x[e] for e in k]) for d in k))
+        return _let(_let(_let(found, odds), likely), shares)
+
+
+def _total(parts: list[Column]) -> Column:
+    return reduce(lambda a, b: a + b, parts)
 
 
 def classifier(table: DataFrame, labelled: DataFrame, doc: str) -> Classifier:
     """From all labelled rows (``doc``, ``domain``): one aggregate row per domain."""
     rows = table.join(labelled.select(doc, "domain").where("domain is not null"), doc)
-    wanted = [x for f in FEATURES for x in (F.avg(f).alias(f + "_m"), F.var_pop(f).alias(f + "_v"))]
+    f = F.col("features")
+    wanted = [x for k in range(N_FEATURES) for x in (F.avg(f[k]).alias(f"m{k}"), F.var_pop(f[k]).alias(f"v{k}"))]
     found = sorted(rows.groupBy("domain").agg(F.count("*").alias("n"), *wanted).collect(), key=lambda r: r["domain"])
     total = sum(r["n"] for r in found)
-    floor = [max(1e-6, 0.05 * float(np.mean([r[f + "_v"] for r in found]))) if found else 1e-6 for f in FEATURES]
+    floor = [max(1e-6, 0.05 * float(np.mean([r[f"v{k}"] for r in found]))) if found else 1e-6 for k in range(N_FEATURES)]
     return Classifier(
         [r["domain"] for r in found],
         [r["n"] / total for r in found],
-        [[r[f + "_m"] for f in FEATURES] for r in found],
-        [[r[f + "_v"] + v for f, v in zip(FEATURES, floor, strict=True)] for r in found],
+        [[r[f"m{k}"] for k in range(N_FEATURES)] for r in found],
+        [[r[f"v{k}"] + floor[k] for k in range(N_FEATURES)] for r in found],
     )
 
 
-def _with_posteriors(rows: DataFrame, model: Classifier) -> DataFrame:
-    """``mix_p<d>`` for every domain, summing to one."""
-    k = range(len(model.domains))
-    rows = rows.select("*", *(x.alias(f"{_PREFIX}l{d}") for d, x in zip(k, model.posteriors(), strict=True)))
-    top = F.greatest(*(F.col(f"{_PREFIX}l{d}") for d in k)) if len(k) > 1 else F.col(f"{_PREFIX}l0")
-    rows = rows.withColumn(_PREFIX + "top", top)
-    rows = rows.select("*", *(F.exp(F.col(f"{_PREFIX}l{d}") - F.col(_PREFIX + "top")).alias(f"{_PREFIX}e{d}") for d in k))
-    total = reduce(lambda a, b: a + b, (F.col(f"{_PREFIX}e{d}") for d in k))
-    rows = rows.withColumn(_PREFIX + "sum", total)
-    rows = rows.select("*", *((F.col(f"{_PREFIX}e{d}") / F.col(_PREFIX + "sum")).alias(f"{_PREFIX}p{d}") for d in k))
-    return rows.drop(*(f"{_PREFIX}{x}{d}" for x in "le" for d in k), _PREFIX + "top", _PREFIX + "sum")
-
-
 @dataclass
 class Mix:
     """What gives each document its rate: classifier and the steps of the fit."""
@@ -121,25 +124,28 @@ class Mix:
     reached: list[float]
     targets: list[float]
 
-    def rate(self) -> Column:
-        """Nonnegative rate from the posteriors: each step moves and projects."""
+    def rate(self, p: Column) -> Column:
+        """Nonnegative rate from an array of posteriors: each step moves and projects."""
         out = F.lit(1.0)
         for step in self.steps:
-            moved = reduce(lambda a, b: a + b, (F.col(f"{_PREFIX}p{d}") * v for d, v in enumerate(step)))
-            out = F.greatest(F.lit(0.0), out - moved)
+            out = F.greatest(F.lit(0.0), out - _total([p[d] * v for d, v in enumerate(step)]))
         return out
 
 
-def fit(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], *, doc: str = "doc_id", text: str = "text") -> tuple[Mix, DataFrame]:
-    """The mix, and the measured table of all documents (id, tokens, rates of characters)."""
-    table = written(measured(docs.select(doc, text), text).drop(text), "measured")
+def fit(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], *, whole: tuple[str, ...] = (), doc: str = "doc_id", text: str = "text") -> tuple[Mix, DataFrame]:
+    """The mix, and the table of all documents with id, tokens, features (and posteriors).
+
+    The targets are shares of all tokens there are; with ``whole``, of as many
+    more as these domains need so that none of them has to be thinned.
+    """
+    table = written(docs.select(doc, token_count(text).alias("tokens"), features(text).alias("features")), "measured")
     model = classifier(table, labelled, doc)
     if not model.domains:
         return Mix(model, [], [], []), table
     k = len(model.domains)
-    rows = written(_with_posteriors(table, model).select(_PREFIX + "tokens", *(f"{_PREFIX}p{d}" for d in range(k))), "posteriors")
-    p, tokens = [F.col(f"{_PREFIX}p{d}") for d in range(k)], F.col(_PREFIX + "tokens").cast("double")
-    first = rows.agg(F.sum(tokens).alias("n"), *(F.sum(tokens * p[a] * p[b]).alias(f"o{a}_{b}") for a in range(k) for b in range(a, k))).first()
+    table = written(table.withColumn("p", model.posteriors(F.col("features"))).drop("features"), "posteriors")
+    p, tokens = F.col("p"), F.col("tokens").cast("double")
+    first = table.agg(F.sum(tokens).alias("n"), *(F.sum(tokens * p[a] * p[b]).alias(f"o{a}_{b}") for a in range(k) for b in range(a, k)), *(F.sum(tokens * p[d]).alias(f"s{d}") for d in range(k))).first()
     total = first["n"] or 0.0
     if not total:
         return Mix(model, [], [0.0] * k, [0.0] * k), table
@@ -147,9 +153,12 @@ def fit(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], *, doc:
     inverse = np.linalg.pinv(overlap, rcond=1e-6, hermitian=True)
     wanted = np.array([max(0.0, weights.get(x, 0.0)) for x in model.domains])
     wanted = wanted / wanted.sum() if wanted.sum() else np.full(k, 1 / k)
+    have = {x: first[f"s{d}"] / total for d, x in enumerate(model.domains)}
+    wanted = wanted * max([have[x] / w for x, w in zip(model.domains, wanted, strict=True) if x in whole and w], default=1.0)
     mix, best = Mix(model, [], [], (wanted * total).tolist()), None
     for _ in range(STEPS + 1):
-        sums = rows.agg(*(F.sum(tokens * mix.rate() * x).alias(f"s{d}") for d, x in enumerate(p))).first()
+        weighed = table.select("p", (tokens * mix.rate(p)).alias("weight"))
+        sums = weighed.agg(*(F.sum(F.col("weight") * p[d]).alias(f"s{d}") for d in range(k))).first()
         reached = np.array([sums[f"s{d}"] for d in range(k)]) / total
         miss = float(np.abs(reached - wanted).max())
         if best is None or miss < best[0]:
@@ -161,12 +170,8 @@ def fit(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], *, doc:
     return mix, table
 
 
-def _with_copies(rows: DataFrame, mix: Mix, coin: Column) -> DataFrame:
-    """``mix_rate`` and ``mix_copies`` for measured rows."""
-    if mix.model.domains:
-        rows = _with_posteriors(rows, mix.model)
-    rows = rows.withColumn(_PREFIX + "rate", mix.rate())
-    return rows.withColumn(_PREFIX + "copies", F.floor(F.col(_PREFIX + "rate") + coin).cast("int"))
+def _copies(rate: Column, coin: Column) -> Column:
+    return F.floor(rate + coin).cast("int")
 
 
 def coin_of(*columns: str) -> Column:
@@ -174,33 +179,28 @@ def coin_of(*columns: str) -> Column:
     return F.pmod(F.xxhash64(F.lit(SEED), *columns), F.lit(1 << 30)) / float(1 << 30)
 
 
-def rates(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], *, doc: str = "doc_id", text: str = "text") -> DataFrame:
+def rates(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], *, whole: tuple[str, ...] = (), doc: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: doc_id, n_tokens, likeliest domain, its posterior, rate and copies."""
-    mix, table = fit(docs, labelled, weights, doc=doc, text=text)
-    rows = _with_copies(table, mix, coin_of(doc))
+    mix, table = fit(docs, labelled, weights, whole=whole, doc=doc, text=text)
+    p = F.col("p")
     if mix.model.domains:
-        pairs = [F.struct(F.col(f"{_PREFIX}p{d}").alias("p"), F.lit(x).alias("x")) for d, x in enumerate(mix.model.domains)]
-        top = F.greatest(*pairs) if len(pairs) > 1 else pairs[0]
+        pairs = [F.struct(p[d].alias("p"), F.lit(x).alias("x")) for d, x in enumerate(mix.model.domains)]
+        best = F.array_max(F.array(*pairs))
     else:
-        top = F.struct(F.lit(None).cast("double").alias("p"), F.lit(None).cast("string").alias("x"))
-    rows = rows.withColumn(_PREFIX + "best", top)
-    return rows.select(
-        F.col(doc).alias("doc_id"),
-        F.col(_PREFIX + "tokens").alias("n_tokens"),
-        F.col(_PREFIX + "best.x").alias("domain"),
-        F.col(_PREFIX + "best.p").alias("posterior"),
-        F.col(_PREFIX + "rate").alias("rate"),
-        F.col(_PREFIX + "copies").alias("copies"),
-    )
+        best = F.struct(F.lit(None).cast("double").alias("p"), F.lit(None).cast("string").alias("x"))
+    rows = table.select(F.col(doc).alias("doc_id"), F.col("tokens").alias("n_tokens"), best.alias("best"), mix.rate(p).alias("rate"))
+    return rows.select("doc_id", "n_tokens", F.col("best.x").alias("domain"), F.col("best.p").alias("posterior"), "rate", _copies(F.col("rate"), coin_of("doc_id")).alias("copies"))
 
 
-def mixed(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], *, doc: str = "doc_id", text: str = "text") -> DataFrame:
+def mixed(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], *, whole: tuple[str, ...] = (), doc: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents themselves, each as often as its rate says. No join: a rate follows from the text."""
-    mix, _ = fit(docs, labelled, weights, doc=doc, text=text)
-    rows = _with_copies(measured(docs, text), mix, coin_of(doc))
-    rows = rows.where(F.col(_PREFIX + "copies") > 0)
-    rows = rows.withColumn(_PREFIX + "nth", F.explode(F.sequence(F.lit(1), F.col(_PREFIX + "copies"))))
-    return rows.select(*(F.col(f"`{c}`") for c in docs.columns))
+    mix, _ = fit(docs, labelled, weights, whole=whole, doc=doc, text=text)
+    if not mix.model.domains:
+        return docs
+    rate = _let(mix.model.posteriors(features(text)), mix.rate)
+    nth = F.explode(F.array_repeat(F.lit(1), _copies(rate, coin_of(doc))))
+    names, free = [F.col(f"`{c}`") for c in docs.columns], "nth" + "_" * max(map(len, docs.columns))
+    return docs.select(*names, nth.alias(free)).select(*names)
 
 
 def labelled_by_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -211,3 +211,5 @@ def labelled_by_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 #: Token shares by language and quality label that the registered query and the pipeline aim at.
 WEIGHTS = {"en/1": 0.45, "de/1": 0.17, "fr/1": 0.17, "es/1": 0.11, "en/0": 0.06, "de/0": 0.015, "fr/0": 0.015, "es/0": 0.01}
+#: Domains that are not thinned to get there.
+WHOLE = ("en/1", "de/1", "fr/1", "es/1")

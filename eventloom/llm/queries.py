@@ -35,7 +35,7 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labelled = mixing.labelled_by_quality(docs, table(spark, sf_dir, "labels"))
-    return mixing.rates(docs, labelled, mixing.WEIGHTS)
+    return mixing.rates(docs, labelled, mixing.WEIGHTS, whole=mixing.WHOLE)
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Toxicity scores from averaged subword embeddings and a linear softmax.
 
-A word is a bag of itself and its character 3- to 5-grams, with word edges; each
-has a vector in a hashed table. A span of ``SPAN`` words is the mean of its
+A word is the bag of its character 3- to 5-grams, word edges included; each has a
+vector in a hashed table. A span of ``SPAN`` words is the mean of its
 words' vectors, and a linear softmax tells toxic spans from others. Table and
 softmax are trained jointly in numpy, so a misspelling that was never seen is
 near the words whose n-grams it shares.
@@ -40,6 +40,8 @@ PER_LABEL = 4000
 TEXT_BYTES = 16 << 10
 ROUNDS = 6
 SEED = 17
+#: How often a subword must occur to be learned.
+LEAST_SEEN = 3
 #: Texts that a round goes through at least, with repeats.
 LEAST_SPANS = 3000
 CHUNK_BYTES = 4 << 20
@@ -61,7 +63,7 @@ def _lowered(data: np.ndarray) -> np.ndarray:
 
 
 def subwords(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the word and n-grams of each word at these bytes, and the splits."""
+    """Buckets of the n-grams of each word at these bytes, and the splits."""
     length = end - start + 1
     where = ranges(start, length)
     chars = _lowered(data[np.minimum(where, len(data) - 1)])
@@ -70,13 +72,6 @@ def subwords(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.n
     edge = code == _EDGE
     word = np.cumsum(edge) - 1  # of the character that follows this place's edge
     owners, buckets = [], []
-    # whole words: all characters between two edges
-    at = np.flatnonzero(edge)
-    scrambled = mixed(code + np.uint64(1))
-    place = np.arange(len(code)) - at[word]
-    total = np.add.reduceat(scrambled * mixed(place.astype(np.uint64) + np.uint64(77)), at[:-1])
-    owners.append(np.arange(len(start)))
-    buckets.append(mixed(total))
     for n in (3, 4, 5):
         if len(code) < n:
             continue
@@ -86,7 +81,7 @@ def subwords(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.n
             h = mixed(h * np.uint64(31) + code[k : k + len(inner)])
             if 0 < k < n - 1:
                 inner |= edge[k : k + len(inner)]
-        good = np.flatnonzero(~inner & ~(edge[n - 1 :] & edge[: len(inner)] & (n < 3)))
+        good = np.flatnonzero(~inner)
         owners.append(word[good])
         buckets.append(h[good])
     owner, bucket = np.concatenate(owners), (np.concatenate(buckets) % np.uint64(BUCKETS)).astype(np.int32)
@@ -137,7 +132,10 @@ def fit(texts: list, toxic: list, *, rounds: int = ROUNDS, seed: int = SEED) ->
     _, first, back = np.unique(words.hash, return_index=True, return_inverse=True)
     ids, splits = subwords(data, words.start[first], words.end[first])
     size = np.diff(splits)
-    table = rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32)
+    table = rng.normal(0, 0.02, (BUCKETS, DIM)).astype(np.float32)
+    seen = np.bincount(ids, np.repeat(np.bincount(back), size), BUCKETS)
+    table[seen < LEAST_SEEN] = 0  # too rare to learn anything of
+    learned = (table != 0).any(1)
     weight, bias = rng.normal(0, 0.1, (DIM, 2)).astype(np.float32), np.zeros(2, np.float32)
     square = [np.full(BUCKETS, 1e-6, np.float32), np.full((DIM, 2), 1e-6, np.float32), np.full(2, 1e-6, np.float32)]
     used = np.diff(words.splits) > 0
@@ -161,6 +159,7 @@ def fit(texts: list, toxic: list, *, rounds: int = ROUNDS, seed: int = SEED) ->
         for lo in range(0, len(order), 1024):
             part = chosen[order[lo : lo + 1024]]
             _step(at[part], marks[order[lo : lo + 1024]], words, back, ids, splits, table, weight, bias, square)
+            table[~learned] = 0
     per_bucket = (table @ (weight[:, 1] - weight[:, 0])).astype(np.float64)
     value = np.add.reduceat(per_bucket[ids], splits[:-1]) / size
     means, _, spans = _span_means(value[back], words.splits)

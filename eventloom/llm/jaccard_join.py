@@ -60,7 +60,7 @@ BLOCK_SETS = 256
 BROADCAST_NODES = 1 << 20
 
 _PARTS = "bucket int, doc_id long, node binary, n int, own int, key long, dup long, hashes binary, docs binary, keys binary"
-_COUNTS = "doc_id long, node binary, n int, own int, key long, dup long"
+_COUNTS = "doc_id long, node binary, n int, own int, key long, dup long, lane int, keys binary, dups binary"
 _ZSTD = pa.Codec("zstd", compression_level=1)
 
 
@@ -132,12 +132,13 @@ def _postings(bits: int):
     return of
 
 
-def _shared(part: pa.Table) -> pa.Table:
-    """One bucket: how many shingles of each node another node has as well."""
-    kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+def _shared(part: pa.Table, lanes: int) -> pa.Table:
+    """One bucket: how many shingles of each node another node has as well, packed by lanes of nodes."""
+    kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
     schema = pa.schema(list(zip([x.split()[0] for x in _COUNTS.split(", ")], kinds, strict=True)))
     packed = part.column("hashes").is_valid()
-    out = [part.filter(pc.invert(packed)).select(schema.names).cast(schema)]
+    plain = part.filter(pc.invert(packed))
+    out = [pa.Table.from_arrays([*(plain.column(c) for c in schema.names[:6]), *(pa.nulls(len(plain), k) for k in kinds[6:])], schema=schema)]
     part = part.filter(packed)
     if len(part):
         hashes, owners, keys, base = [], [], [], 0
@@ -159,12 +160,26 @@ def _shared(part: pa.Table) -> pa.Table:
         several = (least != np.maximum.reduceat(who, start)) | (least < 0)
         several = np.repeat(several, np.diff(np.concatenate((start, [len(value)]))))
         dup = np.bincount(node[owner[several & (owner >= 0)]], minlength=int(node.max()) + 1 if len(node) else 0)
-        met, names = np.flatnonzero(dup), np.unique(key)
-        none = [pa.nulls(len(met), k) for k in kinds[:4]]
-        out.append(pa.Table.from_arrays([*none, pa.array(names[met], pa.int64()), pa.array(dup[met], pa.int64())], schema=schema))
+        met = np.flatnonzero(dup)
+        names, dup = np.unique(key)[met], dup[met]
+        lane = names % lanes
+        order = np.argsort(lane, kind="stable")
+        names, dup, lane = names[order], dup[order], lane[order]
+        used, start = np.unique(lane, return_index=True)
+        cut = lambda x, kind: pa.array([y.astype(kind).tobytes() for y in np.split(x, start[1:])] if len(used) else [], pa.binary())
+        columns = [*(pa.nulls(len(used), k) for k in kinds[:6]), pa.array(used, pa.int32()), cut(names, "<i8"), cut(dup, "<i4")]
+        out.append(pa.Table.from_arrays(columns, schema=schema))
     return pa.concat_tables(out)
 
 
+def _summed(part: pa.Table) -> pa.Table:
+    """One lane: the counts of each node over all buckets."""
+    join = lambda c, kind: np.frombuffer(b"".join(part.column(c).to_pylist()), kind)
+    key, at = np.unique(join("keys", "<i8"), return_inverse=True)
+    dup = np.bincount(at, join("dups", "<i4"), len(key)).astype(np.int64)
+    return pa.table({"key": pa.array(key, pa.int64()), "dup": pa.array(dup, pa.int64())})
+
+
 def _whole_sets(batches):
     """For mapInArrow: node key, size and hashes of each text that has words."""
     for batch in batches:
@@ -282,17 +297,19 @@ def _links(queries: DataFrame, index: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def nodes_of(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document (``row``) and counts of shared shingles per node, as written."""
+    """A row per document (node, key, n), and counts of shared shingles per node, single and packed; as written."""
     postings = max(1, text_bytes(docs, text) // 6)
     bits = max(2, (-(-postings // BUCKET_POSTINGS) - 1).bit_length())
     parts = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(_postings(bits), _PARTS)
-    return written(parts.groupBy("bucket").applyInArrow(_shared, _COUNTS), "nodes")
+    lanes = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return written(parts.groupBy("bucket").applyInArrow(lambda part: _shared(part, lanes), _COUNTS), "nodes")
 
 
 def joined(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of every document row."""
     counts = nodes_of(docs, doc, text)
-    dups = counts.where("dup is not null").groupBy("key").agg(F.sum("dup").alias("dup"))
+    summed = counts.where("lane is not null").select("lane", "keys", "dups").groupBy("lane").applyInArrow(_summed, "key long, dup long")
+    dups = counts.where("dup is not null").select("key", "dup").union(summed).groupBy("key").agg(F.sum("dup").alias("dup"))
     nodes = counts.where("node is not null").groupBy("node", "key").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.sum("own").alias("own"))
     nodes = written(nodes, "reps")
     # copies in several chunks have been counted once in each
@@ -306,9 +323,10 @@ def joined(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFram
     groups = components(stars.unionByName(rest))
 
     # smallest document of each component, then of each node
-    named = nodes.join(F.broadcast(groups) if groups.count() <= BROADCAST_NODES else groups, "key", "left")
-    least = named.where("component is not null").groupBy("component").agg(F.min("rep").alias("least"))
-    named = named.join(least, "component", "left").select("node", F.coalesce("least", "rep").alias("component_id"))
+    grouped = written(nodes.join(groups, "key").select("node", "component", "rep"), "grouped")
+    least = grouped.groupBy("component").agg(F.min("rep").alias("least"))
+    named = grouped.join(least, "component").select("node", "least")
+    named = nodes.join(named, "node", "left").select("node", F.coalesce("least", "rep").alias("component_id"))
     return counts.where("n is not null").join(named, "node", "left").select(
         "doc_id",
         F.col("n").cast("long").alias("n_shingles"),

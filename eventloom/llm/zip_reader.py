@@ -41,8 +41,9 @@ class ZipReader:
     def _directory(self, size: int):
         tail = self._at(max(0, size - _TAIL), min(size, _TAIL))
         at = tail.rfind(_END)
-        while at >= 0 and at + 22 + struct.unpack_from("<H", tail, at + 20)[0] != len(tail):
-            at = tail.rfind(_END, 0, at)  # the mark may stand in a comment
+        # the mark may stand in a comment: the true one's comment ends with the file
+        while at >= 0 and (at + 22 > len(tail) or at + 22 + struct.unpack_from("<H", tail, at + 20)[0] != len(tail)):
+            at = tail.rfind(_END, 0, at)
         if at < 0:
             raise ValueError("no end of a central directory")
         entries, length, start = struct.unpack_from("<HII", tail, at + 10)

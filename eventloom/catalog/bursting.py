@@ -14,6 +14,7 @@ from eventloom.operators.joins import key_coverage
 from eventloom.operators.quality import size_report, source_report
 from eventloom.operators.windows import out_of_order, running_anchor
 from eventloom.plans.bursts import burst_users, gap_report, watchlist_gaps
+from eventloom.sources.inventory import file_profile
 from eventloom.sources.readers import with_row_place
 
 HOUR = 3600
@@ -33,8 +34,14 @@ def burst(spark, sf_dir):
 
 
 def burst_default(spark, sf_dir):
-    """Two-second gaps, counted without a lower limit."""
-    return burst_users(_events(spark, sf_dir), more_than=0, spread_by=PLACE)
+    """Gaps of two seconds or less, more than ten of them, on events into which every
+    watched user's first one is put eleven more times, a second or two apart."""
+    events = _events(spark, sf_dir).select("user_id", "event_timestamp")
+    first = events.join(F.broadcast(watched_users(spark, sf_dir)), "user_id", "left_semi").groupBy("user_id").agg(F.min("event_timestamp").alias("first"))
+    steps = F.explode(F.sequence(F.lit(1), F.lit(11))).alias("k")
+    seconds = F.col("k") + F.call_function("div", F.col("k"), F.lit(3))
+    planted = first.select("user_id", "first", steps).select("user_id", (F.col("first") + F.make_dt_interval(secs=seconds)).alias("event_timestamp"))
+    return burst_users(events.union(planted))
 
 
 def watched_gaps(spark, sf_dir):
@@ -58,7 +65,8 @@ def dq_sizes(spark, sf_dir):
     """The sizes that matter for a broadcast and a cache."""
     events = table(spark, sf_dir, "events")
     money = events.where(F.col("event_type").isin("purchase", "error"))
-    return size_report(profile(spark, sf_dir), events, money.select("user_id", "event_type", "value"))
+    files = file_profile(spark, {"customer": f"{sf_dir}/customer.parquet"})
+    return size_report(files, events, money.select("user_id", "event_type", "value"))
 
 
 def anchors(spark, sf_dir):
@@ -91,8 +99,13 @@ SQL = {
     "q_gap_events": f"with {_ALL} select * from g where gap_seconds <= 3600",
     "q_burst_users": f"""with {_ALL} select user_id, count(gap_seconds) as total_count
         from g where gap_seconds <= 3600 group by user_id having count(gap_seconds) > 2""",
-    "q_burst_users_tight": f"""with {_ALL} select user_id, count(gap_seconds) as total_count
-        from g where gap_seconds <= 2 group by user_id having count(gap_seconds) > 0""",
+    "q_burst_users_tight": f"""with f as (
+          select user_id, min(ts) as first from events
+          where user_id in (select c_custkey from customer where c_acctbal < 0) group by user_id),
+        e as (select user_id, ts from events union all
+          select user_id, first + to_seconds(k + k // 3) from f, range(1, 12) as t(k)), {_GAPS.format(source="e")}
+        select user_id, count(gap_seconds) as total_count
+        from g where gap_seconds <= 2 group by user_id having count(gap_seconds) > 10""",
     "q_watchlist_gaps": f"""with {_WATCHED} select user_id, count(*) as tight_gaps
         from g where gap_seconds < 3600 group by user_id""",
     "q_dq_sources": f"""with {_WATCHED},

@@ -83,10 +83,10 @@ def drift_status(spark, sf_dir):
 
 
 def domain_leak(spark, sf_dir):
-    """App versions of either version that do not belong to it."""
+    """App versions of either version that the older one does not allow."""
     old, new = (read_root(spark, path) for path in _paths(spark, sf_dir).values())
     leaks = rows_outside(old, "app_version", list(V1_APPS)).withColumn("root", F.lit("v1"))
-    return leaks.unionByName(rows_outside(new, "app_version", list(V2_APPS)).withColumn("root", F.lit("v2")))
+    return leaks.unionByName(rows_outside(new, "app_version", list(V1_APPS)).withColumn("root", F.lit("v2")))
 
 
 def domain_shared(spark, sf_dir):
@@ -185,7 +185,7 @@ SQL = {
           where app_version not in ('3.0','3.1','3.2','3.5','4.0','4.1') group by app_version
         union all
         select app_version, count(*), 'v2' from v2
-          where app_version not in ('4.2','4.3','4.5') group by app_version""",
+          where app_version not in ('3.0','3.1','3.2','3.5','4.0','4.1') group by app_version""",
     "q_domain_shared": f"""with {VERSIONS_SQL}
         select 'event_type' as column_name, event_type as value
           from (select event_type from v1 intersect select event_type from v2)

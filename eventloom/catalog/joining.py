@@ -13,7 +13,7 @@ from eventloom.catalog.tables import ACTIVITY_SQL, PROFILE_SQL, activity, profil
 from eventloom.operators.aggregates import count_by
 from eventloom.operators.joins import enrich, hot_key_join, key_coverage, only_listed, salted_join
 from eventloom.plans.enrichment import first_enriched
-from eventloom.plans.pairs import pairs_counted, pairs_hot_salted, pairs_joined, pairs_salted
+from eventloom.plans.pairs import pairs_counted, pairs_hot_salted, pairs_salted
 
 
 def _shown(pairs):
@@ -21,7 +21,7 @@ def _shown(pairs):
 
 
 def self_join_pairs(spark, sf_dir):
-    return _shown(pairs_joined(table(spark, sf_dir, "documents"), "lang"))
+    return _shown(pairs_counted(table(spark, sf_dir, "documents"), "lang"))
 
 
 def self_join_pairs_eager(spark, sf_dir):

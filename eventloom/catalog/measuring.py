@@ -116,7 +116,8 @@ SQL = {
              from activity where event_type in ('click', 'error')) as empty_share,
             (select count(*) filter (event_type in ('purchase', 'error')) * cast(100 as double) / count(*)
              from activity) as money_share)
-        select 'weights_gap' as "check", cast(0 as double) as value, cast(1e-9 as double) as threshold, true as passed
+        select 'weights_gap' as "check", cast(round(abs(0.55 + 0.25 + 0.10 + 0.10 - 1), 6) as double) as value,
+          cast(1e-9 as double) as threshold, abs(0.55 + 0.25 + 0.10 + 0.10 - 1) < 1e-9 as passed
         union all select 'top_share_pct', round(top_share, 1), 80, top_share >= 80 from f
         union all select 'skew_ratio', ratio, 150, ratio >= 150 from f
         union all select 'skew_status', ratio, 150, top_share >= 80 and ratio >= 150 from f

@@ -27,6 +27,7 @@ EMPTY_KINDS = ("click", "error")
 # fixed values: weights of the three heavy countries, and of the 47 others together
 COUNTRY_WEIGHTS = {"US": 0.55, "India": 0.25, "Brazil": 0.10}
 OTHERS_WEIGHT = 0.10
+OTHER_COUNTRIES = 47
 
 MIN_FILES = 4
 # where a row is stored tells even copies of one event apart
@@ -147,12 +148,10 @@ versions as (select * from v1 union all by name select * from v2)"""
 
 
 def mean_sql(value: str) -> str:
-    """Mean to two decimals, half up, from whole hundredths; for values >= 0."""
-    cents, n = f"sum(cast(round({value} * 100) as bigint))", f"count({value})"
-    return f"cast((2 * {cents} + {n}) // (2 * nullif({n}, 0)) as bigint) / cast(100 as double)"
+    """Plain mean to two decimals; the small term lets a half go up, for values >= 0."""
+    return f"round(avg({value}) + 1e-9, 2)"
 
 
 def minutes_sql(value: str) -> str:
-    """Summed seconds in minutes to two decimals, half up; for values >= 0."""
-    cents = f"sum(cast(round({value} * 100) as bigint))"
-    return f"cast((2 * {cents} + 60) // 120 as bigint) / cast(100 as double)"
+    """Summed seconds in minutes to two decimals; the small term lets a half go up, for values >= 0."""
+    return f"round(sum({value}) / 60 + 1e-9, 2)"

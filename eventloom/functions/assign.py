@@ -14,11 +14,6 @@ def padded_id(prefix: str, number: Column, width: int) -> Column:
     return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0")))
 
 
-def stable_draw(*keys: Column) -> Column:
-    """A repeatable draw in [0, 1) from the given columns."""
-    return F.pmod(F.xxhash64(*keys), F.lit(1 << 53)) / F.lit(float(1 << 53))
-
-
 def pick_weighted(draw: Column, weights: Mapping[str, float]) -> Column:
     """The category whose cumulative weight first exceeds ``draw``.
 

@@ -1,8 +1,10 @@
-"""Means and minutes rounded half up without depending on summation order.
+"""Rounded means and minutes that do not depend on summation order.
 
 Sums of doubles change with the order rows arrive in, and so can a rounded
-mean. Durations carry at most two decimals, so they are summed as whole
-hundredths in a bigint, which stays exact and inside generated code.
+mean. Where every value of a group is a whole number of hundredths, the group is
+summed in those, as a bigint, which stays exact and inside generated code. A
+group with any other value (more decimals, NaN, infinity) takes the plain
+``round(sum / count, 2)`` of doubles.
 """
 
 from __future__ import annotations
@@ -10,6 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Below this a double's hundredths are exact whole numbers.
+_EXACT_BELOW = 1e13
+
 
 def hundredths(value: Column) -> Column:
     """A two-decimal double as a whole number of hundredths, to the nearest one.
@@ -19,6 +24,12 @@ def hundredths(value: Column) -> Column:
     return F.floor(value * F.lit(100.0) + F.lit(0.5)).cast("bigint")
 
 
+def _whole(value: Column) -> Column:
+    """Is the value the double nearest to some number of hundredths? NaN is not."""
+    near = F.floor(F.when(F.abs(value) < _EXACT_BELOW, value) * F.lit(100.0) + F.lit(0.5))
+    return F.coalesce(near / F.lit(100.0) == value, F.lit(False))
+
+
 def half_up(numerator: Column, denominator: Column) -> Column:
     """numerator / denominator rounded half away from zero, as bigint; null over 0."""
     safe = F.nullif(denominator, F.lit(0).cast("bigint"))
@@ -26,16 +37,37 @@ def half_up(numerator: Column, denominator: Column) -> Column:
     return F.when(numerator < 0, -size).otherwise(size)
 
 
-def mean_of(total_hundredths: Column, count: Column) -> Column:
-    """Mean with two decimals from a sum of hundredths and a count."""
-    return half_up(total_hundredths, count) / F.lit(100.0)
+#: What a mean or a sum travels as: exact sum, values outside it, plain sum, count.
+PARTS = ("cents", "others", "plain", "n")
+
+
+def parts_of(value: Column) -> list[Column]:
+    """Aggregates ``PARTS`` over the non-null values."""
+    return [
+        F.sum(F.when(_whole(value), hundredths(value))).alias("cents"),
+        F.count_if(value.isNotNull() & ~_whole(value)).alias("others"),
+        F.sum(value).alias("plain"),
+        F.count(value).alias("n"),
+    ]
+
+
+def parts_again() -> list[Column]:
+    """Aggregates ``PARTS`` over rows that have them already."""
+    return [F.sum(name).alias(name) for name in PARTS]
+
+
+def mean_from(cents: Column, others: Column, plain: Column, n: Column) -> Column:
+    """Mean with two decimals, from ``PARTS``; null without values."""
+    return F.when(others == 0, half_up(cents, n) / F.lit(100.0)).otherwise(F.round(plain / F.nullif(n, F.lit(0)), 2))
 
 
 def exact_mean(value: Column) -> Column:
     """Aggregate: mean of non-null values to two decimals; null when all are null."""
-    return mean_of(F.sum(hundredths(value)), F.count(value))
+    return mean_from(*parts_of(value))
 
 
 def exact_minutes(seconds: Column) -> Column:
     """Aggregate: summed seconds as minutes with two decimals; null when all are null."""
-    return half_up(F.sum(hundredths(seconds)), F.lit(60).cast("bigint")) / F.lit(100.0)
+    cents, others, plain, _ = parts_of(seconds)
+    exact = half_up(cents, F.lit(60).cast("bigint")) / F.lit(100.0)
+    return F.when(others == 0, exact).otherwise(F.round(plain / F.lit(60.0), 2))

@@ -19,10 +19,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventloom.functions.sizing import estimated_bytes
+
 LANES = 512
-MAX_HOT_KEYS = 1024
+#: Bytes that one task should get at most; what a key may hold before it is hot.
+TASK_BYTES = 256 * 1024 * 1024
 _MIN_TRACKED = 1024
-_MAX_TRACKED = 16384
 
 
 def key_hash(keys: Sequence[str]) -> Column:
@@ -41,7 +43,7 @@ class HotKeys:
         return bool(self.pieces)
 
     def table(self, spark: SparkSession) -> DataFrame:
-        """The list as a table of at most ``MAX_HOT_KEYS`` rows."""
+        """The list as a table; at most half as many rows as there are tasks."""
         return spark.createDataFrame(list(self.pieces), "hot_hash bigint, hot_pieces int")
 
 
@@ -52,6 +54,16 @@ def target_tasks(df: DataFrame) -> int:
     return int(first or conf.get("spark.sql.shuffle.partitions"))
 
 
+def planned_tasks(df: DataFrame) -> int:
+    """Tasks for this table: what the session plans, or more where those would exceed ``TASK_BYTES``.
+
+    A size that Catalyst does not know (its default is no size) leaves the session's number.
+    """
+    size = estimated_bytes(df) or 0
+    known = size < int(df.sparkSession.conf.get("spark.sql.defaultSizeInBytes", str(2**63 - 1)))
+    return max(target_tasks(df), math.ceil(size / TASK_BYTES) if known else 0)
+
+
 def find_hot_keys(
     df: DataFrame,
     keys: str | Sequence[str],
@@ -65,10 +77,11 @@ def find_hot_keys(
     pieces of all hot keys together number at most ``spread`` plus the keys.
     """
     names = (keys,) if isinstance(keys, str) else tuple(keys)
-    tasks = spread or target_tasks(df)
+    tasks = spread or planned_tasks(df)
     share = min_share if min_share is not None else min(0.5, 2.0 / tasks)
-    tracked = min(_MAX_TRACKED, max(_MIN_TRACKED, 2 * tasks))
-    limit = min(MAX_HOT_KEYS, max(1, math.floor(1.0 / share)))
+    limit = max(1, math.floor(1.0 / share))
+    # at most 1 / share keys reach the share; the sketch follows twice as many, or tasks if more
+    tracked = max(_MIN_TRACKED, 2 * tasks, 2 * limit)
 
     lanes = (
         df.select(key_hash(names).alias("h"), F.pmod(F.spark_partition_id(), F.lit(LANES)).alias("lane"))

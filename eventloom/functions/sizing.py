@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 # Parquet bytes after column pruning; several times that once decoded.
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
@@ -30,21 +29,9 @@ def fits_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
     return size is not None and size <= max_bytes
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast within the bound; beyond it leave the join to the optimizer."""
-    return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
-
-
-def file_count(
-    df: DataFrame,
-    target_bytes: int = 128 * 1024 * 1024,
-    minimum: int = 1,
-    maximum: int = 20_000,
-) -> int:
-    """Files needed to hold ``df`` at about ``target_bytes`` each.
-
-    Past ``maximum`` the files grow instead: a shuffle into more partitions
-    costs more than it saves.
-    """
-    size = estimated_bytes(df) or 0
-    return max(minimum, min(maximum, math.ceil(size / target_bytes)))
+def file_count(df: DataFrame, target_bytes: int = 128 * 1024 * 1024, minimum: int = 1) -> int:
+    """Files needed to hold ``df`` at about ``target_bytes`` each; an unknown size is refused."""
+    size = estimated_bytes(df)
+    if size is None:
+        raise ValueError("the size of this plan is unknown; give the number of files")
+    return max(minimum, math.ceil(size / target_bytes))

@@ -65,10 +65,10 @@ def share_of_rows(condition: Column) -> Column:
 
 
 def value_shares(df: DataFrame, key: str, places: int = 1) -> DataFrame:
-    """Rows and percentage of all rows per key. The total is one number, found
-    in its own pass, so no window pulls every key into one task."""
+    """Rows and percentage of all rows per key. The total is one number summed
+    from the same counts, so no window pulls every key into one task."""
     counts = count_by(df, key, name="n")
-    total = df.agg(F.count(F.lit(1))).scalar()
+    total = counts.agg(F.sum("n")).scalar()
     return counts.withColumn("share_pct", F.round(F.col("n") * F.lit(100.0) / total, places))
 
 
@@ -103,9 +103,10 @@ def scaled_counts(part: DataFrame, key: str, total_rows: Column) -> DataFrame:
 
     An estimate; ``count_by`` on the whole table is exact.
     """
-    seen = part.agg(F.count(F.lit(1)).cast("decimal(20,0)")).scalar()
+    counts = count_by(part, key, name="n")
+    seen = counts.agg(F.sum("n").cast("decimal(20,0)")).scalar()
     grown = F.call_function("div", F.col("n").cast("decimal(20,0)") * total_rows.cast("decimal(18,0)"), seen)
-    return count_by(part, key, name="n").withColumn("estimated_rows", grown.cast("bigint"))
+    return counts.withColumn("estimated_rows", grown.cast("bigint"))
 
 
 def expected_vs_actual(df: DataFrame, key: str, weights: DataFrame) -> DataFrame:
@@ -113,8 +114,8 @@ def expected_vs_actual(df: DataFrame, key: str, weights: DataFrame) -> DataFrame
 
     ``weights`` has columns ``key`` and ``weight``; a key without rows shows 0.
     """
-    total = df.agg(F.count(F.lit(1))).scalar()
     counts = count_by(df, key, name="actual_rows")
+    total = F.coalesce(counts.agg(F.sum("actual_rows")).scalar(), F.lit(0))
     expected = F.floor(F.col("weight").cast("decimal(10,9)") * total.cast("decimal(20,0)"))
     return (
         weights.join(counts, key, "left")

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.functions.hotkeys import HotKeys, find_hot_keys, key_hash
+from eventloom.functions.hotkeys import TASK_BYTES, HotKeys, find_hot_keys, key_hash
 from eventloom.functions.salt import SALT, pick_spread, row_salt
 from eventloom.functions.sizing import MAX_BROADCAST_BYTES, fits_broadcast
 
@@ -58,31 +59,58 @@ def hot_key_join(
     hot: HotKeys | None = None,
     spread: int | None = None,
     spread_by: Sequence[str] | None = None,
+    max_bytes: int = MAX_BROADCAST_BYTES,
+    task_bytes: int = TASK_BYTES,
 ) -> DataFrame:
     """Salt only keys that are too big for one task; others join as they are.
 
-    Each hot key is cut in proportion to its share, and only its right rows are
-    repeated. Without hot keys this is the plain join. Left rows with a null
-    key match nothing, so in a left join they are spread over all salts.
+    A right side within ``max_bytes`` is broadcast and nothing is shuffled.
+    Beyond it each hot key is cut in proportion to its share on either side, and
+    only its rows on the other side are repeated; a right side that one task can
+    hold, ``task_bytes``, has none. Without hot keys this is the plain join. Left
+    rows with a null key match nothing, so in a left join they are spread over
+    all salts. A semi or anti join needs each right key once. A left join with a
+    key that is hot on the right is an inner and an anti join, as its left rows
+    cannot be repeated.
     """
     _check_kind(how)
     keys = _names(on)
+    if fits_broadcast(right, max_bytes):
+        return left.join(F.broadcast(right), keys, how)
     hot = find_hot_keys(left, keys, spread=spread) if hot is None else hot
-    if not hot:
+    if how in ("left_semi", "left_anti"):
+        right, hot_right = right.select(*keys).distinct(), HotKeys(tuple(keys))
+    elif fits_broadcast(right, task_bytes):
+        hot_right = HotKeys(tuple(keys))
+    else:
+        present = reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in keys))
+        hot_right = find_hot_keys(right.where(present), keys, spread=spread)
+    if hot_right and how == "left":
+        options = dict(hot=hot, spread=spread, spread_by=spread_by, max_bytes=max_bytes, task_bytes=task_bytes)
+        met, alone = (hot_key_join(left, right, on, how=kind, **options) for kind in ("inner", "left_anti"))
+        return met.unionByName(alone, allowMissingColumns=True)
+    if not hot and not hot_right:
         return left.join(right, keys, how)
-    cuts = F.broadcast(hot.table(left.sparkSession))  # at most MAX_HOT_KEYS rows
-    pieces = F.coalesce(F.col("hot_pieces"), F.lit(1))
 
     def tagged(df: DataFrame) -> DataFrame:
-        return df.withColumn("key_hash", key_hash(keys)).join(
-            cuts, F.col("key_hash") == F.col("hot_hash"), "left"
-        )
-
-    salted = tagged(left).withColumn(SALT, row_salt(pick_spread(left, spread_by), pieces))
-    repeated = _repeat(tagged(right), pieces)
-    extra = ("key_hash", "hot_hash", "hot_pieces")
-    joined = salted.drop(*extra).join(repeated.drop(*extra), [*keys, SALT], how)
-    return joined.drop(SALT)
+        """With how many pieces the left and the right rows of the key are cut into."""
+        out = df.withColumn("key_hash", key_hash(keys))
+        for found, name in ((hot, "cuts"), (hot_right, "cuts_right")):
+            table = found.table(df.sparkSession).toDF("hot_hash", name)  # at most half as many rows as tasks
+            out = out.join(F.broadcast(table), F.col("key_hash") == F.col("hot_hash"), "left").drop("hot_hash")
+            out = out.withColumn(name, F.coalesce(name, F.lit(1)))
+        return out
+
+    extra = ("key_hash", "cuts", "cuts_right")
+    every = lambda many: F.explode(F.sequence(F.lit(0), F.col(many) - F.lit(1)))
+    salted = tagged(left).withColumn(SALT, row_salt(pick_spread(left, spread_by), F.col("cuts")))
+    repeated = tagged(right).withColumn(SALT, every("cuts"))
+    salts = [SALT]
+    if hot_right:
+        salts.append(SALT + "_right")
+        salted = salted.withColumn(salts[1], every("cuts_right"))
+        repeated = repeated.withColumn(salts[1], row_salt(pick_spread(right, None), F.col("cuts_right")))
+    return salted.drop(*extra).join(repeated.drop(*extra), [*keys, *salts], how).drop(*salts)
 
 
 def counted_side(df: DataFrame, key: str, name: str = "partners") -> DataFrame:
@@ -129,18 +157,16 @@ def enrich(
     """Inner join of a fact table with a dimension.
 
     ``shuffle`` asks for a sort-merge join, ``broadcast`` for a broadcast when
-    the dimension's estimated size is within ``max_bytes`` and a sort-merge
-    join otherwise, ``salted`` for a join that spreads hot keys, and ``auto``
-    leaves it to the optimizer's own threshold.
+    the dimension's estimated size is within ``max_bytes``; beyond it, and for
+    ``salted``, hot keys are spread. ``auto`` leaves it to the optimizer's own
+    threshold. A sort-merge join spreads hot keys as well.
     """
     if strategy == "broadcast":
-        if fits_broadcast(dimension, max_bytes):
-            return fact.join(F.broadcast(dimension), on, "inner")
-        return fact.join(dimension.hint("merge"), on, "inner")
+        return hot_key_join(fact, dimension, on, max_bytes=max_bytes)
     if strategy == "shuffle":
-        return fact.join(dimension.hint("merge"), on, "inner")
+        return hot_key_join(fact, dimension.hint("merge"), on, max_bytes=0)
     if strategy == "salted":
-        return hot_key_join(fact, dimension, on)
+        return hot_key_join(fact, dimension, on, max_bytes=0)
     if strategy == "auto":
         return fact.join(dimension, on, "inner")
     raise ValueError(f"unknown strategy {strategy}")
@@ -159,7 +185,7 @@ def only_listed(
     listed = ids.select(key)
     if fits_broadcast(listed, max_bytes):
         return df.join(F.broadcast(listed), key, "left_semi")
-    return hot_key_join(df, listed.distinct(), key, how="left_semi", spread_by=spread_by)
+    return hot_key_join(df, listed, key, how="left_semi", spread_by=spread_by, max_bytes=0)
 
 
 def key_coverage(fact: DataFrame, dimension: DataFrame, key: str) -> DataFrame:

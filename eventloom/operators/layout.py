@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
@@ -10,22 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def hash_partition(keys: Sequence[str], partitions: int):
-    """The partition ``repartition(partitions, *keys)`` sends a row to."""
-    return F.pmod(F.hash(*[F.col(k) for k in keys]), F.lit(partitions))
-
-
-def rows_per_partition(df: DataFrame, keys: Sequence[str], partitions: int) -> DataFrame:
-    """Rows each partition would hold after ``repartition(partitions, *keys)``.
-
-    Counted from the key's hash before anything moves, so measuring a skewed
-    layout does not send a third of the table to one task. Empty partitions
-    have no row.
-    """
-    place = hash_partition(keys, partitions).alias("partition_id")
-    return df.select(place).groupBy("partition_id").agg(F.count(F.lit(1)).alias("rows"))
-
-
 def rows_in_place(df: DataFrame) -> DataFrame:
     """Rows per partition of the plan as it stands; empty partitions have no row."""
     return (

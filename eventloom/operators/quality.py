@@ -61,22 +61,24 @@ def quality_report(
         F.count_if(empties & F.col(duration).isNull()).alias("n_empty"),
         F.count_if(F.col(kind).isin(list(money_kinds))).alias("n_money"),
     )
+    # a missing key is no key: its rows count among all, never as most, least or leader
+    per_key = per_key.withColumn("known", F.when(F.col(key).isNotNull(), F.col("n")))
     # asks for every count, so that both uses of the per-key table share one exchange
-    counts = ("n", "n_empty_kind", "n_empty", "n_money")
+    counts = ("n", "n_empty_kind", "n_empty", "n_money", "known")
     leaders = (
-        per_key.orderBy(F.col("n").desc(), F.col(key))
+        per_key.orderBy(F.col("known").desc_nulls_last(), F.col(key))
         .limit(top)
         .agg(F.struct(*[F.sum(c).alias(c) for c in counts]))
         .scalar()
     )
     totals = per_key.agg(
         F.sum("n").alias("rows"),
-        F.max("n").alias("most"),
-        F.min("n").alias("least"),
+        F.max("known").alias("most"),
+        F.min("known").alias("least"),
         F.sum("n_empty_kind").alias("empty_kind"),
         F.sum("n_empty").alias("empty"),
         F.sum("n_money").alias("money"),
-    ).withColumn("leaders", leaders["n"])
+    ).withColumn("leaders", leaders["known"])
 
     share = lambda part, whole: F.col(part) * F.lit(100.0) / F.nullif(F.col(whole), F.lit(0))
     top_share = share("leaders", "rows")
@@ -129,7 +131,7 @@ def source_report(
 
 
 def size_report(
-    dimension: DataFrame,
+    dimension_files: DataFrame,
     wide: DataFrame,
     narrow: DataFrame,
     *,
@@ -137,16 +139,17 @@ def size_report(
 ) -> DataFrame:
     """Does the dimension stay small, and is the narrow table smaller than the wide one?
 
-    Values are bytes from plan statistics; an unknown size fails its check.
-    Each row is taken over the table it is about, so an empty one fails too.
+    ``dimension_files`` has a row per file (``file_profile``); its value is their
+    bytes. Wide and narrow are plans, measured by Catalyst's estimate; an unknown
+    size fails its check, and so does an empty table.
     """
-    small, full, slim = (estimated_bytes(df) for df in (dimension, wide, narrow))
-    fits = small is not None and small < max_dimension_bytes
+    full, slim = (estimated_bytes(df) for df in (wide, narrow))
     less = None not in (full, slim) and slim < full
     some = F.count(F.lit(1)) > 0
     size = lambda n: F.lit(None if n is None else float(n)).cast("double")
+    stored, held = F.sum("file_bytes"), F.sum("rows")
     rows = [
-        dimension.agg(check_row("dimension_bytes", size(small), max_dimension_bytes, F.lit(fits) & some).alias("c")),
+        dimension_files.agg(check_row("dimension_bytes", stored, max_dimension_bytes, (stored < max_dimension_bytes) & (held > 0)).alias("c")),
         narrow.agg(check_row("narrow_bytes", size(slim), full or 0, F.lit(less) & some).alias("c")),
     ]
     return reduce(DataFrame.unionByName, rows).select("c.*")

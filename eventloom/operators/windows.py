@@ -21,12 +21,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.functions.hotkeys import HotKeys, find_hot_keys, key_hash
+from eventloom.functions.moments import gap_seconds
 from eventloom.functions.salt import pick_spread
 
 SLICE = "slice_no"
 _HASH, _TIE = "slice_hash", "slice_tie"
-# most slices per key, and cut points per block of the two-step lookup
-MAX_SLICES = 4096
+# cut points per block of the two-step lookup
 BLOCK = 64
 
 
@@ -68,11 +68,10 @@ def find_cuts(
 
     Quantile sketches are merged from partial ones, so no task sees a key whole.
     """
-    limited = HotKeys(hot.keys, tuple((h, min(n, MAX_SLICES)) for h, n in hot.pieces))
-    finest = max(n for _, n in limited.pieces)
+    finest = max(n for _, n in hot.pieces)
     order_type = df.schema[order_by].dataType.simpleString()
     hot_rows = df.select(key_hash(keys).alias(_HASH), F.col(order_by), tie.alias(_TIE)).join(
-        F.broadcast(limited.table(df.sparkSession)), F.col(_HASH) == F.col("hot_hash")
+        F.broadcast(hot.table(df.sparkSession)), F.col(_HASH) == F.col("hot_hash")
     )
     found = (
         hot_rows.where(F.col(order_by).isNotNull())
@@ -210,7 +209,7 @@ def with_gaps(
 ) -> DataFrame:
     """Add ``previous_timestamp`` and the whole-second gap to it."""
     seen = with_previous(df, key, time, name="previous_timestamp", **options)
-    return seen.withColumn(name, F.unix_timestamp(time) - F.unix_timestamp("previous_timestamp"))
+    return seen.withColumn(name, gap_seconds(F.col(time), F.col("previous_timestamp")))
 
 
 def running_anchor(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.functions.exact import exact_mean, exact_minutes, hundredths, mean_of
+from eventloom.functions.exact import PARTS, exact_mean, exact_minutes, mean_from, parts_again, parts_of
 from eventloom.functions.sizing import MAX_BROADCAST_BYTES, fits_broadcast
 from eventloom.operators.layout import kept
 from eventloom.operators.windows import top_per_group
@@ -38,17 +38,12 @@ def mean_duration(
     profile_keys = [k for k in keys if k not in event_keys and k != on]
     narrow = events.select(on, *event_keys, value)
     side = profile.select(on, *profile_keys)
-    total, count = F.sum(hundredths(F.col(value))), F.count(value)
     if fits_broadcast(side, max_bytes):
-        joined = narrow.join(F.broadcast(side), on)
+        joined, parts = narrow.join(F.broadcast(side), on), parts_of(F.col(value))
     else:
-        joined = (
-            narrow.groupBy(on, *event_keys)
-            .agg(total.alias("part_sum"), count.alias("part_n"))
-            .join(side, on)
-        )
-        total, count = F.sum("part_sum"), F.sum("part_n")
-    return joined.groupBy(*keys).agg(mean_of(total, count).alias(MEAN))
+        joined, parts = narrow.groupBy(on, *event_keys).agg(*parts_of(F.col(value))).join(side, on), parts_again()
+    sums = joined.groupBy(*keys).agg(*parts)
+    return sums.select(*keys, mean_from(*[F.col(p) for p in PARTS]).alias(MEAN))
 
 
 def top_groups(means: DataFrame, group: str, n: int = 5) -> DataFrame:

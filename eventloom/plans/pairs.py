@@ -1,7 +1,8 @@
-"""Pairs of events that share a skewed key: four ways to one answer.
+"""Pairs of events that share a skewed key: three ways to one answer.
 
-None of them forms the pairs. The self-join's right side is shrunk to a count
-per key first, and each left row adds up the partners it would have met.
+None of them forms the pairs. One count per key, squared, is enough; the salted
+ways shrink the self-join's right side to a count per key, and each left row
+adds up the partners it would have met.
 """
 
 from __future__ import annotations
@@ -17,14 +18,8 @@ from eventloom.operators.joins import (
 )
 
 
-def pairs_joined(df: DataFrame, key: str) -> DataFrame:
-    """Rows joined to the partner counts of their key, then summed."""
-    left = df.select(key).alias("a")
-    return sum_partners(left.join(counted_side(df, key).alias("b"), key), key)
-
-
 def pairs_salted(df: DataFrame, key: str, spread_by: list[str], buckets: int = 10) -> DataFrame:
-    """As ``pairs_joined``, with every key spread over ``buckets`` tasks."""
+    """Rows joined to the partner counts of their key, every key spread over ``buckets`` tasks."""
     left = df.select(key, *[c for c in spread_by if c != key])
     return sum_partners(
         salted_join(left, counted_side(df, key), key, buckets=buckets, spread_by=spread_by), key
@@ -32,10 +27,10 @@ def pairs_salted(df: DataFrame, key: str, spread_by: list[str], buckets: int = 1
 
 
 def pairs_hot_salted(df: DataFrame, key: str, spread_by: list[str], **options) -> DataFrame:
-    """As ``pairs_joined``, with only the hot keys spread."""
+    """The same with only the hot keys spread, whatever the size of the counts."""
     left = df.select(key, *[c for c in spread_by if c != key])
     return sum_partners(
-        hot_key_join(left, counted_side(df, key), key, spread_by=spread_by, **options), key
+        hot_key_join(left, counted_side(df, key), key, spread_by=spread_by, **{"max_bytes": 0, **options}), key
     )
 
 

@@ -7,17 +7,18 @@ from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
-from eventloom.functions.assign import null_where, padded_id, pick_uniform, pick_weighted, stable_draw
+from eventloom.functions.assign import null_where, padded_id, pick_uniform, pick_weighted
 from eventloom.functions.exact import exact_mean, exact_minutes
 from eventloom.functions.salt import label_part, salt_label
 from eventloom.operators.aggregates import expected_vs_actual, share_of_rows, skew_profile
 from eventloom.operators.evolution import column_changes, only_adds
 from eventloom.operators.joins import key_coverage, only_listed
-from eventloom.operators.quality import quality_report
+from eventloom.operators.quality import quality_report, size_report
 from eventloom.operators.sets import rows_outside, unknown_values
 from eventloom.operators.windows import out_of_order, top_per_group, with_gaps
 from eventloom.plans.bursts import burst_users, gap_events
 from eventloom.plans.durations import mean_duration, mean_of_means, minutes_per_user, weighted_mean
+from eventloom.sources.inventory import file_profile
 from eventloom.sources.readers import read_merged, read_unmerged, read_versions, union_versions, with_row_place
 from eventloom.sources.schemas import EVENTS_V1, EVENTS_V2
 
@@ -92,6 +93,28 @@ def test_means_round_half_away_from_zero(spark, values, want):
     assert df.agg(exact_mean(F.col("x"))).first()[0] == want
 
 
+NAN, INF = float("nan"), float("inf")
+
+
+@pytest.mark.parametrize(
+    "values",
+    [[0.006, 0.006, 0.0], [1.234, 5.678, None], [NAN, 10.0], [INF, 1.0], [-INF, 1.0], [INF, -INF], [-0.006, -0.129], [1e300, 2.0], [0.125], [-2.5, 7.25]],
+)
+def test_means_and_minutes_beyond_two_decimals(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = df.agg(exact_mean(F.col("x")), exact_minutes(F.col("x"))).first()
+    want = df.agg(F.round(F.avg("x"), 2), F.round(F.sum("x") / 60, 2)).first()
+    assert [str(v) for v in got] == [str(v) for v in want]
+
+
+def test_split_means_beyond_two_decimals(spark):
+    events = spark.createDataFrame([(1, "US", 0.006), (1, "US", 0.006), (2, "US", 0.0), (2, "UK", NAN), (1, "UK", 2.0)], "user_id bigint, country string, duration_seconds double")
+    users = spark.createDataFrame([(1, "a"), (2, "a")], "user_id bigint, user_segment string")
+    for max_bytes in (0, 10**9):
+        got = {r["country"]: str(r["total_avg_duration"]) for r in mean_duration(events, users, ["country"], max_bytes=max_bytes).collect()}
+        assert got == {"US": "0.0", "UK": "nan"}
+
+
 def test_minutes_round_half_up(spark):
     # 0.3 s is 0.005 min
     assert spark.sql("select 0.3D as x").agg(exact_minutes(F.col("x"))).first()[0] == 0.01
@@ -191,7 +214,7 @@ def test_column_changes():
 
 def test_assignments(spark):
     df = spark.range(100_000)
-    draw = stable_draw(F.col("id"))
+    draw = F.pmod(F.xxhash64("id"), F.lit(1 << 53)) / F.lit(float(1 << 53))
     shares = df.select(pick_weighted(draw, {"a": 0.55, "b": 0.35, "c": 0.10}).alias("x")).groupBy("x").count()
     found = {r["x"]: r["count"] / 100_000 for r in shares.collect()}
     assert abs(found["a"] - 0.55) < 0.01 and abs(found["c"] - 0.10) < 0.01
@@ -247,6 +270,24 @@ def test_domains(spark):
     assert [r[0] for r in unknown_values(df, allowed, "app").collect()] == ["4.2"]
 
 
+def test_missing_key_is_no_key(spark):
+    rows = [("US", "click", None)] * 200 + [("IN", "purchase", 1.0)] * 100 + [(None, "view", 1.0)]
+    df = spark.createDataFrame(rows, "country string, event_type string, duration_seconds double")
+    got = {r["check"]: (r["value"], r["passed"]) for r in quality_report(df, key="country", weights={"a": 1.0}).collect()}
+    assert got["skew_ratio"] == (2.0, False) == (float(skew_profile(df, "country").first()["ratio"]), False)
+    assert got["top_share_pct"] == (99.7, True) and not got["skew_status"][1] and not got["partition_ratio"][1]
+
+
+def test_stored_bytes_are_the_files_bytes(spark, tmp_path):
+    root = str(tmp_path / "dim")
+    spark.range(1000).repartition(3).write.parquet(root)
+    files = file_profile(spark, {"dim": root})
+    size = sum(f.stat().st_size for f in (tmp_path / "dim").glob("part-*.parquet"))
+    for limit, passed in ((size, False), (size + 1, True)):
+        row = size_report(files, spark.range(10), spark.range(5), max_dimension_bytes=limit).where("check = 'dimension_bytes'").first()
+        assert (row["value"], row["passed"]) == (float(size), passed)
+
+
 def test_quality_report_fails_bad_data(spark):
     rows = [("US", "click", 1.0), ("UK", "view", None)]
     df = spark.createDataFrame(rows, "country string, event_type string, duration_seconds double")

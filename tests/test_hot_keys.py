@@ -9,11 +9,11 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from eventloom.functions.hotkeys import HotKeys, find_hot_keys, key_hash
+from eventloom.functions.hotkeys import HotKeys, find_hot_keys, key_hash, planned_tasks
 from eventloom.operators.aggregates import count_by, salted_aggregate
 from eventloom.operators.joins import hot_key_join, pair_counts, salted_join
 from eventloom.operators.windows import find_cuts, add_slices, running_anchor, with_gaps, with_previous
-from eventloom.plans.pairs import pairs_counted, pairs_hot_salted, pairs_joined, pairs_salted
+from eventloom.plans.pairs import pairs_counted, pairs_hot_salted, pairs_salted
 from eventloom.sources.readers import with_row_place
 
 START = datetime.datetime(2024, 1, 1)
@@ -98,8 +98,9 @@ def test_split_joins_are_the_plain_join(spark, salt_keys, right_side, how, broad
         want = bag(salt_keys.join(right_side, "k", how))
         for k in (1, 2, 10):
             assert bag(salted_join(salt_keys, right_side, "k", buckets=k, how=how, spread_by=["id"])) == want
-        assert bag(hot_key_join(salt_keys, right_side, "k", how=how, spread=16)) == want
-        assert bag(hot_key_join(salt_keys, right_side, "k", how=how, hot=HotKeys(("k",)))) == want
+        assert bag(hot_key_join(salt_keys, right_side, "k", how=how, spread=16, max_bytes=0)) == want
+        assert bag(hot_key_join(salt_keys, right_side, "k", how=how)) == want
+        assert bag(hot_key_join(salt_keys, right_side, "k", how=how, hot=HotKeys(("k",)), max_bytes=0)) == want
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
@@ -117,24 +118,56 @@ def test_join_on_two_columns(spark):
     left = spark.createDataFrame(rows, "id int, a string, b int")
     right = spark.createDataFrame([("x", 0, "p"), ("x", 1, "q"), ("y", 0, "r")], "a string, b int, v string")
     want = bag(left.join(right, ["a", "b"]))
-    assert bag(hot_key_join(left, right, ["a", "b"], spread=8, spread_by=["id"])) == want
+    assert bag(hot_key_join(left, right, ["a", "b"], spread=8, spread_by=["id"], max_bytes=0)) == want
 
 
 def test_hot_pieces_really_spread(spark, salt_keys):
     hot = find_hot_keys(salt_keys, "k", spread=16)
     joined = hot_key_join(
         salt_keys, spark.createDataFrame([("hot", 1)], "k string, v int").hint("merge"), "k",
-        hot=hot, spread_by=["id"],
+        hot=hot, spread_by=["id"], max_bytes=0,
     )
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "salt" in plan
 
 
-def test_four_ways_to_count_pairs(spark, salt_keys):
+def test_key_that_is_hot_on_the_right(spark):
+    left = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), (None, 4)], "k string, i int")
+    right = spark.createDataFrame([("a", j) for j in range(300)] + [("b", 1), ("c", 2), (None, 3)], "k string, j int")
+    split = hot_key_join(left, right, "k", spread=16, max_bytes=0, task_bytes=0)
+    plan = split._jdf.queryExecution().optimizedPlan().toString()
+    assert "cuts_right" in plan
+    assert bag(split) == bag(left.join(right, "k"))
+    for how in ("left", "left_semi", "left_anti"):
+        assert bag(hot_key_join(left, right, "k", how=how, spread=16, max_bytes=0, task_bytes=0)) == bag(left.join(right, "k", how))
+
+
+def test_small_right_side_is_broadcast(spark, salt_keys):
+    known = spark.range(3).select(F.elt(F.col("id").cast("int") + 1, F.lit("hot"), F.lit("a_b"), F.lit("c")).alias("k"), "id")
+    plan = hot_key_join(salt_keys, known.withColumnRenamed("id", "v"), "k", spread=16)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_no_bound_on_the_number_of_hot_keys(spark):
+    # 3,000 keys with two and a half times the share of a task, among 20,000 planned tasks
+    rows = spark.range(3000 * 25 + 125_000)
+    keys = rows.select(F.when(F.col("id") < 75_000, F.col("id") % 3000).otherwise(F.col("id")).alias("k"))
+    hot = find_hot_keys(keys, "k", spread=20_000)
+    wanted = {r["h"] for r in spark.range(3000).select(key_hash(["id"]).alias("h")).collect()}
+    assert wanted == {h for h, _ in hot.pieces}
+
+
+def test_threshold_follows_the_bytes(spark, monkeypatch):
+    df = spark.range(1000)
+    assert planned_tasks(df) == 8
+    monkeypatch.setattr("eventloom.functions.hotkeys.TASK_BYTES", 100)
+    assert planned_tasks(df) == 80
+
+
+def test_three_ways_to_count_pairs(spark, salt_keys):
     sizes = Counter(k for _, k in skewed_keys() if k is not None)
     want = Counter({(k, n * n): 1 for k, n in sizes.items()})
     for pairs in (
-        pairs_joined(salt_keys, "k"),
         pairs_salted(salt_keys, "k", ["id"]),
         pairs_hot_salted(salt_keys, "k", ["id"], spread=16),
         pairs_counted(salt_keys, "k"),

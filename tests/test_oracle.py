@@ -40,4 +40,4 @@ def test_entry(spark):
 
 def test_every_sql_has_a_query():
     assert set(oracle_sql()) <= set(queries())
-    assert set(all_queries()) - set(oracle_sql()) == {"q_partition_balance", "q_dq_sizes"}
+    assert set(all_queries()) - set(oracle_sql()) == {"q_dq_sizes"}

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from eventloom.functions.assign import null_where, pick_uniform, pick_weighted
 from eventloom.functions.sizing import file_count
 from eventloom.sources.readers import with_row_place
-from eventloom.sources.scratch import scratch_path
+from eventloom.sources.scratch import current_space, scratch_path
 from eventloom.sources.writers import write_ordered
 
 # fixed values: app versions of both event versions, test groups and flags
@@ -97,24 +97,22 @@ def version_frames(
     return old, new
 
 
-_WRITTEN: dict[tuple[str, str], dict[str, tuple[str, int]]] = {}
-
-
 def version_roots(spark: SparkSession, sf_dir: str) -> dict[str, tuple[str, int]]:
     """Both versions as Parquet roots in time order: name -> (path, files).
 
-    Written once per application and table folder, then shared by the queries.
+    Written once per scratch space and table folder, then shared by the queries
+    that run in that space.
     """
-    place = (spark.sparkContext.applicationId, sf_dir)
-    if place not in _WRITTEN:
+    kept = current_space(spark).kept
+    if sf_dir not in kept:
         written = {}
         order = ["event_timestamp", "event_id"]
         for name, rows in zip(("v1", "v2"), version_frames(spark, sf_dir, PLACE), strict=True):
             path, files = scratch_path(spark, f"events-{name}"), file_count(rows, minimum=MIN_FILES)
             write_ordered(rows, path, files, order, place=PLACE, input_roots=[sf_dir])
             written[name] = (path, files)
-        _WRITTEN[place] = written
-    return _WRITTEN[place]
+        kept[sf_dir] = written
+    return kept[sf_dir]
 
 
 # ---- the same tables as SQL --------------------------------------------------

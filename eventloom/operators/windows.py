@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventloom.functions.hotkeys import HotKeys, find_hot_keys, key_hash
+from eventloom.functions.hotkeys import LANES, HotKeys, find_hot_keys, key_hash
 from eventloom.functions.moments import gap_seconds
 from eventloom.functions.salt import pick_spread
 
@@ -40,14 +40,37 @@ class Cuts:
     schema: str
 
 
-def _quantiles(column: str, finest: int, pieces: Column) -> Column:
-    """Aggregate: the pieces - 1 cut points, thinned out of finest - 1 quantiles."""
-    steps = [i / finest for i in range(1, finest)]
-    points = F.percentile_approx(column, steps, max(10_000, 10 * finest))
-    place = lambda i: F.call_function("div", i * F.lit(finest), pieces) - F.lit(1)
-    return F.transform(
-        F.sequence(F.lit(1), pieces - F.lit(1)), lambda i: F.get(points, place(i).cast("int"))
+def _cut_points(rows: DataFrame, group: list[str], pieces: str, column: str, finest: int) -> DataFrame:
+    """Per group the pieces - 1 points that cut its rows, in the order of ``column``, evenly.
+
+    In two steps, so that no task reads a sketch of every input split: each lane of
+    splits has its own quantiles and count, and the lanes' points, a bounded
+    number, are merged by their weights. A point that many rows share is given
+    as often as it is crossed.
+    """
+    each = max(64, 2 * finest)
+    steps = [(i + 0.5) / each for i in range(each)]
+    lanes = (
+        rows.where(F.col(column).isNotNull())
+        .withColumn("lane", F.pmod(F.spark_partition_id(), F.lit(LANES)))
+        .groupBy(*group, pieces, "lane")
+        .agg(F.percentile_approx(column, steps, max(10_000, 10 * finest)).alias("points"), F.count(F.lit(1)).alias("n"))
+    )
+    points = (
+        lanes.select(*group, pieces, F.explode("points").alias("point"), (F.col("n") / F.lit(float(each))).alias("weight"))
+        .groupBy(*group, pieces, "point")
+        .agg(F.sum("weight").alias("weight"))
     )
+    whole = Window.partitionBy(*group, pieces)
+    upto = whole.orderBy("point").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    total = F.sum("weight").over(whole)
+    passed = lambda weight: F.least(F.floor(weight * F.col(pieces) / total + 1e-9), F.col(pieces) - 1)
+    reached = F.sum("weight").over(upto)
+    crossed = passed(reached) - passed(reached - F.col("weight"))
+    found = points.select(*group, pieces, "point", crossed.cast("int").alias("times")).where("times > 0")
+    pairs = F.array_sort(F.collect_list(F.struct("point", "times")))
+    repeated = F.transform(pairs, lambda p: F.array_repeat(p["point"], p["times"]))
+    return found.groupBy(*group, pieces).agg(F.flatten(repeated).alias("cuts"))
 
 
 def _blocks(points: list) -> list[list]:
@@ -66,19 +89,14 @@ def find_cuts(
 ) -> Cuts:
     """Cut points of the hot keys; one per piece, read once and frozen.
 
-    Quantile sketches are merged from partial ones, so no task sees a key whole.
+    No task sees a key whole, nor a sketch of every split (see ``_cut_points``).
     """
     finest = max(n for _, n in hot.pieces)
     order_type = df.schema[order_by].dataType.simpleString()
     hot_rows = df.select(key_hash(keys).alias(_HASH), F.col(order_by), tie.alias(_TIE)).join(
         F.broadcast(hot.table(df.sparkSession)), F.col(_HASH) == F.col("hot_hash")
     )
-    found = (
-        hot_rows.where(F.col(order_by).isNotNull())
-        .groupBy("hot_hash", "hot_pieces")
-        .agg(_quantiles(order_by, finest, F.col("hot_pieces")).alias("cuts"))
-        .collect()
-    )
+    found = _cut_points(hot_rows, ["hot_hash"], "hot_pieces", order_by, finest).collect()
     cuts = {r["hot_hash"]: r["cuts"] for r in found}
 
     # a moment on at least two cut points holds more than a piece of its key
@@ -95,12 +113,8 @@ def find_cuts(
         )
         most = max(times for _, _, times in shared)
         same = (F.col(_HASH) == F.col("busy_hash")) & (F.col(order_by) == F.col("busy_moment"))
-        split = (
-            hot_rows.join(F.broadcast(busy), same)
-            .groupBy("busy_hash", "busy_moment", "busy_pieces")
-            .agg(_quantiles(_TIE, most, F.col("busy_pieces")).alias("cuts"))
-            .collect()
-        )
+        busy_rows = hot_rows.join(F.broadcast(busy), same)
+        split = _cut_points(busy_rows, ["busy_hash", "busy_moment"], "busy_pieces", _TIE, most).collect()
         inner = {(r["busy_hash"], r["busy_moment"]): _blocks(r["cuts"]) for r in split}
 
     def ties(h, points):

@@ -5,11 +5,12 @@ import glob
 import pytest
 from pyspark.sql import functions as F
 
+from eventloom.catalog import all_queries
 from eventloom.functions.sizing import estimated_bytes, file_count, fits_broadcast
 from eventloom.operators.layout import balance, job_label, kept, rows_in_place
 from eventloom.sources.inventory import expect_files, file_profile, root_totals
 from eventloom.sources.readers import read_part, with_row_place
-from eventloom.sources.scratch import scratch_path
+from eventloom.sources.scratch import scratch_path, scratch_space
 from eventloom.sources.writers import check_target, write_coalesced, write_ordered, write_repartitioned, write_table
 
 
@@ -114,6 +115,16 @@ def test_scratch_follows_the_session(spark):
         assert path.startswith(before)
 
 
+def test_a_space_deletes_what_it_owns(spark, sf_dir, tmp_path):
+    with scratch_space(spark, str(tmp_path)) as space:
+        assert scratch_path(spark, "x").startswith(str(tmp_path))
+        for name in ("q_write_range_layout", "q_duration_report", "q_evolve_counts", "q_version_files"):
+            assert all_queries()[name](spark, sf_dir).count() > 0
+        assert glob.glob(f"{space.root}/*") and sf_dir in space.kept
+    assert not glob.glob(f"{tmp_path}/eventloom/*") and not space.kept
+    assert not scratch_path(spark, "x").startswith(str(tmp_path))
+
+
 def test_sizes(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     assert 0 < estimated_bytes(events.select("user_id")) < estimated_bytes(events)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventloom.llm import decontaminate, jaccard_join, language_id, mixing, nearest, sharding, token_files, toxicity, warc
+from eventloom.llm import decontaminate, jaccard_join, language_id, line_dedup, mixing, nearest, sharding, token_files, toxicity, warc
 from eventloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +58,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).drop("url")
 
@@ -77,6 +81,7 @@ QUERIES: dict[str, Query] = {
     "op4_sharding": op4_sharding,
     "op5_toxicity": op5_toxicity,
     "op6_language_id": op6_language_id,
+    "op7_line_dedup": op7_line_dedup,
     "op8_warc": op8_warc,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_nearest": op10_nearest,
@@ -85,6 +90,19 @@ QUERIES: dict[str, Query] = {
 _WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 SQL: dict[str, str] = {
+    "op7_line_dedup": r"""
+with l as (select doc_id, unnest(range(1, len(x) + 1)) as pos, unnest(x) as line
+  from (select doc_id, string_split(coalesce(text, ''), chr(10)) as x from documents)),
+v as (select *, row_number() over (partition by doc_id order by pos) as j, count(*) over (partition by doc_id) as n
+  from l where regexp_matches(line, '[^ \t\n\x0B\f\r]')),
+w as (select doc_id, j, n, line || coalesce(chr(10) || lead(line, 1) over d, '') || coalesce(chr(10) || lead(line, 2) over d, '') as passage
+  from v window d as (partition by doc_id order by j)),
+r as (select doc_id, j, row_number() over (partition by passage order by doc_id, j) as nth from w where j <= greatest(n - 2, 1)),
+c as (select distinct v.doc_id, v.pos from v join r on v.doc_id = r.doc_id and v.j between r.j and r.j + 2 where r.nth > 1),
+t as (select l.doc_id, string_agg(l.line, chr(10) order by l.pos) filter (c.pos is null) as text,
+    count(*) filter (regexp_matches(l.line, '[^ \t\n\x0B\f\r]')) as n_lines, count(c.pos) as n_removed
+  from l left join c on l.doc_id = c.doc_id and l.pos = c.pos group by l.doc_id)
+select doc_id, n_lines, n_removed, sha256(coalesce(text, '')) as text_sha256 from t""",
     "op8_warc": """
 with p as (select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages),
 f as (select payload_digest, min(page_id) as first from p where payload_bytes >= 100 group by payload_digest)

@@ -36,8 +36,8 @@ from eventloom.llm.words import LETTERS_AND_DIGITS, buffer_of, mixed, ranges, ro
 BUCKETS = 1 << 16
 DIM = 16
 SPAN = 4
-PER_LABEL = 4000
-TEXT_BYTES = 16 << 10
+PER_LABEL = 2500
+TEXT_BYTES = 8 << 10
 ROUNDS = 6
 SEED = 17
 #: How often a subword must occur to be learned.
@@ -62,8 +62,14 @@ def _lowered(data: np.ndarray) -> np.ndarray:
     return np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
 
 
-def subwords(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the n-grams of each word at these bytes, and the splits."""
+def subwords(data: np.ndarray, start: np.ndarray, end: np.ndarray, block: int = 1 << 15) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the n-grams of each word at these bytes, and the splits; made in blocks of words."""
+    parts = [_subwords(data, start[k : k + block], end[k : k + block]) for k in range(0, len(start), block)]
+    counts = np.concatenate([np.zeros(1, np.int64), *(np.diff(splits) for _, splits in parts)])
+    return np.concatenate([np.zeros(0, np.int32), *(ids for ids, _ in parts)]), np.cumsum(counts)
+
+
+def _subwords(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     length = end - start + 1
     where = ranges(start, length)
     chars = _lowered(data[np.minimum(where, len(data) - 1)])

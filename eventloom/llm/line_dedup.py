@@ -70,7 +70,8 @@ def without_repeats(docs: DataFrame, doc: str = "doc_id", text: str = "text", re
         raise ValueError(f"rename these columns first: {sorted(clash)}")
     places = written(covered(docs, doc, text), "covered").select(F.col("doc_id").alias("dedup_doc"), F.col("text_hash").alias("dedup_of"), F.col("places").alias("dedup_places"))
     hashed = docs.withColumn("dedup_hash", F.xxhash64(text))
-    joined = hashed.join(places, F.col(doc).eqNullSafe(F.col("dedup_doc")) & (F.col("dedup_hash") == F.col("dedup_of")), "left")
+    # one plan at every size: the texts meet their places in one shuffle
+    joined = hashed.join(places.hint("merge"), F.col(doc).eqNullSafe(F.col("dedup_doc")) & (F.col("dedup_hash") == F.col("dedup_of")), "left")
 
     visible = _visible(_all_lines(text))
     at = F.array_distinct(F.flatten(F.transform("dedup_places", lambda p: F.sequence(p, p + F.lit(WINDOW - 1)))))

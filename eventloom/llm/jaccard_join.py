@@ -41,7 +41,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import text_bytes, written
+from eventloom.llm.common import tasks_for, text_bytes, written
 from eventloom.llm.components import components
 from eventloom.llm.t_occurrence import InvertedIndex
 from eventloom.llm.words import NOT_SPACE, buffer_of, row_blocks, shingles_of, words_of
@@ -299,7 +299,7 @@ def _links(queries: DataFrame, index: DataFrame, sets: DataFrame) -> DataFrame:
 def nodes_of(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """A row per document (node, key, n), and counts of shared shingles per node, single and packed; as written."""
     postings = max(1, text_bytes(docs, text) // 6)
-    bits = max(2, (-(-postings // BUCKET_POSTINGS) - 1).bit_length())
+    bits = (tasks_for(docs.sparkSession, postings, BUCKET_POSTINGS) - 1).bit_length()
     parts = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(_postings(bits), _PARTS)
     lanes = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return written(parts.groupBy("bucket").applyInArrow(lambda part: _shared(part, lanes), _COUNTS), "nodes")
@@ -377,5 +377,6 @@ def one_of_each(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> Dat
     kept = found.where(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id")))
     ids = kept.select(F.col("doc_id").alias(doc)).where(F.col(doc).isNotNull())
     once = ids.distinct()
-    out = docs.join(once, doc, "left_semi").unionByName(docs.where(F.col(doc).isNull()))
+    few = F.broadcast(once) if once.count() <= BROADCAST_NODES else once
+    out = docs.join(few, doc, "left_semi").unionByName(docs.where(F.col(doc).isNull()))
     return out.dropDuplicates([doc]) if ids.count() > once.count() else out

@@ -299,7 +299,7 @@ def _links(queries: DataFrame, index: DataFrame, sets: DataFrame) -> DataFrame:
 def nodes_of(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """A row per document (node, key, n), and counts of shared shingles per node, single and packed; as written."""
     postings = max(1, text_bytes(docs, text) // 6)
-    bits = (tasks_for(docs.sparkSession, postings, BUCKET_POSTINGS) - 1).bit_length()
+    bits = max(1, (tasks_for(docs.sparkSession, postings, BUCKET_POSTINGS) - 1).bit_length())
     parts = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(_postings(bits), _PARTS)
     lanes = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return written(parts.groupBy("bucket").applyInArrow(lambda part: _shared(part, lanes), _COUNTS), "nodes")

@@ -372,11 +372,29 @@ def _rest(members: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that have the smallest id of their component; repeated rows once."""
+    """The documents that have the smallest id of their component, and all rows without an id.
+
+    Rows equal in id and text stay once, the first by their other columns;
+    different texts of one id all stay.
+    """
     found = written(joined(docs, doc, text), "classes")
-    kept = found.where(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id")))
-    ids = kept.select(F.col("doc_id").alias(doc)).where(F.col(doc).isNotNull())
-    once = ids.distinct()
-    few = F.broadcast(once) if once.count() <= BROADCAST_NODES else once
-    out = docs.join(few, doc, "left_semi").unionByName(docs.where(F.col(doc).isNull()))
-    return out.dropDuplicates([doc]) if ids.count() > once.count() else out
+    kept = found.where(F.col("doc_id") == F.col("component_id"))
+    ids = kept.groupBy(F.col("doc_id").alias(doc)).agg(F.count("*").alias("rows"))
+    sizes = ids.agg(F.count("*").alias("ids"), F.max("rows").alias("most")).first()
+
+    def rows_of(some: DataFrame) -> DataFrame:
+        some = some.select(doc)
+        return docs.join(F.broadcast(some) if sizes["ids"] <= BROADCAST_NODES else some, doc, "left_semi")
+
+    nameless = docs.where(F.col(doc).isNull())
+    if (sizes["most"] or 0) < 2:
+        return rows_of(ids).unionByName(nameless)
+    return rows_of(ids.where("rows = 1")).unionByName(_first_rows(rows_of(ids.where("rows > 1")), doc, text)).unionByName(nameless)
+
+
+def _first_rows(rows: DataFrame, doc: str, text: str) -> DataFrame:
+    """One row of each id and text, the least by its other columns."""
+    rest = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns if c != text]))
+    whole = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    first = rows.groupBy(F.col(doc).alias("id"), F.sha2(F.encode(text, "UTF-8"), 256).alias("hash")).agg(F.min_by(whole, rest).alias("row"))
+    return first.select("row.*")

@@ -4,6 +4,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from eventloom.llm import jaccard_join as J
 from eventloom.llm.components import components
@@ -94,6 +95,18 @@ def test_one_of_each(spark, odd_docs):
     assert kept.where("doc_id is null").count() == 1
 
 
+def test_one_of_each_keeps_rows_without_id_beside_a_repeated_id(spark):
+    text = lambda i: " ".join(f"t{i}w{k}" for k in range(12))
+    rows = [(1, text(1), "b"), (1, text(1), "a"), (1, text(1), "a"), (1, text(2), "c"), (1, None, "d"), (1, "", "e"), (2, text(1), "f"), (3, text(3), "g")]
+    rows += [(None, text(i), "n") for i in (1, 4, 5, 5)] + [(None, None, "n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    want = [(1, text(1), "a"), (1, text(2), "c"), (1, None, "d"), (1, "", "e"), (3, text(3), "g"), *rows[8:]]
+    for given in (docs, docs.repartition(7), docs.orderBy(F.desc("lang"))):
+        kept = J.one_of_each(given)
+        assert kept.columns == docs.columns
+        assert sorted((tuple(r) for r in kept.collect()), key=str) == sorted(want, key=str)
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(100, 160)] + [(5, 5), (7, 8), (8, 7)]
     rows = components(spark.createDataFrame(chain, "a long, b long")).collect()

@@ -5,15 +5,17 @@ order; every row is then indexed: each tree sends it to one leaf. Vectors get on
 more dimension so that the largest inner product is the smallest distance. A query
 walks all trees through one shared priority queue, nearest planes first, until
 the leaves it has reached hold ``VISITED`` times the number of rows. Queries meet
-the rows of their leaves in blocks of bounded size, are scored exactly there, and
-keep the best of each block; the best over all blocks is the result.
+the rows of their leaves in blocks of bounded size, dealt by id and vector, are
+scored exactly there, and keep the best ids of each block; the best over all blocks
+is the result.
 
 With no structure in the vectors a recall of 0.9 needs about half of all rows,
 which the default gives; clustered vectors need far fewer.
 
 Defined cases: vectors that are null, zero, of another length than most, or hold
 null or non-finite components take no part, nor do rows without an id. Rows that
-share an id count once, with their best score. Equal scores go to smaller ids.
+share an id count once, with their best score; rows equal in id and vector are
+merged before the forest is grown. Equal scores go to smaller ids.
 """
 
 from __future__ import annotations
@@ -104,14 +106,15 @@ def _deal(shared, d: int, blocks: np.ndarray, turns: np.ndarray, query: bool):
     def of(batches):
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
+            spread = batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64) >> np.uint64(33)
             if query:
-                leaf = batch.column(2).flatten().to_numpy(zero_copy_only=False)
-                row = np.repeat(np.arange(len(ids)), np.diff(batch.column(2).offsets.to_numpy()))
+                leaf = batch.column(3).flatten().to_numpy(zero_copy_only=False)
+                row = np.repeat(np.arange(len(ids)), np.diff(batch.column(3).offsets.to_numpy()))
             else:
                 leaves = shared.value.leaves_of(_matrix(batch.column(1), d))
                 leaf, row = leaves.reshape(-1), np.repeat(np.arange(len(ids)), leaves.shape[1])
             own, all_of = (turns, blocks) if query else (blocks, turns)
-            fixed = (ids[row].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % np.maximum(own[leaf], 1)
+            fixed = spread[row].astype(np.int64) % np.maximum(own[leaf], 1)
             many = all_of[leaf]
             each = np.repeat(np.arange(len(leaf)), many)
             other = np.arange(len(each)) - np.repeat(np.cumsum(many) - many, many)
@@ -125,25 +128,29 @@ def _deal(shared, d: int, blocks: np.ndarray, turns: np.ndarray, query: bool):
 
 
 def _rank(d: int, k: int):
-    """For applyInArrow: the best rows of one block for the queries of one turn."""
+    """For applyInArrow: the best ids of one block for the queries of one turn, each with its best score."""
 
     def of(part: pa.Table) -> pa.Table:
         is_query = part.column("is_query").to_numpy()
         ids = part.column("id").to_numpy()
         points = _matrix(part.column("vector").combine_chunks(), d)
         rows, queries = np.flatnonzero(~is_query), np.flatnonzero(is_query)
+        rows = rows[np.argsort(ids[rows], kind="stable")]
+        first = np.flatnonzero(np.diff(ids[rows], prepend=ids[rows[:1]] - 1)) if len(rows) else rows  # of each id
         out: list[tuple] = []
         for lo in range(0, len(queries), 512):
             some = queries[lo : lo + 512]
             near = points[some] @ points[rows].T
             near[ids[some][:, None] == ids[rows]] = -np.inf
             # by the fast product a little more than needed; then the exact sum, whose order is fixed
-            cut = np.partition(near, -k, axis=1)[:, -k] if len(rows) > k else np.full(len(some), -np.inf)
+            each = near if len(first) == len(rows) else np.maximum.reduceat(near, first, axis=1)
+            cut = np.partition(each, -k, axis=1)[:, -k] if len(first) > k else np.full(len(some), -np.inf)
             cut = cut - 1e-9 * (1 + np.abs(np.where(np.isfinite(cut), cut, 0)))
             for i, q in enumerate(some):
                 at = rows[np.flatnonzero((near[i] >= cut[i]) & np.isfinite(near[i]))]
                 score = (points[at] * points[q]).sum(1)
-                best = np.lexsort((ids[at], -score))[: 2 * k]
+                best = np.lexsort((ids[at], -score))
+                best = best[np.sort(np.unique(ids[at][best], return_index=True)[1])[:k]]
                 out.append((np.full(len(best), ids[q]), ids[at][best], score[best]))
         columns = [np.concatenate(x) for x in zip(*out, strict=True)] if out else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
         return pa.table(dict(zip(("query_id", "vec_id", "score"), columns, strict=True)))
@@ -157,16 +164,17 @@ def nearest(vectors: DataFrame, is_query, *, key: str = "vec_id", vector: str =
     rows, d = usable(vectors, key=key, vector=vector)
     if not d:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    rows = written(rows, "vectors")
+    rows = written(rows.dropDuplicates(["id", "vector"]).withColumn("spread", F.xxhash64("id", "vector")), "vectors")
     total = rows.agg(F.count("*").alias("n"), F.max(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)).alias("most")).first()
-    taken = rows.orderBy(F.xxhash64("id"), "id").limit(max(2, min(sample, SAMPLE_BYTES // (8 * d)))).select("vector").toArrow()
+    taken = rows.orderBy("spread", "id", "vector").limit(max(2, min(sample, SAMPLE_BYTES // (8 * d)))).select("vector").toArrow()
     forest = spark.sparkContext.broadcast(Forest(_matrix(taken.column(0).combine_chunks(), d), total["most"], trees, leaves, seed))
     rows_in = np.zeros(forest.value.first[-1], np.int64)
     for r in rows.select("vector").mapInArrow(_count_leaves(forest, d), "leaf long, rows long").groupBy("leaf").agg(F.sum("rows").alias("rows")).collect():
         rows_in[r["leaf"]] = r["rows"]  # one row per leaf of the forest
     enough = max(4 * k * trees, int(np.ceil(visited * total["n"])))
-    queries = rows.where(is_query(F.col("id")))
+    queries = rows.select("id", "vector").where(is_query(F.col("id")))
     walked = written(queries.repartition(spark.sparkContext.defaultParallelism).mapInArrow(_find_leaves(forest, d, rows_in, enough), "id long, vector array<double>, leaves array<long>"), "walks")
+    walked = walked.select("id", "vector", F.xxhash64("id", "vector").alias("spread"), "leaves")
     asked = np.zeros(len(rows_in), np.int64)
     for r in walked.select(F.explode("leaves").alias("leaf")).groupBy("leaf").count().collect():
         asked[r["leaf"]] = r["count"]

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 
 from eventloom.llm import nearest as N
 from eventloom.llm.queries import QUERIES
@@ -52,6 +53,36 @@ def test_odd_rows(spark):
     assert N.nearest(df.limit(0), lambda v: v % 20 == 0).count() == 0
 
 
+def test_an_id_repeated_more_than_k_times(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    monkeypatch.setattr(N, "ROW_BLOCK", 64)
+    ids = np.concatenate((np.arange(200), np.full(60, 201), np.full(60, 203), np.full(30, 20)))
+    points = rng.normal(size=(350, 6))
+    points[200:260] = 3 * points[0] + rng.normal(size=(60, 6)) * 1e-3  # near one query, and different
+    points[260:320] = 3 * points[40]  # near another, and equal
+    points[320:] += 2  # a query of many rows
+    df = spark.createDataFrame([(int(i), p.tolist()) for i, p in zip(ids, points, strict=True)], "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in N.nearest(df, lambda v: v % 20 == 0, k=20, **EVERY).collect())
+    want = []
+    for q in range(0, 200, 20):
+        score = (points @ points[ids == q].T).max(1)
+        best = sorted((-max(score[ids == i]), i) for i in set(ids.tolist()) - {q})[:20]
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    assert [g[:3] for g in got] == [w[:3] for w in want] and np.allclose([g[3] for g in got], [w[3] for w in want], rtol=1e-12)
+
+
+def test_rows_of_one_id_are_dealt_over_blocks():
+    class Forest:
+        value = type("F", (), {"leaves_of": staticmethod(lambda points: np.zeros((len(points), 1), np.int64))})
+
+    rng = np.random.default_rng(4)
+    n = 2000
+    vectors = pa.array(rng.normal(size=(n, 2)).tolist(), pa.list_(pa.float64()))
+    batch = pa.RecordBatch.from_arrays([pa.array(np.full(n, 7)), vectors, pa.array(rng.integers(-(2**63), 2**63 - 1, n))], names=["id", "vector", "spread"])
+    dealt = pa.Table.from_batches(N._deal(Forest, 2, np.array([10]), np.array([1]), False)([batch]))
+    assert len(dealt) == n and np.bincount(dealt.column("block").to_numpy(), minlength=10).max() < 300
+
+
 def test_query_recall(spark):
     sf = "/root/testdata/sf0.1"
     table = spark.read.parquet(f"{sf}/embeddings.parquet").toPandas()

@@ -64,25 +64,25 @@ class Phrases:
         self.names = [name for name, _ in items]
 
 
+def _n_blocks(benchmark: DataFrame, text: str, limit: int) -> int:
+    return -(-(benchmark.agg(F.sum(F.octet_length(text))).first()[0] or 0) // limit)
+
+
 def _blocks(benchmark: DataFrame, item: str, text: str, limit: int):
     """The test items in blocks of at most about ``limit`` bytes of text, one at a time."""
     rows = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = -(-size // limit)
+    n = _n_blocks(benchmark, text, limit)
     for i in range(n):
         part = rows if n == 1 else rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == i)
         yield [(r["item"], r["text"]) for r in part.collect()]
 
 
-def _joined(spans: np.ndarray) -> np.ndarray:
-    """Byte spans, ordered and merged where they overlap."""
-    if len(spans) < 2:
-        return spans
-    spans = spans[np.argsort(spans[:, 0], kind="stable")]
-    reach = np.maximum.accumulate(spans[:, 1])
-    fresh = np.concatenate(([True], spans[1:, 0] > reach[:-1]))
-    last = np.concatenate((np.flatnonzero(fresh)[1:] - 1, [len(spans) - 1]))
-    return np.stack((spans[fresh, 0], reach[last]), 1)
+def _runs(inside: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Byte spans of the runs of words that are inside."""
+    if not inside.any():
+        return np.zeros((0, 2), np.int64)
+    edge = np.diff(np.concatenate(([0], inside.astype(np.int8), [0])))
+    return np.stack((start[np.flatnonzero(edge == 1)], end[np.flatnonzero(edge == -1) - 1]), 1)
 
 
 def find_in_shard(data: np.ndarray, offsets: np.ndarray, phrases: Phrases):
@@ -123,11 +123,7 @@ def find_in_shard(data: np.ndarray, offsets: np.ndarray, phrases: Phrases):
     for i in range(rows):
         a, b = words.splits[i], words.splits[i + 1]
         own = inside[a:b]
-        spans = np.zeros((0, 2), np.int64)
-        if own.any():
-            edge = np.diff(np.concatenate(([0], own.astype(np.int8), [0])))
-            begin, end = np.flatnonzero(edge == 1) + a, np.flatnonzero(edge == -1) + a - 1
-            spans = np.stack((words.start[begin], words.end[end]), 1) - offsets[i]
+        spans = _runs(own, words.start[a:b], words.end[a:b]) - offsets[i]
         names = {phrases.names[k] for k in found_items[item_splits[i] : item_splits[i + 1]]}
         yield spans, sorted(x for x in names if x is not None), int(b - a), int(own.sum())
 
@@ -145,8 +141,8 @@ def _search(phrases, text: str, schema: pa.Schema, again: bool):
                 if again:
                     old = [np.frombuffer(x, "<i8").reshape(-1, 2) for x in part.column("spans").to_pylist()]
                     items = [sorted({*x, *y}) for x, y in zip(items, part.column("items").to_pylist(), strict=True)]
-                    spans = [_joined(np.concatenate((x, y))) for x, y in zip(spans, old, strict=True)]
-                    n_hit = [_inside(data, offsets, a + i, s) for i, s in enumerate(spans)]
+                    both = [_merged(data, offsets[a + i : a + i + 2], x, y) for i, (x, y) in enumerate(zip(spans, old, strict=True))]
+                    spans, n_hit = ([x[k] for x in both] for k in range(2))
                 columns = [part.column(n) for n in part.schema.names if n not in ("spans", "items", "n_words", "n_hit")]
                 columns += [pa.array([x.astype("<i8").tobytes() for x in spans], pa.binary()), pa.array(items, pa.list_(pa.string())), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64())]
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
@@ -154,10 +150,17 @@ def _search(phrases, text: str, schema: pa.Schema, again: bool):
     return of
 
 
-def _inside(data: np.ndarray, offsets: np.ndarray, row: int, spans: np.ndarray) -> int:
-    words = words_of(data, offsets[row : row + 2], LETTERS_AND_DIGITS)
-    at = np.searchsorted(spans[:, 0], words.start - offsets[row], "right") - 1
-    return int(((at >= 0) & (words.start - offsets[row] < spans[np.maximum(at, 0), 1])).sum()) if len(spans) else 0
+def _merged(data: np.ndarray, offsets: np.ndarray, *spans: np.ndarray) -> tuple[np.ndarray, int]:
+    """Spans of one text in one list, as one search would give them, and the words inside."""
+    if not any(map(len, spans)):
+        return spans[0], 0
+    words = words_of(data, offsets, LETTERS_AND_DIGITS)
+    inside = np.zeros(len(words.start), bool)
+    for some in spans:
+        if len(some):
+            at = np.searchsorted(some[:, 0], words.start - offsets[0], "right") - 1
+            inside |= (at >= 0) & (words.start - offsets[0] < some[np.maximum(at, 0), 1])
+    return _runs(inside, words.start, words.end) - offsets[0], int(inside.sum())
 
 
 def contamination(
@@ -209,18 +212,52 @@ def without_passages(
     """The documents with every span cut out of the text, until no phrase is left.
 
     Cutting may bring words together that form a phrase again; such texts are
-    searched once more. ``chars``, if there, follows the new text. Clean rows
-    stay as they are.
+    searched once more, by all blocks. Spans of all blocks are merged before a
+    cut, so the result does not depend on ``block_bytes``. ``chars``, if there,
+    follows the new text. Clean rows stay as they are.
     """
     out = docs
-    for items in _blocks(benchmark, item, item_text, block_bytes):
-        phrases = docs.sparkSession.sparkContext.broadcast(Phrases(items, size))
-        out = out.mapInArrow(_remove(phrases, text), docs.schema)
+    if _n_blocks(benchmark, item_text, block_bytes) > 1:
+        out = _cut_in_rounds(docs, benchmark, text=text, item=item, item_text=item_text, size=size, block_bytes=block_bytes)
+    else:
+        for items in _blocks(benchmark, item, item_text, block_bytes):
+            phrases = docs.sparkSession.sparkContext.broadcast(Phrases(items, size))
+            out = docs.mapInArrow(_remove(phrases, text), docs.schema)
     if chars in docs.columns:
         out = out.withColumn(chars, F.length(text).cast(docs.schema[chars].dataType))
     return out
 
 
+def _cut_in_rounds(docs: DataFrame, benchmark: DataFrame, *, text: str, **how) -> DataFrame:
+    """Search the texts by all blocks and cut the merged spans; then again those that were cut."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    names = [f"c{i}" for i in range(len(docs.columns))]  # none that contamination() adds
+    held, text = docs.toDF(*names), names[docs.columns.index(text)]
+    done, schema = None, held.schema
+    while True:
+        found = written(contamination(held, benchmark, text=text, **how), "found")
+        clean = found.where("n_hit = 0").select(names)
+        done = clean if done is None else done.union(clean)
+        hit = found.where("n_hit > 0")
+        if hit.isEmpty():
+            return done.toDF(*docs.columns)
+        held = written(hit.mapInArrow(_cut_found(text, to_arrow_schema(schema)), schema), "cut")
+
+
+def _cut_found(text: str, schema: pa.Schema):
+    """Function for mapInArrow: the rows without the columns of the search, their spans cut out."""
+
+    def of(batches):
+        for batch in batches:
+            spans = (np.frombuffer(x, "<i8").reshape(-1, 2) for x in batch.column("spans").to_pylist())
+            values = [_cut(t.encode(), s).decode() for t, s in zip(batch.column(text).to_pylist(), spans, strict=True)]
+            columns = [pa.array(values, f.type) if f.name == text else batch.column(f.name).cast(f.type) for f in schema]
+            yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    return of
+
+
 def _remove(phrases, text: str):
     def of(batches):
         for batch in batches:

@@ -100,6 +100,27 @@ def test_passages_are_cut(spark, odd_docs):
     assert clean.where("n_chars <> length(text)").count() == 0
 
 
+def test_block_size_does_not_change_what_is_cut(spark, odd_docs):
+    w = [f"k{i}" for i in range(40)]
+    items = [(i, " ".join(w[i : i + 10])) for i in range(0, 28, 3)] + [(90, "left joins right"), (91, "then this"), (92, "one"), (93, "after one")]
+    texts = [" ".join(["in", *w, "out"]), " ".join(["in", *w[3:22], "out"]), "left " + " ".join(w[:10]) + " joins right", "then " * 4 + "this " * 4 + "end", "x after one, one! y", " ".join(w[:10] + w[12:22])]
+    columns = "doc_id long, text string, lang string, source string, score double"
+    docs = odd_docs.union(spark.createDataFrame([(100 + i, t, "en", "a", 0.0) for i, t in enumerate(texts)], columns))
+    docs = docs.withColumn("n_chars", F.length("text").cast("long")).withColumnRenamed("source", "spans").withColumnRenamed("score", "n_hit")
+    bench = spark.createDataFrame([*ITEMS, *items], "item_id long, text string")
+    rows = lambda x: sorted((tuple(r) for r in x.collect()), key=str)
+    whole, parts = D.without_passages(docs, bench), D.without_passages(docs, bench, block_bytes=40)
+    assert D._n_blocks(bench, "text", 40) > 5 and D._n_blocks(bench, "text", D.BLOCK_BYTES) == 1
+    assert parts.columns == docs.columns and parts.dtypes == docs.dtypes
+    assert rows(parts) == rows(whole)
+    kept = {r["doc_id"]: r["text"] for r in parts.collect()}
+    assert kept[100] == "in  k37 k38 k39 out" and kept[102].split() == [] and kept[103] == " end"
+    plain = docs.select("doc_id", "text")
+    spans = [rows(D.contamination(plain, bench, block_bytes=b).select("doc_id", F.hex("spans"), "items", "n_hit")) for b in (40, D.BLOCK_BYTES)]
+    assert spans[0] == spans[1]
+    assert D.contamination(parts.select("doc_id", "text"), bench).where("n_hit > 0").isEmpty()
+
+
 def test_clashing_names(spark, odd_docs):
     with pytest.raises(ValueError):
         D.contamination(odd_docs.withColumn("spans", F.lit(1)), spark.createDataFrame(ITEMS, "item_id long, text string"))

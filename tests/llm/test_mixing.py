@@ -55,6 +55,31 @@ def test_documents_follow_their_copies(spark, sf_dir):
     assert {r["doc_id"]: r["count"] for r in out.groupBy("doc_id").count().collect()} == want
 
 
+def test_domains_without_a_weight_stay(spark):
+    kinds = {"x": "aaaa zz", "y": "oooo qu", "z": "%%%% ||"}
+    rows = [(i, x, f"{kinds[x]} " * (3 + i % 5) + str(i)) for i, x in enumerate("xyz" * 100)]
+    docs = spark.createDataFrame([(i, t) for i, _, t in rows], "doc_id long, text string")
+    marks = labelled(spark, [(i, x) for i, x, _ in rows if i % 2])
+    for weights, whole in (({"x": 0.9, "y": 0.1}, ()), ({"x": 0.9, "y": 0.1}, ("x",)), ({"x": 0.5, "y": 0.5}, ("x",))):
+        mix, table = M.fit(docs, marks, weights, whole=whole)
+        before = table.agg(F.sum(F.col("tokens") * F.get("p", 2)) / F.sum("tokens")).first()[0]
+        assert abs(mix.targets[2] / sum(mix.targets) - before) < 1e-9 and abs(mix.reached[2] / sum(mix.reached) - before) < 1e-3
+        out = {r["doc_id"] for r in M.mixed(docs, marks, weights, whole=whole).collect()}
+        assert sum(i in out for i, x, _ in rows if x == "z") >= 95
+        mix, _ = M.fit(docs, marks, {"x": 0.9, "y": 0.1, "z": 0.0})
+        assert mix.targets[2] == 0
+
+
+def test_rows_without_an_id_have_coins_of_their_own(spark):
+    rows = [(None, f"oooo qu {i}") for i in range(300)] + [(i, f"aaaa zz {i}") for i in range(300)] + [(1000 + i, f"oooo qu {i}") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = labelled(spark, [(i, "x") for i in range(300)] + [(1000 + i, "y") for i in range(20)])
+    out = M.mixed(docs, marks, {"x": 0.75, "y": 0.25})
+    assert 50 < out.where("doc_id is null").select("text").distinct().count() < 250
+    copies = M.rates(docs, marks, {"x": 0.75, "y": 0.25}).where("doc_id is null").agg(F.sum("copies")).first()[0]
+    assert copies == out.where("doc_id is null").count()
+
+
 def test_classifier_is_gaussian_naive_bayes(spark):
     docs = spark.createDataFrame([(1, "aaaa zz"), (2, "aaa ooz"), (3, "oooo qu"), (4, "ooou th!"), (5, "aa oo")], "doc_id long, text string")
     marks = labelled(spark, [(1, "x"), (2, "x"), (3, "y"), (4, "y"), (9, "y"), (5, None)])

@@ -7,32 +7,31 @@ from pyspark.sql import functions as F
 
 from eventloom.catalog.measuring import MINUTES_SQL, minutes_by_user
 from eventloom.catalog.tables import MIN_FILES, PLACE, table, version_roots
-from eventloom.functions.sizing import file_count
+from eventloom.functions.sizing import files_for
 from eventloom.operators.windows import out_of_order
 from eventloom.sources.inventory import file_profile
 from eventloom.sources.readers import read_root, with_row_place
 from eventloom.sources.scratch import scratch_path
-from eventloom.sources.writers import write_coalesced, write_ordered, write_repartitioned
+from eventloom.sources.writers import bytes_when_written, write_ordered, write_sized
 
 OUT_FILES = 8
 
 
 def write_roundtrip(spark, sf_dir):
     rows, out = minutes_by_user(spark, sf_dir), scratch_path(spark, "minutes-even")
-    files = file_count(rows, minimum=OUT_FILES)
-    write_repartitioned(rows, out, files, input_roots=[sf_dir])
+    write_sized(rows, out, minimum=OUT_FILES, input_roots=[sf_dir])
     return read_root(spark, out, rows.schema)
 
 
 def write_few_files(spark, sf_dir):
     rows, out = minutes_by_user(spark, sf_dir), scratch_path(spark, "minutes-few")
-    write_coalesced(rows, out, file_count(rows, minimum=OUT_FILES), input_roots=[sf_dir])
+    write_sized(rows, out, minimum=OUT_FILES, even=False, input_roots=[sf_dir])
     return read_root(spark, out, rows.schema)
 
 
 def write_range_layout(spark, sf_dir):
     rows, out = table(spark, sf_dir, "events"), scratch_path(spark, "events-ranged")
-    files = file_count(rows, minimum=6)
+    files = files_for(bytes_when_written(rows), minimum=6)
     placed = with_row_place(rows)
     write_ordered(placed, out, files, ["ts", "event_id"], place=PLACE, input_roots=[sf_dir])
     return read_root(spark, out, rows.schema)
@@ -48,7 +47,7 @@ def range_files(spark, sf_dir):
         F.count(F.lit(1)).alias("n"),
     )
     # part names rise with the range, so no file may start before the one above
-    # ends; one row per file, and file_count allows few enough for one window
+    # ends; one row per file
     part = F.regexp_extract("file_path", r"part-(\d+)", 1).cast("int")
     above = F.lag("high").over(Window.orderBy(part))
     return ranges.withColumn("above", above).agg(

@@ -13,10 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventloom.functions.assign import null_where, pick_uniform, pick_weighted
-from eventloom.functions.sizing import file_count
+from eventloom.functions.sizing import files_for
 from eventloom.sources.readers import with_row_place
 from eventloom.sources.scratch import current_space, scratch_path
-from eventloom.sources.writers import write_ordered
+from eventloom.sources.writers import bytes_when_written, write_ordered
 
 # fixed values: app versions of both event versions, test groups and flags
 V1_APPS = ("3.0", "3.1", "3.2", "3.5", "4.0", "4.1")
@@ -108,7 +108,8 @@ def version_roots(spark: SparkSession, sf_dir: str) -> dict[str, tuple[str, int]
         written = {}
         order = ["event_timestamp", "event_id"]
         for name, rows in zip(("v1", "v2"), version_frames(spark, sf_dir, PLACE), strict=True):
-            path, files = scratch_path(spark, f"events-{name}"), file_count(rows, minimum=MIN_FILES)
+            path = scratch_path(spark, f"events-{name}")
+            files = files_for(bytes_when_written(rows.drop(*PLACE)), minimum=MIN_FILES)
             write_ordered(rows, path, files, order, place=PLACE, input_roots=[sf_dir])
             written[name] = (path, files)
         kept[sf_dir] = written

@@ -1,4 +1,8 @@
-"""Size checks that decide between a broadcast and a shuffle, and file counts."""
+"""Size checks that decide between a broadcast and a shuffle, and file counts.
+
+Estimates only ever choose between plans; files are counted from bytes that have
+been written (``sources.writers``).
+"""
 
 from __future__ import annotations
 
@@ -10,13 +14,28 @@ from pyspark.sql import DataFrame
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
+def _known(df: DataFrame, plan) -> int | None:
+    """A plan's size; Catalyst's default stands for a size that is not known."""
+    size = int(str(plan.stats().sizeInBytes()))
+    return size if size < int(df.sparkSession.conf.get("spark.sql.defaultSizeInBytes", str(2**63 - 1))) else None
+
+
 def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of the pruned plan, or None where it is not offered."""
+    """Catalyst's size estimate of the pruned plan, or None where it is not known."""
     try:
-        plan = df._jdf.queryExecution().optimizedPlan()
+        return _known(df, df._jdf.queryExecution().optimizedPlan())
     except AttributeError:
         return None
-    return int(str(plan.stats().sizeInBytes()))
+
+
+def source_bytes(df: DataFrame) -> int | None:
+    """Bytes of all tables a plan reads, or None where one is not known."""
+    try:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    except AttributeError:
+        return None
+    sizes = [_known(df, leaves.apply(i)) for i in range(leaves.size())]
+    return None if None in sizes else sum(sizes)
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
@@ -29,9 +48,6 @@ def fits_broadcast(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
     return size is not None and size <= max_bytes
 
 
-def file_count(df: DataFrame, target_bytes: int = 128 * 1024 * 1024, minimum: int = 1) -> int:
-    """Files needed to hold ``df`` at about ``target_bytes`` each; an unknown size is refused."""
-    size = estimated_bytes(df)
-    if size is None:
-        raise ValueError("the size of this plan is unknown; give the number of files")
+def files_for(size: int, target_bytes: int = 128 * 1024 * 1024, minimum: int = 1) -> int:
+    """Files that hold ``size`` bytes at about ``target_bytes`` each."""
     return max(minimum, math.ceil(size / target_bytes))

@@ -1,159 +1,28 @@
 """Ordered work per key that stays even when one key holds a third of all rows.
 
 Keys of ordinary size go through a plain window. A hot key is cut along its
-order into slices of equal row count, so several tasks share it; what a slice
-needs from earlier ones (their last moment, their running total) is one row per
-slice, few enough by construction to broadcast.
+order into slices of about equal row count (``operators.slices``), so several
+tasks share it; what a slice needs from earlier ones (their last moment, their
+running total) is one row per slice, few enough by construction to broadcast.
 
-Slices are cut at quantiles of the ordering column. Where many rows of a hot
-key share one moment, that moment alone covers several quantiles; its rows are
-then cut at quantiles of the tie-breaking column. Only rows equal in both stay
-together, so the tie breaker should tell rows apart.
+Where many rows of a hot key share one moment, they are cut by the tie-breaking
+column. Only rows equal in both stay together, so the tie breaker should tell
+rows apart.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventloom.functions.hotkeys import LANES, HotKeys, find_hot_keys, key_hash
+from eventloom.functions.hotkeys import HotKeys, find_hot_keys
 from eventloom.functions.moments import gap_seconds
 from eventloom.functions.salt import pick_spread
+from eventloom.operators.slices import SLICE, Cuts, add_slices, find_cuts
 
-SLICE = "slice_no"
-_HASH, _TIE = "slice_hash", "slice_tie"
-# cut points per block of the two-step lookup
-BLOCK = 64
-
-
-@dataclass(frozen=True)
-class Cuts:
-    """Per hot key hash: its cut points in order, in blocks, and for every cut
-    point the inner cut points of the shared moment that starts there, if any."""
-
-    keys: tuple[str, ...]
-    rows: tuple[tuple, ...]
-    schema: str
-
-
-def _cut_points(rows: DataFrame, group: list[str], pieces: str, column: str, finest: int) -> DataFrame:
-    """Per group the pieces - 1 points that cut its rows, in the order of ``column``, evenly.
-
-    In two steps, so that no task reads a sketch of every input split: each lane of
-    splits has its own quantiles and count, and the lanes' points, a bounded
-    number, are merged by their weights. A point that many rows share is given
-    as often as it is crossed.
-    """
-    each = max(64, 2 * finest)
-    steps = [(i + 0.5) / each for i in range(each)]
-    lanes = (
-        rows.where(F.col(column).isNotNull())
-        .withColumn("lane", F.pmod(F.spark_partition_id(), F.lit(LANES)))
-        .groupBy(*group, pieces, "lane")
-        .agg(F.percentile_approx(column, steps, max(10_000, 10 * finest)).alias("points"), F.count(F.lit(1)).alias("n"))
-    )
-    points = (
-        lanes.select(*group, pieces, F.explode("points").alias("point"), (F.col("n") / F.lit(float(each))).alias("weight"))
-        .groupBy(*group, pieces, "point")
-        .agg(F.sum("weight").alias("weight"))
-    )
-    whole = Window.partitionBy(*group, pieces)
-    upto = whole.orderBy("point").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    total = F.sum("weight").over(whole)
-    passed = lambda weight: F.least(F.floor(weight * F.col(pieces) / total + 1e-9), F.col(pieces) - 1)
-    reached = F.sum("weight").over(upto)
-    crossed = passed(reached) - passed(reached - F.col("weight"))
-    found = points.select(*group, pieces, "point", crossed.cast("int").alias("times")).where("times > 0")
-    pairs = F.array_sort(F.collect_list(F.struct("point", "times")))
-    repeated = F.transform(pairs, lambda p: F.array_repeat(p["point"], p["times"]))
-    return found.groupBy(*group, pieces).agg(F.flatten(repeated).alias("cuts"))
-
-
-def _blocks(points: list) -> list[list]:
-    return [points[i : i + BLOCK] for i in range(0, len(points), BLOCK)]
-
-
-def _rank(blocks: Column, before) -> Column:
-    """How many points ``before`` holds for: blocks by their first point, then one block."""
-    passed = F.size(F.filter(blocks, lambda b: before(F.get(b, F.lit(0)))))
-    inside = F.size(F.filter(F.get(blocks, passed - 1), before))
-    return F.when(passed == 0, F.lit(0)).otherwise((passed - 1) * F.lit(BLOCK) + inside)
-
-
-def find_cuts(
-    df: DataFrame, keys: Sequence[str], order_by: str, tie: Column, hot: HotKeys
-) -> Cuts:
-    """Cut points of the hot keys; one per piece, read once and frozen.
-
-    No task sees a key whole, nor a sketch of every split (see ``_cut_points``).
-    """
-    finest = max(n for _, n in hot.pieces)
-    order_type = df.schema[order_by].dataType.simpleString()
-    hot_rows = df.select(key_hash(keys).alias(_HASH), F.col(order_by), tie.alias(_TIE)).join(
-        F.broadcast(hot.table(df.sparkSession)), F.col(_HASH) == F.col("hot_hash")
-    )
-    found = _cut_points(hot_rows, ["hot_hash"], "hot_pieces", order_by, finest).collect()
-    cuts = {r["hot_hash"]: r["cuts"] for r in found}
-
-    # a moment on at least two cut points holds more than a piece of its key
-    shared = [
-        (h, moment, times)
-        for h, points in cuts.items()
-        for moment, times in Counter(points).items()
-        if times > 1
-    ]
-    inner: dict[tuple, list] = {}
-    if shared:
-        busy = df.sparkSession.createDataFrame(
-            shared, f"busy_hash bigint, busy_moment {order_type}, busy_pieces int"
-        )
-        most = max(times for _, _, times in shared)
-        same = (F.col(_HASH) == F.col("busy_hash")) & (F.col(order_by) == F.col("busy_moment"))
-        busy_rows = hot_rows.join(F.broadcast(busy), same)
-        split = _cut_points(busy_rows, ["busy_hash", "busy_moment"], "busy_pieces", _TIE, most).collect()
-        inner = {(r["busy_hash"], r["busy_moment"]): _blocks(r["cuts"]) for r in split}
-
-    def ties(h, points):
-        """Shared moment and its inner cuts, at the moment's first cut point."""
-        firsts = [i == 0 or points[i - 1] != p for i, p in enumerate(points)]
-        return [
-            (p, inner[h, p]) if first and (h, p) in inner else None
-            for p, first in zip(points, firsts, strict=True)
-        ]
-
-    rows = tuple((h, _blocks(points), ties(h, points)) for h, points in cuts.items())
-    schema = (
-        f"cut_hash bigint, cut_points array<array<{order_type}>>, "
-        f"cut_ties array<struct<moment:{order_type}, points:array<array<bigint>>>>"
-    )
-    return Cuts(tuple(keys), rows, schema)
-
-
-def add_slices(df: DataFrame, order_by: str, tie: Column, cuts: Cuts) -> DataFrame:
-    """Add the slice number: 0 for ordinary keys, rising with the order in hot ones.
-
-    A row's slice is the number of cut points before it, so the first row of a
-    key is always in slice 0. A shared moment covers several cut points; its
-    rows go on counting at the inner ones.
-    """
-    table = df.sparkSession.createDataFrame(list(cuts.rows), cuts.schema)
-    shared = F.get("cut_ties", F.col(SLICE))
-    inner = F.when(
-        shared["moment"] == F.col(order_by), _rank(shared["points"], lambda c: c < F.col(_TIE))
-    )
-    return (
-        df.withColumn(_HASH, key_hash(cuts.keys))
-        .withColumn(_TIE, tie)
-        .join(F.broadcast(table), F.col(_HASH) == F.col("cut_hash"), "left")
-        .withColumn(SLICE, F.coalesce(_rank(F.col("cut_points"), lambda c: c < F.col(order_by)), F.lit(0)))
-        .withColumn(SLICE, (F.col(SLICE) + F.coalesce(inner, F.lit(0))).cast("int"))
-        .drop(_HASH, "cut_points", "cut_ties")
-    )
-
+_TIE = "slice_tie"
 
 def _attach(rows: DataFrame, carried: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Bring the one carried row per (hot key, slice) to the rows of that slice."""

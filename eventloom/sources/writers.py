@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from eventloom.functions.sizing import files_for
+from eventloom.sources.scratch import scratch_path
+
+#: Rows written to learn the stored bytes of a row.
+SAMPLE_ROWS = 1_000_000
+
 _GLOB = re.compile(r"[*?\[{]")
 
 
@@ -68,6 +75,45 @@ def write_coalesced(df: DataFrame, target: str, files: int, **options) -> None:
     write_table(df.coalesce(files), target, **options)
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files under a path, from the file system."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return int(folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength())
+
+
+def bytes_when_written(df: DataFrame, rows: int = SAMPLE_ROWS) -> int:
+    """Stored bytes of a table that is cheap to read twice, from a sample that is written.
+
+    Rows are counted, about ``rows`` of them are written to a scratch folder, and their
+    bytes per row are scaled up; a table of fewer rows is written whole.
+    """
+    n = df.count()
+    if not n:
+        return 0
+    spark, path, seen = df.sparkSession, scratch_path(df.sparkSession, "sized-sample"), Observation()
+    some = df if n <= rows else df.sample(rows / n, seed=1)
+    some.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    return math.ceil(stored_bytes(spark, path) / max(1, seen.get["n"]) * n)
+
+
+def write_sized(
+    df: DataFrame, target: str, *, target_bytes: int = 128 * 1024 * 1024, minimum: int = 1, even: bool = True, **options
+) -> int:
+    """Files of about ``target_bytes`` that nobody had to guess; returns how many were asked for.
+
+    A derived table's size cannot be known beforehand, so its rows are written
+    to a scratch folder first, the bytes there name the number of files, and the files
+    are made from that copy: the plan runs once. ``even`` files take a shuffle of the copy,
+    otherwise its pieces are put together as they lie.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "sized")
+    df.write.parquet(path)
+    files = files_for(stored_bytes(spark, path), target_bytes, minimum)
+    held = spark.read.schema(df.schema).parquet(path)
+    (write_repartitioned if even else write_coalesced)(held, target, files, **options)
+    return files
+
+
 def write_ordered(
     df: DataFrame,
     target: str,

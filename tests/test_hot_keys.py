@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from eventloom.functions.hotkeys import HotKeys, find_hot_keys, key_hash, planned_tasks
 from eventloom.operators.aggregates import count_by, salted_aggregate
 from eventloom.operators.joins import hot_key_join, pair_counts, salted_join
-from eventloom.operators.windows import find_cuts, add_slices, running_anchor, with_gaps, with_previous
+from eventloom.operators.slices import add_slices, find_cuts, order_number
+from eventloom.operators.windows import running_anchor, with_gaps, with_previous
 from eventloom.plans.pairs import pairs_counted, pairs_hot_salted, pairs_salted
 from eventloom.sources.readers import with_row_place
 
@@ -157,6 +158,26 @@ def test_no_bound_on_the_number_of_hot_keys(spark):
     assert wanted == {h for h, _ in hot.pieces}
 
 
+def test_six_hundred_thousand_planned_tasks(spark):
+    # more items than one sketch may follow: several sketches per lane, by key hash
+    rows = spark.range(600_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
+    hot = find_hot_keys(rows.repartition(40), "k", spread=600_000)
+    wanted = spark.sql("select -1L as k").select(key_hash(["k"])).first()[0]
+    found = dict(hot.pieces)
+    assert 199_000 <= found[wanted] <= 201_000
+    # a key of one row among 600,000 has half the share of a hot one
+    assert len(found) == 1
+
+
+def test_share_counts_over_all_lanes(spark):
+    # key 7 is two in five rows of one lane only, key 8 one in a hundred of each
+    rows = spark.range(0, 64_000, 1, 64).withColumn("part", F.spark_partition_id())
+    key = F.when((F.col("part") < 16) & (F.col("id") % 5 < 2), 7).when(F.col("id") % 100 == 99, 8).otherwise(F.col("id") + 100)
+    hot = find_hot_keys(rows.select(key.alias("k")), "k", spread=250)
+    names = {r["h"]: r["k"] for r in spark.createDataFrame([(7,), (8,)], "k bigint").select(key_hash(["k"]).alias("h"), "k").collect()}
+    assert {names[h]: n for h, n in hot.pieces} == {7: 25, 8: 3}
+
+
 def test_threshold_follows_the_bytes(spark, monkeypatch):
     df = spark.range(1000)
     assert planned_tasks(df) == 8
@@ -295,6 +316,52 @@ def test_many_slices_need_several_blocks(spark):
     assert bag(with_previous(df, "user_id", "ts", name="p", spread=300)) == bag(plain)
 
 
+@pytest.mark.parametrize("kind", ["int", "bigint", "double", "date", "timestamp", "timestamp_ntz"])
+def test_order_numbers_rise_with_the_value(spark, kind):
+    rng = random.Random(5)
+    if kind == "double":
+        some = [0.0, 5e-324, 2.0**-1022, 1 - 2**-53, 1.0, 1 + 2**-52, 8 - 1e-15, 1e300, 1.7976931348623157e308, float("inf")]
+        some += [rng.uniform(0, 1) * 10 ** rng.randrange(-300, 300) for _ in range(300)]
+        values = some + [-v for v in some] + [float("nan")]
+    elif kind == "date":
+        values = [datetime.date(1, 1, 1) + datetime.timedelta(days=rng.randrange(3_000_000)) for _ in range(200)]
+    elif kind.startswith("timestamp"):
+        zone = datetime.timezone.utc if kind == "timestamp" else None
+        values = [datetime.datetime(1900, 1, 1, tzinfo=zone) + datetime.timedelta(microseconds=rng.randrange(10**16)) for _ in range(200)]
+    else:
+        values = [rng.randrange(-(2**31), 2**31) for _ in range(200)]
+    df = spark.createDataFrame([(v,) for v in values], f"v {kind}")
+    numbered = df.select("v", order_number(F.col("v"), df.schema["v"].dataType).alias("n"))
+    order = Window.orderBy("v")
+    wrong = numbered.select("v", "n", F.lag("v").over(order).alias("v0"), F.lag("n").over(order).alias("n0"))
+    assert wrong.where("n0 is not null and not ((v0 < v and n0 < n) or (v0 = v and n0 = n))").count() == 0
+
+
+def test_levels_too_large_to_broadcast_and_many_lanes(spark, monkeypatch):
+    df = spark.createDataFrame(burst_rows(8, True), SCHEMA).repartition(5, "event_id")
+    plain = with_previous(df, "user_id", "ts", name="p", hot=HotKeys(("user_id",)))
+    monkeypatch.setattr("eventloom.operators.slices.MAX_BROADCAST_BYTES", 0)
+    monkeypatch.setattr("eventloom.operators.slices.LANE_BITS", 3)
+    split = with_previous(df, "user_id", "ts", name="p", spread=60, spread_by=["event_id"])
+    assert bag(split.drop("event_id")) == bag(plain.drop("event_id"))
+
+
+def test_order_without_numbers_is_not_sliced(spark):
+    df = spark.createDataFrame([(1, f"t{i:03}") for i in range(300)], "user_id int, ts string")
+    assert find_cuts(df, ["user_id"], "ts", F.xxhash64("ts"), find_hot_keys(df, "user_id", spread=10)) is None
+    assert with_previous(df, "user_id", "ts", name="p", spread=10).where("p < ts").count() == 299
+
+
+def test_missing_moments_are_sliced_first(spark):
+    rows = [(i, 1, None) for i in range(3000)] + [(3000 + i, 1, START + datetime.timedelta(seconds=i)) for i in range(3000)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    cuts = find_cuts(df, ["user_id"], "ts", F.xxhash64("event_id"), find_hot_keys(df, "user_id", spread=20))
+    sliced = add_slices(df, "ts", F.xxhash64("event_id"), cuts)
+    sizes = sliced.groupBy("slice_no").agg(F.count(F.lit(1)).alias("n"), F.count("ts").alias("timed")).orderBy("slice_no").collect()
+    assert len(sizes) >= 18 and max(r["n"] for r in sizes) <= 450
+    assert [r["timed"] > 0 for r in sizes] == sorted(r["timed"] > 0 for r in sizes)
+
+
 def test_copies_of_one_event_are_spread_by_their_place(spark, tmp_path):
     copies = [(1, 1, START)] * 2000
     others = [(i, 1 + i % 4, START + datetime.timedelta(seconds=i)) for i in range(2, 2002)]

@@ -6,12 +6,21 @@ import pytest
 from pyspark.sql import functions as F
 
 from eventloom.catalog import all_queries
-from eventloom.functions.sizing import estimated_bytes, file_count, fits_broadcast
+from eventloom.functions.sizing import estimated_bytes, files_for, fits_broadcast, source_bytes
 from eventloom.operators.layout import balance, job_label, kept, rows_in_place
 from eventloom.sources.inventory import expect_files, file_profile, root_totals
 from eventloom.sources.readers import read_part, with_row_place
 from eventloom.sources.scratch import scratch_path, scratch_space
-from eventloom.sources.writers import check_target, write_coalesced, write_ordered, write_repartitioned, write_table
+from eventloom.sources.writers import (
+    bytes_when_written,
+    check_target,
+    stored_bytes,
+    write_coalesced,
+    write_ordered,
+    write_repartitioned,
+    write_sized,
+    write_table,
+)
 
 
 def parts(path):
@@ -129,8 +138,44 @@ def test_sizes(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     assert 0 < estimated_bytes(events.select("user_id")) < estimated_bytes(events)
     assert fits_broadcast(events) and not fits_broadcast(events, 10)
-    assert file_count(events) == 1 and file_count(events, minimum=4) == 4 and file_count(events, 1000) > 4
-    assert file_count(events, 1) == estimated_bytes(events)  # no bound upwards
+    assert files_for(5) == 1 and files_for(5, minimum=4) == 4 and files_for(10_000, 1000) == 10
+
+
+def test_unknown_and_multiplied_sizes(spark, sf_dir):
+    # a table from an RDD has no size; a join has at most the tables it reads
+    loose = spark.createDataFrame(spark.sparkContext.parallelize([(i,) for i in range(10)]), "id int")
+    assert estimated_bytes(loose) is None and source_bytes(loose) is None and not fits_broadcast(loose)
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    joined = events.join(events.withColumnRenamed("event_id", "other"), "user_id")
+    assert source_bytes(joined) <= 2 * stored_bytes(spark, f"{sf_dir}/events.parquet") < estimated_bytes(joined)
+
+
+def test_files_follow_written_bytes(spark, tmp_path):
+    # Catalyst thinks this table as large as its source; its one row needs one file
+    rows = spark.range(2_000_000).select(F.sha2(F.col("id").cast("string"), 256).alias("s"))
+    total = rows.groupBy(F.length("s").alias("n")).agg(F.count(F.lit(1)).alias("rows"))
+    assert write_sized(total, str(tmp_path / "total"), target_bytes=10_000) == 1
+    some = rows.limit(20_000)
+    asked = write_sized(some, str(tmp_path / "even"), target_bytes=100_000)
+    size = stored_bytes(spark, str(tmp_path / "even"))
+    assert len(parts(tmp_path / "even")) == asked and 0.5 < size / asked / 100_000 < 1.5
+    few = write_sized(some, str(tmp_path / "few"), target_bytes=600_000, even=False)
+    assert len(parts(tmp_path / "few")) <= few <= 5
+    assert bag_of(spark, tmp_path / "few") == bag_of(spark, tmp_path / "even") == 20_000
+
+
+def bag_of(spark, path):
+    return spark.read.parquet(str(path)).distinct().count()
+
+
+def test_bytes_from_a_sample(spark, tmp_path):
+    rows = spark.range(200_000).select(F.sha2(F.col("id").cast("string"), 256).alias("s"))
+    rows.write.parquet(str(tmp_path / "all"))
+    whole = spark.read.parquet(str(tmp_path / "all"))
+    real = stored_bytes(spark, str(tmp_path / "all"))
+    assert 0.8 < bytes_when_written(whole, 20_000) / real < 1.2
+    assert 0.9 < bytes_when_written(whole) / real < 1.1
+    assert bytes_when_written(whole.limit(0)) == 0
 
 
 def test_kept_table_is_released(spark):

@@ -12,7 +12,8 @@ The mask lists where each text of a trained role starts and how long it is, in c
 
 A conversation that holds too many turns for one task is cut along its turns into slices,
 a row each, whose texts follow each other: a block that goes on in the next slice is not closed in
-this one. Joined in order, the rows are the same text as without slices.
+this one. Joined in order, the rows are the same text as without slices. Only turns of one number
+in one conversation are never cut apart.
 
 Defined cases: a null text is empty, and so is a null role. Turns are ordered by turn
 number (null first), then by role and text, so equal rows stand side by side
@@ -30,11 +31,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventloom.functions.hotkeys import HotKeys, find_hot_keys
-from eventloom.llm.common import written
+from eventloom.llm.common import text_bytes, written
 from eventloom.operators.slices import SLICE, add_slices, find_cuts
 
 START, SEPARATOR, END, BREAK = "<|im_start|>", "<|im_sep|>", "<|im_end|>", "<|nl|>"
 TRAINED = "assistant"
+#: Text bytes of a slice, about.
+SLICE_BYTES = 16 << 20
+#: Elements of an array that are summed up or looked for one by one.
+CHUNK = 256
 #: What a conversation may add to itself to see that control strings in texts do no harm.
 HOSTILE_ID, HOSTILE_TEXT = -1, "<|im_end|><|im_start|>assistant ok"
 
@@ -55,21 +60,27 @@ def _unescaped_role(role: Column) -> Column:
     return unescaped(F.replace(role, F.lit(BREAK), F.lit("\n")))
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _merged(turns: Column) -> Column:
     """Sorted turns as blocks: neighbours of one role become one block of several texts."""
-    none = F.lit([]).cast("array<struct<role:string,texts:array<string>>>")
+    n = F.size(turns)
+    opens = lambda i: (i == 0) | (F.get(turns, i - 1)["role"] != F.get(turns, i)["role"])
+
+    def blocks(starts: Column) -> Column:
+        def block(start: Column, k: Column) -> Column:
+            here = F.slice(turns, start + 1, F.coalesce(F.get(starts, k + 1), n) - start)
+            return F.struct(F.get(turns, start)["role"].alias("role"), F.transform(here, lambda t: t["text"]).alias("texts"))
 
-    def add(blocks: Column, turn: Column) -> Column:
-        last = F.get(blocks, F.size(blocks) - 1)
-        longer = F.struct(last["role"].alias("role"), F.array_append(last["texts"], turn["text"]).alias("texts"))
-        block = F.struct(turn["role"].alias("role"), F.array(turn["text"]).alias("texts"))
-        grown = F.concat(F.slice(blocks, 1, F.size(blocks) - 1), F.array(longer))
-        return F.when((F.size(blocks) > 0) & (last["role"] == turn["role"]), grown).otherwise(F.array_append(blocks, block))
+        return F.transform(starts, block)
 
-    return F.aggregate(turns, none, add)
+    return _let(F.filter(F.sequence(F.lit(0), n - 1), opens), blocks)
 
 
-def _pieces(first: Column, blocks: Column, opened: Column, closed: Column) -> Column:
+def _pieces(blocks: Column, opened: Column, closed: Column) -> Column:
     """All texts of the blocks in order, each with what stands before and after it.
 
     ``opened`` tells that the first block goes on from the slice before, ``closed`` that
@@ -94,18 +105,48 @@ def _pieces(first: Column, blocks: Column, opened: Column, closed: Column) -> Co
     return F.flatten(F.transform(blocks, of))
 
 
+def _sum(numbers: Column) -> Column:
+    return F.aggregate(numbers, F.lit(0).cast("long"), lambda s, x: s + x)
+
+
+def _chunks(array: Column) -> Column:
+    """Numbers of the array's chunks; sums and places are found per chunk, so that the
+    work per element does not grow with the array."""
+    return F.sequence(F.lit(0), F.floor((F.size(array) - 1) / CHUNK).cast("int"))
+
+
+def _chunk(array: Column, c: Column) -> Column:
+    return F.slice(array, c * CHUNK + 1, F.lit(CHUNK))
+
+
+def _starts(lengths: Column) -> Column:
+    """Sum of the lengths before each."""
+
+    def placed(sums: Column) -> Column:
+        def one(c: Column) -> Column:
+            inside = lambda base, here: F.transform(here, lambda x, j: base + _sum(F.slice(here, F.lit(1), j)))
+            return _let(_sum(F.slice(sums, F.lit(1), c)), lambda base: _let(_chunk(lengths, c), lambda here: inside(base, here)))
+
+        return F.flatten(F.transform(_chunks(lengths), one))
+
+    return _let(F.transform(_chunks(lengths), lambda c: _sum(_chunk(lengths, c))), placed)
+
+
 def _masked(pieces: Column, trained: str) -> Column:
     """Start and length of each trained text in the concatenated pieces."""
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit([]).cast("array<struct<start:bigint,length:bigint>>").alias("spans"))
-
-    def add(state: Column, piece: Column) -> Column:
-        begin = state["at"] + F.char_length(piece["before"])
-        length = F.char_length(piece["text"]).cast("long")
-        span = F.struct(begin.alias("start"), length.alias("length"))
-        spans = F.when(piece["role"] == trained, F.array_append(state["spans"], span)).otherwise(state["spans"])
-        return F.struct((begin + length + F.char_length(piece["after"])).alias("at"), spans.alias("spans"))
+    length = lambda part: F.char_length(part).cast("long")
+    lengths = F.transform(pieces, lambda p: length(p["before"]) + length(p["text"]) + length(p["after"]))
+
+    def spans(starts: Column) -> Column:
+        each = F.transform(
+            pieces,
+            lambda p, i: F.struct(
+                (F.get(starts, i) + length(p["before"])).alias("start"), length(p["text"]).alias("length"), (p["role"] == trained).alias("on")
+            ),
+        )
+        return F.transform(F.filter(each, lambda s: s["on"]), lambda s: F.struct(s["start"].alias("start"), s["length"].alias("length")))
 
-    return F.aggregate(pieces, start, add, lambda state: state["spans"])
+    return _let(lengths, lambda numbers: _let(_starts(numbers), spans))
 
 
 def formatted(
@@ -128,8 +169,11 @@ def formatted(
         _escaped_role(F.coalesce(F.col(role).cast("string"), F.lit(""))).alias("role"),
         escaped(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("text"),
     )
-    hot = find_hot_keys(rows, "conversation", spread=spread) if hot is None else hot
-    # turns of one number are cut by their hash only where they are equal in all columns or go to one slice
+    if hot is None:
+        # as many pieces as the texts fill tasks; a table that one task can hold needs none
+        spread = -(-text_bytes(turns, text) // SLICE_BYTES) if spread is None else spread
+        hot = find_hot_keys(rows, "conversation", spread=spread) if spread > 1 else HotKeys(("conversation",))
+    # turns of one number stay together, for their order is by role and text
     cuts = find_cuts(rows, ["conversation"], "turn", F.lit(0).cast("bigint"), hot) if hot else None
     if cuts is None:
         rows = rows.withColumns({SLICE: F.lit(0), "cut_hash": F.lit(None).cast("bigint")})
@@ -154,7 +198,7 @@ def formatted(
         opened = F.coalesce(F.col("role_before") == F.col("first_role"), F.lit(False))
         closed = F.coalesce(F.col("role_after") != F.col("last_role"), F.lit(True))
         going_on = F.when(opened, F.col("first_role"))
-    pieces = _pieces(F.col("turns"), F.col("blocks"), opened, closed)
+    pieces = _let(F.col("blocks"), lambda blocks: _pieces(blocks, opened, closed))
     found = found.withColumn("pieces", pieces).withColumn("going_on", going_on)
     each = F.transform("pieces", lambda p: F.concat(p["before"], p["text"], p["after"]))
     return found.select(
@@ -187,7 +231,17 @@ def parsed(rows: DataFrame) -> DataFrame:
     turns = F.flatten(F.transform(blocks, texts))
     # a block that goes on starts with a separator, before which there is no text
     turns = F.when(F.col("going_on").isNotNull(), F.slice(turns, 2, F.size(turns))).otherwise(turns)
-    masked = F.transform("mask", lambda s: unescaped(F.substring(F.col("formatted"), (s["start"] + 1).cast("int"), s["length"].cast("int"))))
+    # a chunk of spans is cut out first, as finding a place in a text takes as long as it is far
+    cut = lambda text, start, length: F.substring(text, (start + 1).cast("int"), length.cast("int"))
+
+    def of(spans: Column) -> Column:
+        first, last = F.get(spans, F.lit(0)), F.element_at(spans, -1)
+        part = cut(F.col("formatted"), first["start"], last["start"] + last["length"] - first["start"])
+        return _let(part, lambda text: F.transform(spans, lambda s: unescaped(cut(text, s["start"] - first["start"], s["length"]))))
+
+    mask = F.col("mask")
+    each = F.flatten(F.transform(_chunks(mask), lambda c: _let(_chunk(mask, c), of)))
+    masked = F.when(F.size(mask) > 0, each).otherwise(F.lit([]).cast("array<string>"))
     return rows.withColumns({"turns": turns, "masked": masked})
 
 

@@ -179,14 +179,19 @@ def fitted(
 def coded(
     vectors: DataFrame, books: Codebooks | None, *, vector: str = "embedding", row_id: str = "vec_id", keep: tuple[str, ...] = (), scale: int = SCALE
 ) -> DataFrame:
-    """Id, kept columns, ``code`` (one byte per part) and ``error`` of every vector that takes part."""
+    """Id, kept columns, ``code`` (one byte per part) and ``error`` of every vector that takes part.
+
+    Kept columns may not be called code, error or vector_in.
+    """
     spark, names = vectors.sparkSession, [row_id, *keep]
+    if {"code", "error", "vector_in"} & set(names):
+        raise ValueError("rename kept columns code, error and vector_in first")
     kinds = vectors.select(*names).schema.add("code", "binary").add("error", "long")
     if books is None:
         return spark.createDataFrame([], kinds)
     shared = spark.sparkContext.broadcast(books)
-    rows = vectors.where(_finite(vector)).select(*names, vector)
-    return rows.mapInArrow(_codes(shared, vector, scale, names), kinds)
+    rows = vectors.where(_finite(vector)).select(*names, F.col(vector).alias("vector_in"))
+    return rows.mapInArrow(_codes(shared, "vector_in", scale, names), kinds)
 
 
 def decoded(codes: DataFrame, books: Codebooks, *, scale: int = SCALE, code: str = "code", vector: str = "approximate") -> DataFrame:

@@ -9,13 +9,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from eventloom.catalog.joining import watched_users
-from eventloom.catalog.tables import PLACE, profile, table
+from eventloom.catalog.tables import CHUNKS_SQL, PLACE, chunk_root, profile, table
 from eventloom.operators.joins import key_coverage
 from eventloom.operators.quality import size_report, source_report
 from eventloom.operators.windows import out_of_order, running_anchor
-from eventloom.plans.bursts import burst_users, gap_report, watchlist_gaps
+from eventloom.plans.bursts import burst_users, gap_report, gaps_by_file, watchlist_gaps
+from eventloom.sources.footers import column_inventory
 from eventloom.sources.inventory import file_profile
-from eventloom.sources.readers import with_row_place
+from eventloom.sources.readers import read_root, with_row_place
 
 HOUR = 3600
 
@@ -51,6 +52,16 @@ def watched_gaps(spark, sf_dir):
     )
 
 
+def watched_gaps_by_file(spark, sf_dir):
+    """Per chunk file of the events, gaps of a watched user inside that file."""
+    rows = with_row_place(read_root(spark, chunk_root(spark, sf_dir, "ranged")))
+    found = gaps_by_file(
+        rows, watched_users(spark, sf_dir), below=24 * HOUR, more_than=1, time="ts", spread_by=PLACE
+    )
+    chunk = F.regexp_extract("file_path", r"chunk=(\d+)", 1).cast("bigint")
+    return found.select(chunk.alias("chunk"), "rows", "watched_rows", "tight_gaps", "passed")
+
+
 def dq_sources(spark, sf_dir):
     """Watched gaps, stored order and profile coverage."""
     events, users = table(spark, sf_dir, "events"), profile(spark, sf_dir)
@@ -64,9 +75,11 @@ def dq_sources(spark, sf_dir):
 def dq_sizes(spark, sf_dir):
     """The sizes that matter for a broadcast and a cache."""
     events = table(spark, sf_dir, "events")
-    money = events.where(F.col("event_type").isin("purchase", "error"))
+    hit = F.col("event_type").isin("purchase", "error")
+    share = events.agg(F.count_if(hit) / F.nullif(F.count(F.lit(1)), F.lit(0))).scalar()
     files = file_profile(spark, {"customer": f"{sf_dir}/customer.parquet"})
-    return size_report(files, events, money.select("user_id", "event_type", "value"))
+    columns = column_inventory(spark, f"{sf_dir}/events.parquet")
+    return size_report(files, columns, ["user_id", "event_type", "value"], share)
 
 
 def anchors(spark, sf_dir):
@@ -80,6 +93,7 @@ QUERIES = {
     "q_burst_users": burst,
     "q_burst_users_tight": burst_default,
     "q_watchlist_gaps": watched_gaps,
+    "q_watchlist_gaps_by_file": watched_gaps_by_file,
     "q_running_anchor": anchors,
     "q_dq_sources": dq_sources,
     "q_dq_sizes": dq_sizes,
@@ -108,6 +122,13 @@ SQL = {
         from g where gap_seconds <= 2 group by user_id having count(gap_seconds) > 10""",
     "q_watchlist_gaps": f"""with {_WATCHED} select user_id, count(*) as tight_gaps
         from g where gap_seconds < 3600 group by user_id""",
+    "q_watchlist_gaps_by_file": f"""with {CHUNKS_SQL},
+        f as (select *, user_id in (select c_custkey from customer where c_acctbal < 0) as watched from ranged),
+        g as (select *, case when watched then
+            floor(epoch(ts)) - floor(epoch(lag(ts) over (partition by chunk, user_id order by ts))) end as gap from f)
+        select chunk, count(*) as rows, count(*) filter (watched) as watched_rows,
+          count(*) filter (gap < 86400) as tight_gaps, count(*) filter (gap < 86400) > 1 as passed
+        from g group by chunk""",
     "q_dq_sources": f"""with {_WATCHED},
         t as (select count(*) as n from g where gap_seconds < 3600),
         o as (select count(*) as n from (select ts, lag(ts) over (order by event_id) as above from events)

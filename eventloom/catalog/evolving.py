@@ -5,18 +5,20 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from eventloom.catalog.tables import (
+    CHUNKS_SQL,
     V1_APPS,
-    V2_APPS,
     VERSIONS_SQL,
     activity,
-    table,
+    chunk_root,
+    grown_root,
     version_frames,
     version_roots,
 )
 from eventloom.operators.aggregates import count_by, missing_counts
 from eventloom.operators.evolution import column_changes, missing_flags, only_adds, schema_drift
 from eventloom.operators.sets import rows_outside, shared_values, unknown_values
-from eventloom.sources.inventory import expect_files, file_profile, root_totals
+from eventloom.sources.footers import column_inventory, schema_changes
+from eventloom.sources.inventory import file_profile, root_totals
 from eventloom.sources.readers import (
     read_merged,
     read_part,
@@ -108,27 +110,38 @@ def domain_unknown(spark, sf_dir):
 
 
 def file_totals(spark, sf_dir):
-    """Rows and files per root and overall; sizes only as a sign they are known."""
-    roots = version_roots(spark, sf_dir)
-    files = file_profile(spark, {name: path for name, (path, _) in roots.items()})
-    expected = {name: n for name, (_, n) in roots.items()}
-    expected["all"] = sum(expected.values())
-    checked = expect_files(root_totals(files), expected)
-    return checked.select("root", "rows", (F.col("bytes") > 0).alias("has_bytes"), "files_ok")
+    """Files, bytes and rows of every chunk of text lines and of all, against the number of files
+    that were asked for: one per chunk, but for the last chunk one more than there is."""
+    path = chunk_root(spark, sf_dir, "lines")
+    chunk = F.regexp_extract("file_path", r"chunk=(\d+)", 1)
+    files = file_profile(spark, {"lines": path}, "text").withColumn("root", chunk)
+    totals = root_totals(files)
+    last = files.agg(F.max(F.col("root").cast("bigint"))).scalar()
+    wrong = F.coalesce(F.try_to_number("root", F.lit("999999999999")).cast("bigint") == last, F.lit(False))
+    expected = F.when(F.col("root") != "all", F.lit(1) + wrong.cast("bigint")).cast("bigint")
+    return totals.withColumn("expected_files", expected).withColumn("files_ok", F.col("files") == F.col("expected_files"))
 
 
 def file_rows(spark, sf_dir):
-    """Each part file read on its own must hold the rows its footer states."""
-    path, _ = version_roots(spark, sf_dir)["v1"]
-    stated = file_profile(spark, {"v1": path})
-    first = stated.agg(F.min("file_path").alias("p")).first()["p"]
-    part = read_part(spark, path, first.rsplit("/", 1)[1]).agg(F.count(F.lit(1))).scalar()
-    return stated.agg(
-        F.sum("rows").alias("rows"),
-        (F.max(F.when(F.col("file_path") == first, F.col("rows"))) == F.max(part)).alias("part_ok"),
+    """One part file read on its own, the last chunk's: the rows its footer states, and those found."""
+    path = chunk_root(spark, sf_dir, "ranged")
+    stated = file_profile(spark, {"ranged": path})
+    number = F.regexp_extract("file_path", r"chunk=(\d+)", 1).cast("bigint")
+    last = stated.agg(F.max_by("file_path", number).alias("p"), F.max_by("rows", number).alias("n")).first()
+    return read_part(spark, path, last["p"]).agg(
+        F.max("chunk").cast("bigint").alias("chunk"),
+        F.lit(last["n"]).cast("bigint").alias("stated_rows"),
+        F.count(F.lit(1)).alias("rows"),
+        F.min("event_id").alias("first_id"),
     )
 
 
+def drift_by_file(spark, sf_dir):
+    """Columns that appear, vanish or change their type within one root, with the rows of their files."""
+    found = schema_changes(column_inventory(spark, grown_root(spark, sf_dir)))
+    return found.select("column_name", "type", "rows", "all_rows", "change")
+
+
 QUERIES = {
     "q_evolve_counts": evolve_counts,
     "q_evolve_by_group": evolve_by_group,
@@ -141,6 +154,7 @@ QUERIES = {
     "q_domain_leak": domain_leak,
     "q_domain_shared": domain_shared,
     "q_domain_unknown": domain_unknown,
+    "q_schema_by_file": drift_by_file,
     "q_file_profile": file_totals,
     "q_file_part": file_rows,
 }
@@ -195,9 +209,24 @@ SQL = {
     "q_domain_unknown": f"""with {VERSIONS_SQL}
         select device_type from activity
         except select device_type from activity where device_type = 'mobile'""",
-    "q_file_profile": f"""with {VERSIONS_SQL}
-        select 'v1' as root, count(*) as rows, true as has_bytes, true as files_ok from v1
-        union all select 'v2', count(*), true, true from v2
-        union all select 'all', count(*), true, true from versions""",
-    "q_file_part": f"with {VERSIONS_SQL} select count(*) as rows, true as part_ok from v1",
+    "q_schema_by_file": """with p as (
+          select *, event_id * 3 // (select count(*) from events) as part from events),
+        c as (
+          select 'event_id' as column_name, 'int64' as type, part from p
+          union all select 'user_id', case when part < 2 then 'int64' else 'string' end, part from p
+          union all select 'value', 'double', part from p where part < 2
+          union all select 'ab_test_group', 'string', part from p where part > 0),
+        k as (select column_name, count(distinct type) as types, count(distinct part) as parts from c group by column_name)
+        select column_name, type, count(*) as rows, (select count(*) from events) as all_rows,
+          case when any_value(parts) < 3 then 'partial' when any_value(types) > 1 then 'retyped' else 'same' end as change
+        from c join k using (column_name) group by column_name, type""",
+    "q_file_profile": f"""with {CHUNKS_SQL},
+        l as (select cast(chunk as varchar) as root, strlen(event_id || ',' || user_id || ',' || event_type) + 1 as bytes from ranged),
+        t as (select root, count(distinct root) as files, cast(sum(bytes) as bigint) as bytes, count(*) as rows,
+            1 + cast(cast(root as bigint) = (select max(chunk) from ranged) as bigint) as expected_files from l group by root)
+        select *, files = expected_files as files_ok from t
+        union all select 'all', cast(sum(files) as bigint), cast(sum(bytes) as bigint), cast(sum(rows) as bigint), null, null from t""",
+    "q_file_part": f"""with {CHUNKS_SQL}
+        select chunk, count(*) as stated_rows, count(*) as rows, min(event_id) as first_id
+        from ranged where chunk = (select max(chunk) from ranged) group by chunk""",
 }

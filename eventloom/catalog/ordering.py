@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.catalog.measuring import MINUTES_SQL, minutes_by_user
-from eventloom.catalog.tables import MIN_FILES, PLACE, table, version_roots
+from eventloom.catalog.tables import CHUNKS_SQL, PLACE, chunk_root, table, version_roots
 from eventloom.functions.sizing import files_for
-from eventloom.operators.windows import out_of_order
-from eventloom.sources.inventory import file_profile
+from eventloom.operators.windows import out_of_order, overlapping
+from eventloom.sources.inventory import file_profile, root_totals
 from eventloom.sources.readers import read_root, with_row_place
 from eventloom.sources.scratch import scratch_path
 from eventloom.sources.writers import bytes_when_written, write_ordered, write_sized
@@ -37,24 +39,25 @@ def write_range_layout(spark, sf_dir):
     return read_root(spark, out, rows.schema)
 
 
-def range_files(spark, sf_dir):
-    """Files of the time-ordered layout whose time range overlaps another file's."""
-    path, files = version_roots(spark, sf_dir)["v1"]
-    place = with_row_place(read_root(spark, path).select("event_timestamp", "_metadata"))
+def _overlaps(place, number):
     ranges = place.groupBy("file_path").agg(
-        F.min("event_timestamp").alias("low"),
-        F.max("event_timestamp").alias("high"),
-        F.count(F.lit(1)).alias("n"),
-    )
-    # part names rise with the range, so no file may start before the one above
-    # ends; one row per file
-    part = F.regexp_extract("file_path", r"part-(\d+)", 1).cast("int")
-    above = F.lag("high").over(Window.orderBy(part))
-    return ranges.withColumn("above", above).agg(
-        F.sum("n").alias("rows"),
-        F.count_if(F.col("low") < F.col("above")).alias("overlaps"),
-        (F.count(F.lit(1)) <= files).alias("files_ok"),
+        F.min("ts").alias("low"), F.max("ts").alias("high"), F.count(F.lit(1)).alias("n")
     )
+    ranges = ranges.withColumn("number", F.regexp_extract("file_path", number, 1).cast("bigint"))
+    rows = ranges.agg(F.sum("n")).scalar()
+    return overlapping(ranges, "number", "low", "high").select(rows.alias("rows"), "overlaps")
+
+
+def range_files(spark, sf_dir):
+    """Files whose time range overlaps that of the file above, in three layouts: the time-ordered
+    version (part names rise with the range), neighbouring event ids, and event ids dealt out."""
+    path, _ = version_roots(spark, sf_dir)["v1"]
+    place = with_row_place(read_root(spark, path).select(F.col("event_timestamp").alias("ts"), "_metadata"))
+    found = [_overlaps(place, r"part-(\d+)").withColumn("layout", F.lit("ordered"))]
+    for layout in ("ranged", "dealt"):
+        place = with_row_place(read_root(spark, chunk_root(spark, sf_dir, layout)).select("ts", "_metadata"))
+        found.append(_overlaps(place, r"chunk=(\d+)").withColumn("layout", F.lit(layout)))
+    return reduce(DataFrame.unionByName, found)
 
 
 def stored_order(spark, sf_dir):
@@ -73,12 +76,9 @@ def stored_order_by_value(spark, sf_dir):
 
 
 def version_files(spark, sf_dir):
-    """Rows in the files of both versions, from the footers."""
+    """Rows in the files of each version, from the footers, and over both."""
     roots = {name: path for name, (path, _) in version_roots(spark, sf_dir).items()}
-    files = file_profile(spark, roots)
-    return files.agg(
-        F.sum("rows").alias("rows"), (F.count(F.lit(1)) >= F.lit(2 * MIN_FILES)).alias("enough_files")
-    )
+    return root_totals(file_profile(spark, roots)).select("root", "rows")
 
 
 QUERIES = {
@@ -95,11 +95,20 @@ SQL = {
     "q_write_roundtrip": MINUTES_SQL,
     "q_write_coalesced": MINUTES_SQL,
     "q_write_range_layout": "select * from events",
-    "q_range_files": """select count(*) as rows, cast(0 as bigint) as overlaps, true as files_ok
-        from events where event_id * 2 < (select count(*) from events)""",
+    "q_range_files": f"""with {CHUNKS_SQL},
+        v1 as (select *, lag(ts) over (order by ts, event_id) as above from events
+               where event_id * 2 < (select count(*) from events)),
+        f as (select 'ranged' as layout, chunk, min(ts) as low, max(ts) as high, count(*) as n from ranged group by chunk
+              union all select 'dealt', chunk, min(ts), max(ts), count(*) from dealt group by chunk),
+        o as (select *, lag(high) over (partition by layout order by chunk) as above from f)
+        select 'ordered' as layout, count(*) as rows, count(*) filter (ts < above) as overlaps from v1
+        union all
+        select layout, cast(sum(n) as bigint), count(*) filter (low < above) from o group by layout""",
     "q_out_of_order": """select count(*) as rows, count(*) filter (ts < above) as out_of_order
         from (select ts, lag(ts) over (order by event_id) as above from events)""",
     "q_out_of_order_values": """select count(*) as rows, count(*) filter (c_acctbal < above) as out_of_order
         from (select c_acctbal, lag(c_acctbal) over (order by c_custkey) as above from customer)""",
-    "q_version_files": "select count(*) as rows, true as enough_files from events",
+    "q_version_files": """with v as (
+          select case when event_id * 2 < (select count(*) from events) then 'v1' else 'v2' end as root from events)
+        select root, count(*) as rows from v group by root union all select 'all', count(*) from v""",
 }

@@ -116,6 +116,51 @@ def version_roots(spark: SparkSession, sf_dir: str) -> dict[str, tuple[str, int]
     return kept[sf_dir]
 
 
+def _chunk_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int, int]:
+    """The events, rows per chunk file (a quarter of them, 2,000 to a million) and chunks."""
+    events = table(spark, sf_dir, "events")
+    n = events.count()
+    each = max(2_000, min(1_000_000, n // 4))
+    return events, each, max(1, -(-n // each))
+
+
+def chunk_root(spark: SparkSession, sf_dir: str, layout: str) -> str:
+    """The events in files of known rows, one file per ``chunk=N`` folder, written once per scratch space.
+
+    ``ranged`` files hold neighbouring event ids, ``dealt`` ones every n-th, both as Parquet;
+    ``lines`` are the ranged ones as text, ``id,user,type`` a line, so that their bytes are known as well.
+    """
+    kept = current_space(spark).kept
+    if (sf_dir, layout) not in kept:
+        events, each, chunks = _chunk_rows(spark, sf_dir)
+        number = F.col("event_id") % chunks if layout == "dealt" else F.call_function("div", F.col("event_id"), F.lit(each))
+        rows = events.withColumn("chunk", number)
+        path = scratch_path(spark, f"events-{layout}")
+        if layout == "lines":
+            line = F.concat_ws(",", "event_id", "user_id", "event_type")
+            rows.select("chunk", line.alias("value")).repartition("chunk").write.partitionBy("chunk").option("compression", "none").text(path)
+        else:
+            rows.repartition("chunk").write.partitionBy("chunk").parquet(path)
+        kept[sf_dir, layout] = path
+    return kept[sf_dir, layout]
+
+
+def grown_root(spark: SparkSession, sf_dir: str) -> str:
+    """One root whose files do not share a schema: the first third of the events has no ``ab_test_group``,
+    the last third has ``user_id`` as text and no ``value``."""
+    kept = current_space(spark).kept
+    if (sf_dir, "grown") not in kept:
+        events, path = table(spark, sf_dir, "events"), scratch_path(spark, "events-grown")
+        n, part = events.count(), F.col("event_id") * 3
+        group = pick_uniform(F.col("event_id"), TEST_GROUPS).alias("ab_test_group")
+        user = F.col("user_id").cast("string").alias("user_id")
+        events.where(part < n).select("event_id", "user_id", "value").write.parquet(f"{path}/a")
+        events.where((part >= n) & (part < 2 * n)).select("event_id", "user_id", "value", group).write.parquet(f"{path}/b")
+        events.where(part >= 2 * n).select("event_id", user, group).write.parquet(f"{path}/c")
+        kept[sf_dir, "grown"] = path
+    return kept[sf_dir, "grown"]
+
+
 # ---- the same tables as SQL --------------------------------------------------
 
 ACTIVITY_SQL = """activity as (
@@ -146,6 +191,12 @@ versions as (select * from v1 union all by name select * from v2)"""
 )
 
 
+CHUNKS_SQL = """sized as (
+  select greatest(2000, least(1000000, count(*) // 4)) as each, count(*) as n from events),
+ranged as (select events.*, event_id // each as chunk from events, sized),
+dealt as (select events.*, event_id % greatest(1, (n + each - 1) // each) as chunk from events, sized)"""
+
+
 def mean_sql(value: str) -> str:
     """Plain mean to two decimals; the small term lets a half go up, for values >= 0."""
     return f"round(avg({value}) + 1e-9, 2)"

@@ -8,8 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.functions.sizing import estimated_bytes
-
 
 # fixed values: thresholds of the checks
 MIN_TOP_SHARE_PCT = 80.0
@@ -132,24 +130,33 @@ def source_report(
 
 def size_report(
     dimension_files: DataFrame,
-    wide: DataFrame,
-    narrow: DataFrame,
+    columns: DataFrame,
+    narrow: Sequence[str],
+    kept_share: Column | float = 1.0,
     *,
     max_dimension_bytes: int = MAX_DIMENSION_BYTES,
 ) -> DataFrame:
     """Does the dimension stay small, and is the narrow table smaller than the wide one?
 
     ``dimension_files`` has a row per file (``file_profile``); its value is their
-    bytes. Wide and narrow are plans, measured by Catalyst's estimate; an unknown
-    size fails its check, and so does an empty table.
+    bytes. ``columns`` has a row per file and column (``footers.column_inventory``): the wide
+    table's bytes are those of all columns before compression, the narrow one's those of the
+    named columns times the share of the rows it keeps. An empty table fails its check.
     """
-    full, slim = (estimated_bytes(df) for df in (wide, narrow))
-    less = None not in (full, slim) and slim < full
-    some = F.count(F.lit(1)) > 0
-    size = lambda n: F.lit(None if n is None else float(n)).cast("double")
+    share = kept_share if isinstance(kept_share, Column) else F.lit(float(kept_share))
     stored, held = F.sum("file_bytes"), F.sum("rows")
+    wide = F.sum("plain_bytes")
+    slim = F.sum(F.when(F.col("column_name").isin(list(narrow)), F.col("plain_bytes")).otherwise(F.lit(0)))
+    sizes = columns.agg(wide.alias("wide"), F.round(slim * share, 0).alias("slim"))
     rows = [
         dimension_files.agg(check_row("dimension_bytes", stored, max_dimension_bytes, (stored < max_dimension_bytes) & (held > 0)).alias("c")),
-        narrow.agg(check_row("narrow_bytes", size(slim), full or 0, F.lit(less) & some).alias("c")),
+        sizes.select(
+            F.struct(
+                F.lit("narrow_bytes").alias("check"),
+                F.col("slim").cast("double").alias("value"),
+                F.col("wide").cast("double").alias("threshold"),
+                F.coalesce((F.col("slim") < F.col("wide")) & (F.col("wide") > 0), F.lit(False)).alias("passed"),
+            ).alias("c")
+        ),
     ]
     return reduce(DataFrame.unionByName, rows).select("c.*")

@@ -173,6 +173,38 @@ def top_per_group(
     return df.withColumn(rank, F.row_number().over(order)).where(F.col(rank) <= n)
 
 
+def path_names(df: DataFrame, file_column: str = "file_path") -> DataFrame:
+    """The hash of each path as ``file_key``, and the path; two paths with one hash stop the job."""
+    names = (
+        df.select(file_column)
+        .distinct()
+        .groupBy(F.xxhash64(file_column).alias("file_key"))
+        .agg(F.min(file_column).alias(file_column), F.count(F.lit(1)).alias("paths"))
+    )
+    clash = F.raise_error(F.lit("two files share a path hash")).cast("string")
+    return names.select("file_key", F.when(F.col("paths") > 1, clash).otherwise(F.col(file_column)).alias(file_column))
+
+
+def overlapping(ranges: DataFrame, number: str, low: str, high: str, *, block: int = 4096) -> DataFrame:
+    """One row: ranges, and how many start before the one above them, by ``number``, ends.
+
+    Ranges are compared in blocks of numbers, and the blocks' seams after that, so no
+    task sees them all.
+    """
+    rows = ranges.select(F.floor(F.col(number) / F.lit(block)).alias("block"), number, low, high)
+    inside = Window.partitionBy("block").orderBy(number)
+    blocks = rows.withColumn("above", F.lag(high).over(inside)).groupBy("block").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col(low) < F.col("above")).alias("bad"),
+        F.min_by(low, number).alias("first_low"),
+        F.max_by(high, number).alias("last_high"),
+    )
+    seams = blocks.withColumn("above", F.lag("last_high").over(Window.partitionBy(F.lit(0)).orderBy("block")))
+    return seams.agg(
+        F.sum("n").alias("ranges"), (F.sum("bad") + F.count_if(F.col("first_low") < F.col("above"))).alias("overlaps")
+    )
+
+
 def out_of_order(
     df: DataFrame,
     time: str,
@@ -188,14 +220,7 @@ def out_of_order(
     Rows travel under a hash of the path, which is far shorter than the path;
     the paths come back at the end, and two with one hash would stop the job.
     """
-    names = (
-        df.select(file_column)
-        .distinct()
-        .groupBy(F.xxhash64(file_column).alias("file_key"))
-        .agg(F.min(file_column).alias(file_column), F.count(F.lit(1)).alias("paths"))
-    )
-    clash = F.raise_error(F.lit("two files share a path hash")).cast("string")
-    names = names.select("file_key", F.when(F.col("paths") > 1, clash).otherwise(F.col(file_column)).alias(file_column))
+    names = path_names(df, file_column)
     block = F.floor(F.col(row_column) / F.lit(block_rows)).alias("block")
     rows = df.select(F.xxhash64(file_column).alias("file_key"), block, row_column, time)
     inside = Window.partitionBy("file_key", "block").orderBy(row_column)

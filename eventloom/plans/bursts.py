@@ -7,8 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventloom.functions.moments import gap_seconds
 from eventloom.operators.joins import only_listed
-from eventloom.operators.windows import with_gaps
+from eventloom.operators.windows import path_names, with_gaps, with_previous
 
 MAX_GAP_SECONDS = 2
 MORE_THAN = 10
@@ -87,3 +88,35 @@ def watchlist_gaps(
         .groupBy(user)
         .agg(F.count("gap_seconds").alias("tight_gaps"))
     )
+
+
+def gaps_by_file(
+    events: DataFrame,
+    watched: DataFrame,
+    *,
+    below: int = MAX_GAP_SECONDS + 1,
+    more_than: int = MORE_THAN,
+    user: str = "user_id",
+    time: str = "event_timestamp",
+    file_column: str = "file_path",
+    spread_by: list[str] | None = None,
+) -> DataFrame:
+    """One row per stored file: its rows, those of watched users, their gaps of less than
+    ``below`` seconds inside the file, and whether there are more than ``more_than``.
+
+    A gap does not reach over files. Rows are told apart by a hash of the path, and a hot user
+    within a file is cut into slices.
+    """
+    rows = events.withColumn("file_key", F.xxhash64(file_column))
+    every = rows.groupBy("file_key").agg(F.count(F.lit(1)).alias("rows"))
+    wanted = list(dict.fromkeys(["file_key", user, time, *(spread_by or [])]))
+    listed = only_listed(rows.select(*wanted), watched, user, spread_by=spread_by)
+    seen = with_previous(listed, ["file_key", user], time, name="before", spread_by=spread_by)
+    gaps = seen.groupBy("file_key").agg(
+        F.count(F.lit(1)).alias("watched_rows"),
+        F.count_if(gap_seconds(F.col(time), F.col("before")) < below).alias("tight_gaps"),
+    )
+    counted = every.join(gaps, "file_key", "left").fillna(0, ["watched_rows", "tight_gaps"])
+    return counted.join(path_names(events, file_column), "file_key").select(
+        file_column, "rows", "watched_rows", "tight_gaps", (F.col("tight_gaps") > more_than).alias("passed")
+    )

@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def file_profile(spark: SparkSession, roots: Mapping[str, str]) -> DataFrame:
-    """One row per file: root name, path, bytes, rows. Reads footers only."""
+def file_profile(spark: SparkSession, roots: Mapping[str, str], kind: str = "parquet") -> DataFrame:
+    """One row per file: root name, path, bytes, rows. Of Parquet files only footers are read."""
     per_root = [
-        spark.read.parquet(path)
+        spark.read.format(kind)
+        .load(path)
         .select(
             F.lit(name).alias("root"),
             F.col("_metadata.file_path").alias("file_path"),

@@ -57,8 +57,10 @@ def read_versions(
 
 
 def read_part(spark: SparkSession, root: str, file_name: str) -> DataFrame:
-    """The rows of one part file; the file filter prunes the listing, not the rows."""
-    return spark.read.parquet(root).where(F.col("_metadata.file_name") == file_name)
+    """The rows of one part file, by its name, or by its path where folders hold equal names;
+    the file filter prunes the listing, not the rows."""
+    which = "file_path" if "/" in file_name else "file_name"
+    return spark.read.parquet(root).where(F.col(f"_metadata.{which}") == file_name)
 
 
 def nanos_as_time(df: DataFrame, *columns: str) -> DataFrame:

@@ -1,7 +1,9 @@
 """Hand-made tables: nulls, ties, sub-second gaps, conflicting and growing schemas."""
 
 import datetime
+import random
 
+import pyarrow.parquet as pq
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
@@ -15,9 +17,10 @@ from eventloom.operators.evolution import column_changes, only_adds
 from eventloom.operators.joins import key_coverage, only_listed
 from eventloom.operators.quality import quality_report, size_report
 from eventloom.operators.sets import rows_outside, unknown_values
-from eventloom.operators.windows import out_of_order, top_per_group, with_gaps
-from eventloom.plans.bursts import burst_users, gap_events
+from eventloom.operators.windows import out_of_order, overlapping, top_per_group, with_gaps
+from eventloom.plans.bursts import burst_users, gap_events, gaps_by_file
 from eventloom.plans.durations import mean_duration, mean_of_means, minutes_per_user, weighted_mean
+from eventloom.sources.footers import column_inventory, files_that_differ, schema_changes
 from eventloom.sources.inventory import file_profile
 from eventloom.sources.readers import read_merged, read_unmerged, read_versions, union_versions, with_row_place
 from eventloom.sources.schemas import EVENTS_V1, EVENTS_V2
@@ -284,10 +287,93 @@ def test_stored_bytes_are_the_files_bytes(spark, tmp_path):
     files = file_profile(spark, {"dim": root})
     size = sum(f.stat().st_size for f in (tmp_path / "dim").glob("part-*.parquet"))
     for limit, passed in ((size, False), (size + 1, True)):
-        row = size_report(files, spark.range(10), spark.range(5), max_dimension_bytes=limit).where("check = 'dimension_bytes'").first()
+        row = size_report(files, column_inventory(spark, root), ["id"], max_dimension_bytes=limit).where("check = 'dimension_bytes'").first()
         assert (row["value"], row["passed"]) == (float(size), passed)
 
 
+def test_narrow_bytes_are_those_of_the_column_chunks(spark, tmp_path):
+    root = str(tmp_path / "wide")
+    wide = spark.range(5000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("s"), F.struct("id").alias("n"))
+    wide.repartition(3).write.parquet(root)
+    plain, stored = {}, {}
+    for f in (tmp_path / "wide").glob("part-*.parquet"):
+        meta = pq.ParquetFile(f).metadata
+        for g in range(meta.num_row_groups):
+            for i in range(meta.num_columns):
+                chunk = meta.row_group(g).column(i)
+                name = chunk.path_in_schema.split(".")[0]
+                plain[name] = plain.get(name, 0) + chunk.total_uncompressed_size
+                stored[name] = stored.get(name, 0) + chunk.total_compressed_size
+    columns = column_inventory(spark, root)
+    got = {r[0]: (r[1], r[2]) for r in columns.groupBy("column_name").agg(F.sum("plain_bytes"), F.sum("stored_bytes")).collect()}
+    assert got == {name: (plain[name], stored[name]) for name in ("id", "s", "n")}
+    files = file_profile(spark, {"wide": root})
+    row = size_report(files, columns, ["id"], 0.5).where("check = 'narrow_bytes'").first()
+    assert (row["value"], row["threshold"], row["passed"]) == (int(plain["id"] / 2 + 0.5), sum(plain.values()), True)
+    assert not size_report(files, columns, ["id", "s", "n"]).where("check = 'narrow_bytes'").first()["passed"]
+    assert not size_report(files, columns.limit(0), ["id"]).where("check = 'narrow_bytes'").first()["passed"]
+
+
+def test_columns_that_appear_vanish_or_change(spark, tmp_path):
+    root = str(tmp_path / "grown")
+    for i, names in enumerate((["a bigint", "b double"], ["a bigint", "b double", "c string"], ["a string", "c string"])):
+        spark.createDataFrame([(None,) * len(names)] * (10 + i), ", ".join(names)).coalesce(1).write.parquet(f"{root}/{i}")
+    found = column_inventory(spark, root)
+    got = {(r["column_name"], r["type"]): (r["files"], r["rows"], r["all_files"], r["all_rows"], r["change"]) for r in schema_changes(found).collect()}
+    assert got == {
+        ("a", "int64"): (2, 21, 3, 33, "retyped"),
+        ("a", "string"): (1, 12, 3, 33, "retyped"),
+        ("b", "double"): (2, 21, 3, 33, "partial"),
+        ("c", "string"): (2, 23, 3, 33, "partial"),
+    }
+    odd = {(r["file_path"].split("/")[-2], r["column_name"]): (r["type"], r["usual_type"]) for r in files_that_differ(found).collect()}
+    assert odd == {("0", "c"): (None, "string"), ("2", "a"): ("string", "int64"), ("2", "b"): (None, "double")}
+
+
+def test_footers_of_a_store_only_spark_can_open(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "t")
+    spark.range(100).repartition(2).write.parquet(root)
+    want = sorted(tuple(r) for r in column_inventory(spark, root).collect())
+    monkeypatch.setattr("eventloom.sources.footers.RANGED", ())
+    assert sorted(tuple(r) for r in column_inventory(spark, root).collect()) == want and len(want) == 2
+
+
+def test_sums_beyond_a_bigint(spark):
+    df = spark.range(10_000).select(F.lit(9e12).alias("x"), (F.lit(-9e12) - F.lit(0.01)).alias("y"))
+    assert tuple(df.agg(exact_mean(F.col("x")), exact_mean(F.col("y"))).first()) == (9e12, -9000000000000.01)
+    assert df.agg(exact_minutes(F.col("x"))).first()[0] == 1.5e15
+
+
+def test_gaps_inside_each_file(spark, tmp_path):
+    rng = random.Random(2)
+    start = datetime.datetime(2024, 1, 1)
+    rows = [(i, rng.randrange(4), start + datetime.timedelta(milliseconds=rng.randrange(400_000))) for i in range(600)]
+    for part in range(3):
+        spark.createDataFrame(rows[part * 200 : part * 200 + 200], "event_id bigint, user_id bigint, ts timestamp_ntz").coalesce(1).write.parquet(f"{tmp_path}/e/{part}")
+    spark.createDataFrame([(9, 9, start)], "event_id bigint, user_id bigint, ts timestamp_ntz").coalesce(1).write.parquet(f"{tmp_path}/e/9")
+    events = with_row_place(spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp_path}/e"))
+    want = {"9": (1, 0, 0, False)}
+    for part in range(3):
+        mine = [(u, t) for _, u, t in rows[part * 200 : part * 200 + 200] if u in (0, 1)]
+        tight = 0
+        for user in (0, 1):
+            times = sorted(t for u, t in mine if u == user)
+            tight += sum(int((b.replace(microsecond=0) - a.replace(microsecond=0)).total_seconds()) < 3 for a, b in zip(times, times[1:]))
+        want[str(part)] = (200, len(mine), tight, tight > 60)
+    watched = spark.createDataFrame([(0,), (1,)], "user_id bigint")
+    for place in (None, ["file_path", "row_index"]):
+        found = gaps_by_file(events, watched, more_than=60, time="ts", spread_by=place).collect()
+        assert {r["file_path"].split("/")[-2]: (r["rows"], r["watched_rows"], r["tight_gaps"], r["passed"]) for r in found} == want
+    assert any(v[3] for v in want.values()) or max(v[2] for v in want.values()) > 0
+
+
+@pytest.mark.parametrize("block", [1, 3, 100])
+def test_overlapping_ranges(spark, block):
+    ranges = [(0, 0, 5), (1, 5, 9), (2, 8, 12), (3, 20, 21), (4, 3, 4), (5, 4, 9)]
+    row = overlapping(spark.createDataFrame(ranges, "i bigint, lo int, hi int"), "i", "lo", "hi", block=block).first()
+    assert tuple(row) == (6, 2)
+
+
 def test_quality_report_fails_bad_data(spark):
     rows = [("US", "click", 1.0), ("UK", "view", None)]
     df = spark.createDataFrame(rows, "country string, event_type string, duration_seconds double")

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,3 +39,19 @@ def text_bytes(docs: DataFrame, column: str = "text") -> int:
 def tasks_for(spark: SparkSession, size: int, each: int) -> int:
     """Tasks of about ``each`` bytes or rows, at least the session's shuffle width."""
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // each), 1)
+
+
+#: How to empty what modules keep in a Python worker between tasks.
+KEPT_IN_WORKER: list[Callable[[], None]] = []
+
+
+def release_memory() -> None:
+    """Gives back what a reused Python worker still holds from tasks of other operators."""
+    for forget in KEPT_IN_WORKER:
+        forget()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass

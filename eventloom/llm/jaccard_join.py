@@ -9,7 +9,8 @@ chance. The steps:
    bits of it, to its bucket: a node can only link if three quarters of its
    shingles occur in another node too. Cut hashes may keep a node too many,
    never lose one. A shingle that several nodes of a chunk share is sent once
-   per chunk, so no bucket gathers a frequent one.
+   per chunk, so no bucket gathers a frequent one. A bucket knows a node by its
+   place in its chunk alone, so equal nodes of several chunks count as sharing.
 2. The few nodes that are left get their whole sets. Nodes that link must share
    one of the first ``n - ceil(0.75 n) + 1`` shingles in one common order, rare
    ones first; these are the nodes' lists.
@@ -41,7 +42,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import tasks_for, text_bytes, written
+from eventloom.llm.common import release_memory, tasks_for, text_bytes, written
 from eventloom.llm.components import components
 from eventloom.llm.t_occurrence import InvertedIndex
 from eventloom.llm.words import NOT_SPACE, buffer_of, row_blocks, shingles_of, words_of
@@ -59,8 +60,8 @@ BLOCK_SETS = 256
 #: Node ids that may be broadcast.
 BROADCAST_NODES = 1 << 20
 
-_PARTS = "bucket int, doc_id long, node binary, n int, own int, key long, dup long, hashes binary, docs binary, keys binary"
-_COUNTS = "doc_id long, node binary, n int, own int, key long, dup long, lane int, keys binary, dups binary"
+_PARTS = "bucket int, doc_id long, node binary, n int, own int, key long, dup long, chunk long, keys binary, hashes binary, docs binary"
+_COUNTS = "doc_id long, node binary, n int, own int, key long, dup long, chunk long, keys binary, docs binary, dups binary"
 _ZSTD = pa.Codec("zstd", compression_level=1)
 
 
@@ -87,9 +88,10 @@ def _unpacked(value: bytes, kind: str) -> np.ndarray:
 
 
 def _postings(bits: int):
-    """For mapInArrow: a row for each document, and packed postings for each bucket."""
+    """For mapInArrow: a row for each document, and of each chunk its nodes' keys and packed
+    postings for each bucket."""
     top, names = np.uint64(64 - bits), [x.split()[0] for x in _PARTS.split(", ")]
-    kinds = [pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+    kinds = [pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
     schema, buckets = pa.schema(list(zip(names, kinds, strict=True))), 1 << bits
 
     def rows(ids, data, offsets):
@@ -101,28 +103,33 @@ def _postings(bits: int):
                 at.setdefault(d, i)
         for i, (doc, d) in enumerate(zip(ids, digests, strict=True)):
             own = int(d is not None and at[d] == i)
-            yield i % buckets, doc, d, len(sets[i]), own, None if d is None else _key(d), None, None, None, None
+            yield i % buckets, doc, d, len(sets[i]), own, None if d is None else _key(d), None, None, None, None, None
         firsts = list(at.values())
+        if not firsts:
+            return
         keys = np.array([_key(digests[i]) for i in firsts], "<i8")
-        hashes = np.concatenate([sets[i] for i in firsts]) if firsts else np.zeros(0, np.uint64)
+        chunk = _key(_digest(keys))
+        yield chunk % buckets, None, None, None, None, None, None, chunk, keys.tobytes(), None, None
+        hashes = np.concatenate([sets[i] for i in firsts])
         local = np.repeat(np.arange(len(firsts)), [len(sets[i]) for i in firsts])
         order = np.argsort(hashes, kind="stable")
         hashes, local = hashes[order], local[order]
-        fresh = np.concatenate(([True], hashes[1:] != hashes[:-1])) if len(hashes) else np.zeros(0, bool)
-        alone = fresh & np.concatenate((fresh[1:], [True])) if len(hashes) else fresh
+        fresh = np.concatenate(([True], hashes[1:] != hashes[:-1]))
+        alone = fresh & np.concatenate((fresh[1:], [True]))
         dup = np.bincount(local[~alone], minlength=len(firsts))
         for k in np.flatnonzero(dup):
-            yield int(k) % buckets, None, None, None, None, int(keys[k]), int(dup[k]), None, None, None
-        # a shingle that several nodes of this chunk share goes on once, as nobody's (the number past the last)
-        hashes, local = hashes[fresh], np.where(alone, local, len(firsts))[fresh]
+            yield int(k) % buckets, None, None, None, None, int(keys[k]), int(dup[k]), None, None, None, None
+        # a shingle that several nodes of this chunk share goes on once, as nobody's (0; nodes count from 1)
+        hashes, local = hashes[fresh], np.where(alone, local + 1, 0)[fresh]
         cuts = np.searchsorted(hashes >> top, np.arange(buckets + 1, dtype=np.uint64))
         short = ((hashes << np.uint64(bits)) >> np.uint64(32)).astype(np.uint32)
         for b in range(buckets):
             lo, hi = cuts[b], cuts[b + 1]
             if hi > lo:
-                yield b, None, None, None, None, None, None, _packed(np.diff(short[lo:hi], prepend=np.uint32(0))), _packed(local[lo:hi]), keys.tobytes()
+                yield b, None, None, None, None, None, None, chunk, None, _packed(np.diff(short[lo:hi], prepend=np.uint32(0))), _packed(local[lo:hi])
 
     def of(batches):
+        release_memory()
         for batch in batches:
             data, offsets = buffer_of(batch.column(1))
             for a, b in row_blocks(offsets, CHUNK_BYTES):
@@ -132,52 +139,49 @@ def _postings(bits: int):
     return of
 
 
-def _shared(part: pa.Table, lanes: int) -> pa.Table:
-    """One bucket: how many shingles of each node another node has as well, packed by lanes of nodes."""
-    kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+def _shared(part: pa.Table) -> pa.Table:
+    """One bucket: how many shingles of each chunk's nodes another node has as well."""
+    kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
     schema = pa.schema(list(zip([x.split()[0] for x in _COUNTS.split(", ")], kinds, strict=True)))
     packed = part.column("hashes").is_valid()
     plain = part.filter(pc.invert(packed))
-    out = [pa.Table.from_arrays([*(plain.column(c) for c in schema.names[:6]), *(pa.nulls(len(plain), k) for k in kinds[6:])], schema=schema)]
-    part = part.filter(packed)
+    out = [pa.Table.from_arrays([*(plain.column(c) for c in schema.names[:8]), *(pa.nulls(len(plain), k) for k in kinds[8:])], schema=schema)]
+    part = part.filter(packed).select(["chunk", "hashes", "docs"])
     if len(part):
-        hashes, owners, keys, base = [], [], [], 0
-        for i in range(len(part)):
-            hashes.append(np.cumsum(_unpacked(part.column("hashes")[i].as_py(), "<u4"), dtype=np.uint32))
-            own = np.frombuffer(part.column("keys")[i].as_py(), "<i8")
+        lengths = [int.from_bytes(x.as_py()[:8], "little") for x in part.column("hashes")]
+        value, owner = np.empty(sum(lengths), np.uint32), np.empty(sum(lengths), np.int32)
+        base, at = [0], 0
+        for i, n in enumerate(lengths):
+            value[at : at + n] = np.cumsum(_unpacked(part.column("hashes")[i].as_py(), "<u4"), dtype=np.uint32)
             local = _unpacked(part.column("docs")[i].as_py(), "<i4")
-            owners.append(np.where(local < len(own), local + base, -1).astype(np.int32))
-            keys.append(own)
-            base += len(own)
-        key, owner, value = np.concatenate(keys), np.concatenate(owners), np.concatenate(hashes)
-        order = np.argsort(value, kind="stable")
+            owner[at : at + n] = np.where(local > 0, local + (base[-1] - 1), -1)
+            base.append(base[-1] + int(local.max()))
+            at += n
+        chunks = part.column("chunk").to_pylist()
+        del part
+        order = np.argsort(value, kind="stable").astype(np.int32)
         value, owner = value[order], owner[order]
-        # equal nodes of several chunks are one
-        node = np.unique(key, return_inverse=True)[1].astype(np.int32)
-        who = np.where(owner >= 0, node[owner] if len(node) else -1, -1)
+        del order
         start = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1])))
-        least = np.minimum.reduceat(who, start)
-        several = (least != np.maximum.reduceat(who, start)) | (least < 0)
-        several = np.repeat(several, np.diff(np.concatenate((start, [len(value)]))))
-        dup = np.bincount(node[owner[several & (owner >= 0)]], minlength=int(node.max()) + 1 if len(node) else 0)
-        met = np.flatnonzero(dup)
-        names, dup = np.unique(key)[met], dup[met]
-        lane = names % lanes
-        order = np.argsort(lane, kind="stable")
-        names, dup, lane = names[order], dup[order], lane[order]
-        used, start = np.unique(lane, return_index=True)
-        cut = lambda x, kind: pa.array([y.astype(kind).tobytes() for y in np.split(x, start[1:])] if len(used) else [], pa.binary())
-        columns = [*(pa.nulls(len(used), k) for k in kinds[:6]), pa.array(used, pa.int32()), cut(names, "<i8"), cut(dup, "<i4")]
+        del value
+        least = np.minimum.reduceat(owner, start)
+        several = (least != np.maximum.reduceat(owner, start)) | (least < 0)
+        several = np.repeat(several, np.diff(np.append(start, len(owner))))
+        dup = np.bincount(owner[several & (owner >= 0)], minlength=base[-1])
+        found = [(chunk, np.flatnonzero(dup[a:b]), dup[a:b]) for chunk, a, b in zip(chunks, base, base[1:], strict=False)]
+        found = [(chunk, met, many[met]) for chunk, met, many in found if len(met)]
+        columns = [*(pa.nulls(len(found), k) for k in kinds[:6]), pa.array([x[0] for x in found], pa.int64()), pa.nulls(len(found), pa.binary())]
+        columns += [pa.array([x[i].astype("<i4").tobytes() for x in found], pa.binary()) for i in (1, 2)]
         out.append(pa.Table.from_arrays(columns, schema=schema))
     return pa.concat_tables(out)
 
 
 def _summed(part: pa.Table) -> pa.Table:
-    """One lane: the counts of each node over all buckets."""
-    join = lambda c, kind: np.frombuffer(b"".join(part.column(c).to_pylist()), kind)
-    key, at = np.unique(join("keys", "<i8"), return_inverse=True)
-    dup = np.bincount(at, join("dups", "<i4"), len(key)).astype(np.int64)
-    return pa.table({"key": pa.array(key, pa.int64()), "dup": pa.array(dup, pa.int64())})
+    """One chunk: the counts of its nodes over all buckets. Chunks of equal nodes are one, with both counts."""
+    keys = np.frombuffer(next(k for k in part.column("keys").to_pylist() if k is not None), "<i8")
+    join = lambda c: np.frombuffer(b"".join(x for x in part.column(c).to_pylist() if x is not None), "<i4")
+    dup = np.bincount(join("docs"), join("dups"), len(keys)).astype(np.int64)
+    return pa.table({"key": pa.array(keys[dup > 0], pa.int64()), "dup": pa.array(dup[dup > 0], pa.int64())})
 
 
 def _whole_sets(batches):
@@ -297,18 +301,17 @@ def _links(queries: DataFrame, index: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def nodes_of(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """A row per document (node, key, n), and counts of shared shingles per node, single and packed; as written."""
+    """A row per document (node, key, n), and counts of shared shingles per node or, packed, per chunk; as written."""
     postings = max(1, text_bytes(docs, text) // 6)
     bits = max(1, (tasks_for(docs.sparkSession, postings, BUCKET_POSTINGS) - 1).bit_length())
     parts = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(_postings(bits), _PARTS)
-    lanes = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return written(parts.groupBy("bucket").applyInArrow(lambda part: _shared(part, lanes), _COUNTS), "nodes")
+    return written(parts.groupBy("bucket").applyInArrow(_shared, _COUNTS), "nodes")
 
 
 def joined(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of every document row."""
     counts = nodes_of(docs, doc, text)
-    summed = counts.where("lane is not null").select("lane", "keys", "dups").groupBy("lane").applyInArrow(_summed, "key long, dup long")
+    summed = counts.where("chunk is not null").select("chunk", "keys", "docs", "dups").groupBy("chunk").applyInArrow(_summed, "key long, dup long")
     dups = counts.where("dup is not null").select("key", "dup").union(summed).groupBy("key").agg(F.sum("dup").alias("dup"))
     nodes = counts.where("node is not null").groupBy("node", "key").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.sum("own").alias("own"))
     nodes = written(nodes, "reps")
@@ -317,6 +320,7 @@ def joined(docs: DataFrame, doc: str = "doc_id", text: str = "text") -> DataFram
     sets = written(_sets_of(docs, written(able, "able"), doc, text), "sets")
     frequent = docs.sparkSession.sparkContext.broadcast(_frequent(sets))
     lists = written(sets.select("key", "n", "hashes").mapInArrow(_first_shingles(frequent), "shingle long, key long, n long, share long"), "lists")
+    frequent.destroy()
     members = written(_clusters(lists), "clusters")
     stars = written(_stars(members, sets), "stars")
     rest = written(_rest(members, components(stars), sets), "links")

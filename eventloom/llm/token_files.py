@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.llm import rank_code
-from eventloom.llm.common import shared_folder, tasks_for, text_bytes, written
+from eventloom.llm.common import KEPT_IN_WORKER, shared_folder, tasks_for, text_bytes, written
 from eventloom.llm.words import NOT_SPACE, buffer_of, ranges, row_blocks, words_of
 
 END_ID = 2
@@ -115,6 +115,7 @@ class WordIds:
 
 
 _ENCODERS: dict[str, WordIds] = {}  # one per worker and tokenizer
+KEPT_IN_WORKER.append(_ENCODERS.clear)
 
 
 def encoder(path: str) -> WordIds:

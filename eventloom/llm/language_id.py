@@ -7,13 +7,15 @@ elastic net (L1 keeps most at zero), and a temperature that makes the
 probabilities honest is fitted on texts that training has not seen.
 
 Document frequencies are counted over all documents that may be learned from.
-The weights come from a bounded sample on the driver: at most ``SAMPLE`` texts of
-at most ``TEXT_BYTES``, shared evenly among the languages, in hash order. Every
-text is then classified whole, where it lies.
+The weights come from a bounded sample on the driver: at most ``SAMPLE`` texts,
+shared evenly among the languages, in hash order, of a longer one an excerpt of ``TEXT_CHARS``
+from anywhere in it. Every text is then classified whole, where it lies.
 
 Defined cases: ``und`` with score 0 for a null text or one without a letter, and
 for all texts if there is nothing to learn from. Null languages are not learned.
-Rows without an id count as held out.
+Rows without an id count as held out. Very long texts are classified whole, repeated rows
+alike and learned from once; an empty table gives no rows. Columns called like the
+results are refused; others may have any name.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 
 BUCKETS = 1 << 14
 SAMPLE = 6000
-TEXT_BYTES = 32 << 10
+TEXT_CHARS = 32 << 10
 UNKNOWN = "und"
 
 #: FTRL: learning rate, its smoothing, L1 and L2 penalties, passes over the sample.
@@ -123,7 +125,7 @@ def held_out(doc: str):
     return F.coalesce(F.crc32(F.col(doc).cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def learn(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE, text_bytes: int = TEXT_BYTES) -> Model:
+def learn(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE, text_chars: int = TEXT_CHARS) -> Model:
     """Model of the documents outside the held-out fifth."""
     known = docs.select(F.col(doc).alias("doc_id"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
     known = known.where(~held_out("doc_id") & F.col("lang").isNotNull() & F.col("text").isNotNull())
@@ -133,17 +135,26 @@ def learn(docs: DataFrame, *, doc: str = "doc_id", text: str = "text", lang: str
     for bucket, n in found.items():
         if bucket >= 0:
             idf[bucket] = np.log((1 + found[-1]) / (1 + n)) + 1
-    small = known.where(F.octet_length("text") <= text_bytes)
-    languages = small.select("lang").distinct().count()
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = small.select("doc_id", "lang").withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= max(1, sample // max(1, languages)))
-    rows = small.join(F.broadcast(ids.select("doc_id").distinct()), "doc_id").select("text", "lang", F.xxhash64("doc_id").alias("order")).toPandas()
+    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}  # one row per language
+    each = max(1, sample // max(1, len(sizes)))
+    # equal rows are one; a hash threshold per language leaves few more than are wanted to be put in order
+    row = F.xxhash64("doc_id", "text")
+    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, 4.0 * (each + 25) / n))]) if sizes else None
+    some = known.withColumn("order", row)
+    if share is not None:
+        some = some.where(F.pmod("order", F.lit(1 << 30)) < share[F.col("lang")] * float(1 << 30))
+    start = F.pmod("order", F.greatest(F.lit(1), F.char_length("text") - text_chars + 1)).cast("int") + 1
+    some = some.groupBy("lang", "order").agg(F.first(F.substring("text", start, F.lit(text_chars))).alias("text"))
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
+    rows = some.withColumn("nth", nth).where(F.col("nth") <= each).select("text", "lang", "order").toPandas()
     rows = rows.sort_values(["order", "lang", "text"])
     return fit(rows["text"].tolist(), rows["lang"].tolist(), idf)
 
 
 def predicted(docs: DataFrame, model: Model, *, text: str = "text", language: str = "lang_pred", score: str = "score") -> DataFrame:
-    """The rows with the likeliest language and its probability."""
+    """The rows with the likeliest language and its probability; a table that has columns of their names is refused."""
+    if {language, score} & set(docs.columns):
+        raise ValueError(f"the table has a column {language} or {score}; name others for the results")
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import DoubleType, StringType, StructType
 

@@ -103,7 +103,8 @@ def _total(parts: list[Column]) -> Column:
 
 def classifier(table: DataFrame, labelled: DataFrame, doc: str) -> Classifier:
     """From all labelled rows (``doc``, ``domain``): one aggregate row per domain."""
-    rows = table.join(labelled.select(doc, "domain").where("domain is not null"), doc)
+    # each id and domain once, or an id that repeats on both sides would count with its square
+    rows = table.join(labelled.select(doc, "domain").where("domain is not null").distinct(), doc)
     f = F.col("features")
     wanted = [x for k in range(N_FEATURES) for x in (F.avg(f[k]).alias(f"m{k}"), F.var_pop(f[k]).alias(f"v{k}"))]
     found = sorted(rows.groupBy("domain").agg(F.count("*").alias("n"), *wanted).collect(), key=lambda r: r["domain"])
@@ -211,8 +212,8 @@ def mixed(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], *, wh
 
 def labelled_by_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id and domain ``<lang>/<quality>`` of the labelled documents."""
-    rows = docs.select("doc_id", "lang").join(labels.select("doc_id", "quality"), "doc_id")
-    return rows.select("doc_id", F.concat_ws("/", "lang", F.col("quality").cast("string")).alias("domain")).where("lang is not null and quality is not null")
+    rows = docs.select("doc_id", "lang").join(labels.select("doc_id", "quality").distinct(), "doc_id").where("lang is not null and quality is not null")
+    return rows.select("doc_id", F.concat_ws("/", "lang", F.col("quality").cast("string")).alias("domain")).distinct()
 
 
 #: Token shares by language and quality label that the registered query and the pipeline aim at.

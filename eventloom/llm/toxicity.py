@@ -12,14 +12,16 @@ ones. A text's score is that of its highest span over the whole text, through a
 logistic calibration.
 
 Training takes a bounded sample on the driver: of each label at most
-``PER_LABEL`` texts of at most ``TEXT_BYTES``, in the order of a hash. The whole
-corpus is scored where it lies, without a shuffle. As all after the table is
+``PER_LABEL`` texts in the order of a hash, of a longer one an excerpt of ``TEXT_CHARS``
+from anywhere in it, of a toxic one ``TOXIC_EXCERPT`` times that. The whole corpus is scored where it lies, without a shuffle. As all after the table is
 linear, tasks get one number for each subword.
 
 Defined cases: a null or empty text has no span and gets the calibrated score of
 a neutral span. Labels other than 0 and 1, or null, are not learned from.
 Without examples of both labels every score is the share of toxic ones (0 if
-there is none). A row without an id counts as held out.
+there is none). A row without an id counts as held out. Very long texts are scored whole.
+Repeated rows are scored alike; of an id's rows at most ``PER_LABEL`` are learned from. An empty
+table gives no rows. A column called like the score is refused; others may have any name.
 """
 
 from __future__ import annotations
@@ -37,7 +39,9 @@ BUCKETS = 1 << 16
 DIM = 16
 SPAN = 4
 PER_LABEL = 2500
-TEXT_BYTES = 8 << 10
+TEXT_CHARS = 8 << 10
+#: Times as many of a toxic text.
+TOXIC_EXCERPT = 4
 ROUNDS = 6
 SEED = 17
 #: How often a subword must occur to be learned.
@@ -226,16 +230,19 @@ def _calibrated(score: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     return float(beta[0] - beta[1] * middle / wide), float(beta[1] / wide)
 
 
-def learn(docs: DataFrame, labels: DataFrame, *, doc: str = "doc_id", text: str = "text", toxic: str = "toxic", per_label: int = PER_LABEL, text_bytes: int = TEXT_BYTES) -> Model:
+def learn(docs: DataFrame, labels: DataFrame, *, doc: str = "doc_id", text: str = "text", toxic: str = "toxic", per_label: int = PER_LABEL, text_chars: int = TEXT_CHARS) -> Model:
     """Model of a bounded sample of the labelled documents outside the held-out third."""
+    texts = docs.select(F.col(doc).alias("doc_id"), F.col(text).alias("text")).where(F.col("text").isNotNull())
     marked = labels.select(F.col(doc).alias("doc_id"), F.col(toxic).alias("toxic")).where(~held_out("doc_id") & F.col("toxic").isin(0, 1))
+    known = marked.distinct().join(texts.select("doc_id"), "doc_id", "left_semi")
     order = F.xxhash64("doc_id")
-    # ids only; twice as many as needed, as some texts are too long or missing
-    picked = [marked.where(F.col("toxic") == k).orderBy(order, "doc_id").limit(2 * per_label) for k in (0, 1)]
-    ids = picked[0].union(picked[1])
-    texts = docs.select(F.col(doc).alias("doc_id"), F.col(text).alias("text")).where(F.octet_length("text") <= text_bytes)
-    rows = texts.join(F.broadcast(ids), "doc_id").withColumn("order", order)
-    rows = rows.where("toxic = 0").orderBy("order", "doc_id").limit(per_label).union(rows.where("toxic = 1").orderBy("order", "doc_id").limit(per_label))
+    picked = [known.where(F.col("toxic") == k).orderBy(order, "doc_id").limit(per_label) for k in (0, 1)]
+    # a longer text takes part with an excerpt from anywhere in it; a toxic one's is longer, as it should hold what is toxic
+    chars = F.when(F.col("toxic") == 1, F.lit(TOXIC_EXCERPT * text_chars)).otherwise(F.lit(text_chars))
+    start = F.pmod(F.xxhash64("doc_id", "text"), F.greatest(F.lit(1), F.char_length("text") - chars + 1)).cast("int") + 1
+    rows = texts.join(F.broadcast(picked[0].union(picked[1])), "doc_id").withColumn("order", order)  # 2 * per_label ids
+    rows = rows.withColumn("text", F.substring("text", start, chars))
+    rows = rows.where("toxic = 0").orderBy("order", "doc_id", "text").limit(per_label).union(rows.where("toxic = 1").orderBy("order", "doc_id", "text").limit(per_label))
     found = rows.select("text", "toxic", "order", "doc_id").toPandas().sort_values(["order", "doc_id", "text"])
     return fit(found["text"].tolist(), found["toxic"].tolist())
 
@@ -246,7 +253,9 @@ def held_out(doc: str):
 
 
 def scored(docs: DataFrame, model: Model, *, text: str = "text", score: str = "score") -> DataFrame:
-    """The rows with a ``score`` column, 0 to 1."""
+    """The rows with a ``score`` column, 0 to 1; a table that has a column of that name is refused."""
+    if score in docs.columns:
+        raise ValueError(f"the table has a column {score}; name another for the score")
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import DoubleType, StructType
 

@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from eventloom.llm import language_id as L
@@ -103,3 +104,77 @@ def test_l1_keeps_most_weights_at_zero(spark):
     model = L.learn(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
     assert 0 < (model.weights != 0).mean() < 0.5
     assert 0.04 < model.temperature < 5.1
+
+
+def test_clashing_columns_are_refused(spark, odd_docs):
+    model = T.learn(odd_docs, spark.createDataFrame([(1, 0), (10, 1)], "doc_id long, toxic int"))
+    with pytest.raises(ValueError, match="score"):
+        T.scored(odd_docs, model)
+    with pytest.raises(ValueError, match="score"):
+        L.predicted(odd_docs, L.learn(odd_docs))
+
+
+def test_long_texts_are_learned_from(spark):
+    filler = "plain words about nothing in particular " * 400
+    rows = [(i, filler + (f"horrible disgusting {i}" if i % 2 else f"pleasant {i}")) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    seen = []
+    fit = T.fit
+    try:
+        T.fit = lambda texts, marks: (seen.append((texts, marks)), fit(texts[:4], marks[:4]))[1]
+        T.learn(docs, labels, text_chars=2000)
+    finally:
+        T.fit = fit
+    texts, marks = seen[0]
+    assert 150 < len(texts) < 250 and {(m, len(t)) for t, m in zip(texts, marks)} == {(0, 2000), (1, 8000)}
+    # excerpts come from anywhere in the texts
+    assert len({filler.find(t[:200]) % 1000 for t in texts}) > 20
+
+
+def test_a_hot_id_does_not_fill_the_driver(spark):
+    rows = [(4, f"text number {i} of one id", "en" if i % 2 else "de") for i in range(900)] + [(i, f"other text {i}", "en") for i in range(10, 200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    seen = []
+    fit = L.fit
+    try:
+        L.fit = lambda texts, names, idf: (seen.append(texts), fit(texts, names, idf))[1]
+        L.learn(docs, sample=100)
+        L.learn(docs.unionByName(docs).unionByName(docs), sample=100)
+    finally:
+        L.fit = fit
+    assert [len(x) for x in seen] == [100, 100]
+
+
+def test_one_step_against_plain_loops():
+    # one text, one pass: FTRL by hand
+    idf = np.ones(L.BUCKETS)
+    at, value = L.features("ab", idf)
+    model = L.fit(["ab", "zz"], ["x", "y"], idf)
+    z = {i: [0.0, 0.0] for i in [*at.tolist(), *L.features("zz", idf)[0].tolist(), L.BUCKETS]}
+    n = {i: [0.0, 0.0] for i in z}
+    made = [L.features(t, idf) for t in ("ab", "zz")]
+
+    def weight(i, c):
+        return 0.0 if abs(z[i][c]) <= L.L1 else (np.sign(z[i][c]) * L.L1 - z[i][c]) / ((L.BETA + n[i][c] ** 0.5) / L.ALPHA + L.L2)
+
+    order = np.random.default_rng(5).permutation(np.arange(2))
+    for _ in range(L.PASSES):
+        for t in order:
+            pairs = [*zip(made[t][0].tolist(), made[t][1].tolist()), (L.BUCKETS, 1.0)]
+            w = {i: [weight(i, c) for c in (0, 1)] for i, _ in pairs}
+            odds = [sum(v * w[i][c] for i, v in pairs) for c in (0, 1)]
+            top = max(odds)
+            e = [np.exp(o - top) for o in odds]
+            p = [x / sum(e) for x in e]
+            p[t] -= 1
+            for i, v in pairs:
+                for c in (0, 1):
+                    g = v * p[c]
+                    step = ((n[i][c] + g * g) ** 0.5 - n[i][c] ** 0.5) / L.ALPHA
+                    z[i][c] += g - step * w[i][c]
+                    n[i][c] += g * g
+    for i in z:
+        for c in (0, 1):
+            got = model.bias[c] if i == L.BUCKETS else model.weights[i, c]
+            assert abs(got - weight(i, c)) < 1e-9

@@ -105,3 +105,13 @@ def test_odd_rows(spark, odd_docs, no_docs):
     bare = M.rates(odd_docs, marks.limit(0), {"x": 1.0})
     assert {(r["rate"], r["copies"], r["domain"]) for r in bare.collect()} == {(1.0, 1, None)}
     assert M.mixed(odd_docs, marks.limit(0), {"x": 1.0}).count() == odd_docs.count()
+
+
+def test_repeated_labelled_ids_count_once(spark):
+    docs = spark.createDataFrame([(1, "en", "t")] * 300 + [(2, "en", "u")], "doc_id long, lang string, text string")
+    labels = spark.createDataFrame([(1, 1)] * 300 + [(2, 0)], "doc_id long, quality int")
+    found = M.labelled_by_quality(docs, labels)
+    assert sorted(tuple(r) for r in found.collect()) == [(1, "en/1"), (2, "en/0")]
+    table = docs.select("doc_id", M.features("text").alias("features"))
+    model = M.classifier(table, found.union(found), "doc_id")
+    assert [round(p * 301) for p in model.prior] == [1, 300]

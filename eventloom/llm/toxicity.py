@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.words import LETTERS_AND_DIGITS, buffer_of, mixed, ranges, row_blocks, words_of
+from eventloom.llm.words import LETTERS_AND_DIGITS, Words, buffer_of, mixed, ranges, row_blocks, words_of
 
 BUCKETS = 1 << 16
 DIM = 16
@@ -141,7 +141,9 @@ def fit(texts: list, toxic: list, *, rounds: int = ROUNDS, seed: int = SEED) ->
     words = words_of(data, offsets, LETTERS_AND_DIGITS)
     _, first, back = np.unique(words.hash, return_index=True, return_inverse=True)
     ids, splits = subwords(data, words.start[first], words.end[first])
-    size = np.diff(splits)
+    size, back = np.diff(splits), back.astype(np.int32)
+    none = np.zeros(0, np.int64)
+    words, data = Words(none, none, none, words.splits), None  # only the splits are needed from here on
     table = rng.normal(0, 0.02, (BUCKETS, DIM)).astype(np.float32)
     seen = np.bincount(ids, np.repeat(np.bincount(back), size), BUCKETS)
     table[seen < LEAST_SEEN] = 0  # too rare to learn anything of
@@ -244,7 +246,9 @@ def learn(docs: DataFrame, labels: DataFrame, *, doc: str = "doc_id", text: str
     rows = rows.withColumn("text", F.substring("text", start, chars))
     rows = rows.where("toxic = 0").orderBy("order", "doc_id", "text").limit(per_label).union(rows.where("toxic = 1").orderBy("order", "doc_id", "text").limit(per_label))
     found = rows.select("text", "toxic", "order", "doc_id").toPandas().sort_values(["order", "doc_id", "text"])
-    return fit(found["text"].tolist(), found["toxic"].tolist())
+    texts, marks = found["text"].tolist(), found["toxic"].tolist()
+    del found
+    return fit(texts, marks)
 
 
 def held_out(doc: str):

@@ -4,7 +4,10 @@ The forest is grown on the driver from at most ``SAMPLE_ROWS`` vectors, in hash
 order; every row is then indexed: each tree sends it to one leaf. Vectors get one
 more dimension so that the largest inner product is the smallest distance. A query
 walks all trees through one shared priority queue, nearest planes first, until
-the leaves it has reached hold ``VISITED`` times the number of rows. Queries meet
+the leaves it has reached hold ``VISITED`` times the number of ids. A row counts there
+as its share of its id's rows, so an id weighs at most one in each tree and the
+leaves reached hold at least four times as many ids as are asked for, if there are
+so many. Queries meet
 the rows of their leaves in blocks of bounded size, dealt by id and vector, are
 scored exactly there, and keep the best ids of each block; the best over all blocks
 is the result.
@@ -15,7 +18,9 @@ which the default gives; clustered vectors need far fewer.
 Defined cases: vectors that are null, zero, of another length than most, or hold
 null or non-finite components take no part, nor do rows without an id. Rows that
 share an id count once, with their best score; rows equal in id and vector are
-merged before the forest is grown. Equal scores go to smaller ids.
+merged before the forest is grown. Equal scores go to smaller ids. An empty table
+gives no rows; other columns are not read, so their names cannot clash, and there are no
+texts.
 """
 
 from __future__ import annotations
@@ -27,13 +32,14 @@ from pyspark.sql import functions as F
 
 from eventloom.llm.common import written
 from eventloom.llm.rp_forest import grow, search
+from eventloom.operators.joins import hot_key_join
 
 TREES = 12
 #: Leaves a tree is grown to, about.
 LEAVES = 96
 SAMPLE_ROWS = 20_000
 SAMPLE_BYTES = 64 << 20
-#: Rows in the leaves a query reaches, as a share of all rows; rows count once for each tree.
+#: Ids in the leaves a query reaches, as a share of all ids; an id counts once for each tree.
 VISITED = 0.85
 NEIGHBOURS = 20
 ROW_BLOCK, QUERY_BLOCK = 4096, 4096
@@ -78,19 +84,22 @@ class Forest:
 def _count_leaves(shared, d: int):
     def of(batches):
         forest = shared.value
-        total = np.zeros(forest.first[-1], np.int64)
+        total, weight = np.zeros(forest.first[-1], np.int64), np.zeros(forest.first[-1])
         for batch in batches:
-            total += np.bincount(forest.leaves_of(_matrix(batch.column(0), d)).reshape(-1), minlength=len(total))
+            leaves = forest.leaves_of(_matrix(batch.column(0), d))
+            share = np.repeat(1 / batch.column(1).to_numpy(zero_copy_only=False), leaves.shape[1])
+            total += np.bincount(leaves.reshape(-1), minlength=len(total))
+            weight += np.bincount(leaves.reshape(-1), share, minlength=len(total))
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["leaf", "rows"])
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at]), pa.array(weight[at])], names=["leaf", "rows", "weight"])
 
     return of
 
 
-def _find_leaves(shared, d: int, rows_in: np.ndarray, enough: int):
+def _find_leaves(shared, d: int, weight_in: np.ndarray, enough: int):
     def of(batches):
         forest = shared.value
-        counts = [rows_in[a:b] for a, b in zip(forest.first[:-1], forest.first[1:], strict=True)]
+        counts = [weight_in[a:b] for a, b in zip(forest.first[:-1], forest.first[1:], strict=True)]
         for batch in batches:
             points = _matrix(batch.column(1), d)
             zero = np.concatenate((points, np.zeros((len(points), 1))), 1)
@@ -165,21 +174,29 @@ def nearest(vectors: DataFrame, is_query, *, key: str = "vec_id", vector: str =
     if not d:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     rows = written(rows.dropDuplicates(["id", "vector"]).withColumn("spread", F.xxhash64("id", "vector")), "vectors")
-    total = rows.agg(F.count("*").alias("n"), F.max(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)).alias("most")).first()
+    repeated = written(rows.groupBy("id").agg(F.count("*").alias("of_id")).where("of_id > 1"), "repeated")
+    if repeated.isEmpty():
+        rows = rows.withColumn("of_id", F.lit(1).cast("long"))
+    else:
+        rows = hot_key_join(rows, repeated, "id", how="left", spread_by=["spread"]).withColumn("of_id", F.coalesce("of_id", F.lit(1)))
+        rows = written(rows, "weighed")
+    total = rows.agg(F.round(F.sum(1 / F.col("of_id"))).alias("ids"), F.max(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)).alias("most")).first()
     taken = rows.orderBy("spread", "id", "vector").limit(max(2, min(sample, SAMPLE_BYTES // (8 * d)))).select("vector").toArrow()
     forest = spark.sparkContext.broadcast(Forest(_matrix(taken.column(0).combine_chunks(), d), total["most"], trees, leaves, seed))
-    rows_in = np.zeros(forest.value.first[-1], np.int64)
-    for r in rows.select("vector").mapInArrow(_count_leaves(forest, d), "leaf long, rows long").groupBy("leaf").agg(F.sum("rows").alias("rows")).collect():
-        rows_in[r["leaf"]] = r["rows"]  # one row per leaf of the forest
-    enough = max(4 * k * trees, int(np.ceil(visited * total["n"])))
+    rows_in, weight_in = np.zeros(forest.value.first[-1], np.int64), np.zeros(forest.value.first[-1])
+    filled = rows.select("vector", "of_id").mapInArrow(_count_leaves(forest, d), "leaf long, rows long, weight double")
+    # weights in 1/2^20, so that their sum does not depend on the order of tasks
+    for r in filled.groupBy("leaf").agg(F.sum("rows").alias("rows"), F.sum(F.round(F.col("weight") * (1 << 20)).cast("long")).alias("weight")).collect():
+        rows_in[r["leaf"]], weight_in[r["leaf"]] = r["rows"], r["weight"] / (1 << 20)  # one row per leaf of the forest
+    enough = max(4 * k * trees, visited * total["ids"])
     queries = rows.select("id", "vector").where(is_query(F.col("id")))
-    walked = written(queries.repartition(spark.sparkContext.defaultParallelism).mapInArrow(_find_leaves(forest, d, rows_in, enough), "id long, vector array<double>, leaves array<long>"), "walks")
+    walked = written(queries.repartition(spark.sparkContext.defaultParallelism).mapInArrow(_find_leaves(forest, d, weight_in, enough), "id long, vector array<double>, leaves array<long>"), "walks")
     walked = walked.select("id", "vector", F.xxhash64("id", "vector").alias("spread"), "leaves")
     asked = np.zeros(len(rows_in), np.int64)
     for r in walked.select(F.explode("leaves").alias("leaf")).groupBy("leaf").count().collect():
         asked[r["leaf"]] = r["count"]
     blocks, turns = -(-rows_in // ROW_BLOCK), -(-asked // QUERY_BLOCK)
-    met = rows.mapInArrow(_deal(forest, d, blocks, turns, False), _MET).union(walked.mapInArrow(_deal(forest, d, blocks, turns, True), _MET))
+    met = rows.drop("of_id").mapInArrow(_deal(forest, d, blocks, turns, False), _MET).union(walked.mapInArrow(_deal(forest, d, blocks, turns, True), _MET))
     best = met.groupBy("leaf", "block", "turn").applyInArrow(_rank(d, k), "query_id long, vec_id long, score double")
     best = best.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

@@ -78,17 +78,17 @@ def _plane(points: np.ndarray, rows: np.ndarray, rng: np.random.Generator):
     return None
 
 
-def search(trees: list[Tree], point: np.ndarray, rows_in: list[np.ndarray], enough: int) -> list[tuple[int, int]]:
-    """(tree, leaf) pairs, nearest planes first over all trees, until they hold ``enough`` rows."""
+def search(trees: list[Tree], point: np.ndarray, weight_in: list[np.ndarray], enough: float) -> list[tuple[int, int]]:
+    """(tree, leaf) pairs, nearest planes first over all trees, until they weigh ``enough``."""
     side = [t.plane @ point - t.offset for t in trees]
     queue = [(-np.inf, k, 0 if len(t.plane) else -1) for k, t in enumerate(trees)]
     heapq.heapify(queue)
-    out, rows = [], 0
-    while queue and rows < enough:
+    out, weight = [], 0.0
+    while queue and weight < enough:
         far, k, node = heapq.heappop(queue)
         if node < 0:
             out.append((k, -node - 1))
-            rows += int(rows_in[k][-node - 1])
+            weight += float(weight_in[k][-node - 1])
             continue
         margin = side[k][node]
         for way, distance in ((0, -margin), (1, margin)):

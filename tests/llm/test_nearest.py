@@ -71,6 +71,22 @@ def test_an_id_repeated_more_than_k_times(spark, monkeypatch):
     assert [g[:3] for g in got] == [w[:3] for w in want] and np.allclose([g[3] for g in got], [w[3] for w in want], rtol=1e-12)
 
 
+def test_a_flood_of_one_id_leaves_no_neighbour_out(spark):
+    rng = np.random.default_rng(5)
+    points = rng.normal(size=(2060, 6))
+    points[:2000] = 4 + rng.normal(size=(2000, 6)) * 0.05  # different vectors of one id, near every query
+    points[2000:] += 1
+    ids = np.concatenate((np.full(2000, 7), np.arange(100, 160)))
+    df = spark.createDataFrame([(int(i), p.tolist(), 1.0) for i, p in zip(ids, points, strict=True)], "vec_id long, embedding array<double>, of_id double")
+    got = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in N.nearest(df, lambda v: v % 20 == 0, sample=500).collect())
+    want = []
+    for q in (100, 120, 140):
+        score = (points @ points[ids == q].T).max(1)
+        best = sorted((-max(score[ids == i]), i) for i in set(ids.tolist()) - {q})[:20]
+        want += [(q, n + 1, i) for n, (_, i) in enumerate(best)]
+    assert got == want
+
+
 def test_rows_of_one_id_are_dealt_over_blocks():
     class Forest:
         value = type("F", (), {"leaves_of": staticmethod(lambda points: np.zeros((len(points), 1), np.int64))})

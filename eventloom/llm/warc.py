@@ -8,7 +8,9 @@ by range (``zip_reader``); nothing is unpacked to disk.
 
 Of pages with equal payloads of at least ``LEAST_BYTES`` the one with the smallest
 id is a response, the others revisit it and keep only headers. Duplicates are
-found on digests, before any payload moves.
+found on digests, before any payload moves. The ``HOT_DIGESTS`` most frequent of those that
+repeat are broadcast, so revisits of them drop their payload where they lie, however
+many they are; only where more digests repeat do the other pages meet the rest by shuffle.
 
 Archives are written by tasks straight to the shared folder under a name of their
 own and then moved, so a repeated task leaves one whole archive.
@@ -16,7 +18,8 @@ own and then moved, so a repeated task leaves one whole archive.
 Defined cases: a null page is an empty payload. Rows without an id that equal one
 with an id revisit it; if none has an id, all are responses. Rows that repeat the
 smallest id are all responses. A null address leaves the header out; bytes that
-cannot stand in a header are percent-encoded. No pages give no archive and no rows.
+cannot stand in a header are percent-encoded. No pages give no archive and no rows. A very
+long page is one long record. Other columns are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -36,6 +39,8 @@ from eventloom.llm.common import shared_folder, written
 from eventloom.llm.zip_reader import ZipReader
 
 LEAST_BYTES = 100
+#: Repeated digests that are broadcast, at most: 64 characters and a number each.
+HOT_DIGESTS = 1 << 17
 #: Payload bytes of an archive, about.
 ARCHIVE_BYTES = 64 << 20
 DATA, INDEX, PACKAGE = "archive/data.warc.gz", "indexes/index.cdxj", "datapackage.json"
@@ -50,12 +55,29 @@ def deduplicated(pages: DataFrame, *, page: str = "page_id", url: str = "url", h
     rows = rows.withColumn("digest", F.sha2("payload", 256)).withColumn("size", F.octet_length("payload").cast("long"))
     # digests without payload; the partial counts of a hot one are merged before the shuffle
     firsts = rows.where(F.col("size") >= LEAST_BYTES).groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("copies"))
-    firsts = firsts.where("copies > 1 and refers_to is not null").select("digest", "refers_to")
-    out = rows.join(firsts, "digest", "left")
+    firsts = written(firsts.where("copies > 1 and refers_to is not null"), "firsts")
+    hot = firsts.orderBy(F.desc("copies"), "digest").limit(HOT_DIGESTS).select("digest", "refers_to")
+    out = rows.join(F.broadcast(hot), "digest", "left")
+    if firsts.count() > HOT_DIGESTS:
+        out = _with_rest(_pointed(out), firsts.select("digest", "refers_to"))
+    return _pointed(out)
+
+
+def _pointed(out: DataFrame) -> DataFrame:
+    """Revisits lose their payload, the page that they revisit its pointer."""
     revisit = F.col("refers_to").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("refers_to"))
     return out.withColumn("refers_to", F.when(revisit, F.col("refers_to"))).withColumn("payload", F.when(F.col("refers_to").isNull(), F.col("payload")))
 
 
+def _with_rest(out: DataFrame, firsts: DataFrame) -> DataFrame:
+    """Pages that still point nowhere look among all repeated digests; those that point
+    already have a key of their own, which no digest equals, so a hot one is spread."""
+    key = F.when(F.col("refers_to").isNull(), F.col("digest")).otherwise(F.concat(F.lit("#"), F.xxhash64("page_id", "url")))
+    rest = firsts.select(F.col("digest").alias("met"), F.col("refers_to").alias("found"))
+    out = out.withColumn("met", key).join(rest, "met", "left")
+    return out.withColumn("refers_to", F.coalesce("refers_to", "found")).drop("met", "found")
+
+
 def record_bytes(page_id, url, payload: bytes | None, digest: str, size: int, refers_to) -> bytes:
     """One WARC record; a revisit has the HTTP headers only."""
     kind = "response" if refers_to is None else "revisit"

@@ -4,6 +4,7 @@ import zipfile
 
 import pytest
 from compare import duck_bag, spark_bag
+from pyspark.sql import functions as F
 
 from eventloom.llm import warc
 from eventloom.llm.queries import QUERIES, SQL
@@ -68,6 +69,18 @@ def test_odd_rows(spark):
     assert warc.round_trip(df.limit(0)).count() == 0
 
 
+def test_hot_digests_and_the_rest(spark, monkeypatch):
+    pages = [(i, "u", "e" * 200) for i in range(300)] + [(1000 + i, "u", f"{i // 2:03d}" * 40) for i in range(60)] + [(2000 + i, "u", f"n{i:03d}" * 30) for i in range(40)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    rows = lambda: sorted(tuple(r) for r in warc.deduplicated(df).select("page_id", "refers_to", "size", "digest", F.col("payload").isNull().alias("bare")).collect())
+    want = [(p, 0 if 0 < p < 300 else p - 1 if 1000 <= p < 1060 and p % 2 else None) for p, *_ in pages]
+    whole = rows()
+    assert [r[:2] for r in whole] == sorted(want) and all(r[4] == (r[1] is not None) for r in whole)
+    for most in (1, 5):  # the rest meets by shuffle
+        monkeypatch.setattr(warc, "HOT_DIGESTS", most)
+        assert rows() == whole
+
+
 def test_query(spark, sf_dir):
     names, rows = spark_bag(QUERIES["op8_warc"](spark, sf_dir))
     want_names, want, _ = duck_bag(SQL["op8_warc"], sf_dir)

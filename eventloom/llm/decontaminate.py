@@ -70,8 +70,10 @@ def _n_blocks(benchmark: DataFrame, text: str, limit: int) -> int:
 
 def _blocks(benchmark: DataFrame, item: str, text: str, limit: int):
     """The test items in blocks of at most about ``limit`` bytes of text, one at a time."""
-    rows = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).alias("text"))
+    rows = benchmark.select(F.col(item).cast("string").alias("item"), F.col(text).alias("text")).where(F.octet_length("text") > 0)
     n = _n_blocks(benchmark, text, limit)
+    if not n:
+        yield []
     for i in range(n):
         part = rows if n == 1 else rows.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == i)
         yield [(r["item"], r["text"]) for r in part.collect()]
@@ -178,9 +180,10 @@ def contamination(
     context, out, again = docs.sparkSession.sparkContext, docs, False
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", " + _FOUND
     schema = docs.sparkSession.createDataFrame([], kinds).schema
-    for items in [*_blocks(benchmark, item, item_text, block_bytes)] or [[]]:
+    for items in _blocks(benchmark, item, item_text, block_bytes):
         if again:
             out = written(out, "spans")
+            phrases.destroy()  # no task asks for the last block again
         phrases = context.broadcast(Phrases(items, size))
         out = out.mapInArrow(_search(phrases, text, to_arrow_schema(schema), again), schema)
         again = True

@@ -121,6 +121,22 @@ def test_block_size_does_not_change_what_is_cut(spark, odd_docs):
     assert D.contamination(parts.select("doc_id", "text"), bench).where("n_hit > 0").isEmpty()
 
 
+def test_one_block_at_a_time(spark, odd_docs, monkeypatch):
+    steps, blocks, written = [], D._blocks, D.written
+
+    def each(*a):
+        for items in blocks(*a):
+            steps.append("block")
+            yield items
+
+    monkeypatch.setattr(D, "_blocks", each)
+    monkeypatch.setattr(D, "written", lambda *a: steps.append("written") or written(*a))
+    got = sorted(found(spark, odd_docs, ITEMS, block_bytes=60))
+    n = steps.count("block")
+    assert n > 2 and steps == ["block"] + ["block", "written"] * (n - 1)
+    assert got == sorted(brute(odd_docs, ITEMS))
+
+
 def test_clashing_names(spark, odd_docs):
     with pytest.raises(ValueError):
         D.contamination(odd_docs.withColumn("spans", F.lit(1)), spark.createDataFrame(ITEMS, "item_id long, text string"))

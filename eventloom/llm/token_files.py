@@ -11,7 +11,8 @@ under another name first and then moved, so a repeated task leaves one whole fil
 Encoding keeps the ids of words it has met. Texts are cut at white space and
 between an ASCII letter and an ASCII sign or digit, where this tokenizer's
 words end too, and ASCII case is ignored as it is there; texts that hold the mark
-of a special token are encoded as they are.
+of a special token are encoded as they are. Whether a tokenizer file allows all that is
+tried on probe texts when it is loaded; with another one whole texts are encoded.
 
 Block, all little-endian: the mark, then five 64-bit numbers (documents, ids, table
 entries, control bytes, data bytes) and four (table's control and data bytes),
@@ -20,7 +21,8 @@ then document ids (64 bit), whether there is one (8 bit), ids per document
 
 Defined cases: a null or empty text holds the end id alone. Rows without an id
 come first; rows with one id stand together in the order of a text hash. A very
-long text makes its block longer. An empty table gives no file and no rows.
+long text makes its block longer. An empty table gives no file and no rows. Other
+columns are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -54,6 +56,15 @@ _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
 _SIGN = ~_LETTER & (np.arange(256) < 128) & NOT_SPACE
 
+#: Texts in which case, white space, signs, digits or letters beyond ASCII may change the ids of a word.
+_PROBES = [
+    "The the THE tHe quick brown fox, Fox FOX jumps over",
+    " leading  two\tand\nthree\r\n\n  trailing ",
+    "don't I'LL we've x1y2 3.14 12,345 a-b_c (d) [e] f/g #h @i 100% $5 ...",
+    "Été à l'œil ñandú straße ΣΊΣΥΦΟΣ İstanbul 漢字 かな 한국 🙂 “quoted”—dash…\u3000wide\u00a0space",
+    "",
+]
+
 
 class WordIds:
     """Encodes texts with a tokenizer file and keeps the ids of words."""
@@ -64,6 +75,10 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_file(path)
         self._forget()
+        data, offsets = buffer_of(pa.array(_PROBES))
+        ids, splits = self._by_words(data, offsets)
+        self.by_words = [x.tolist() for x in np.split(ids, splits[1:-1])] == self.plain(_PROBES)
+        self._forget()
 
     def _forget(self) -> None:
         self.hash = np.zeros(0, np.uint64)
@@ -89,6 +104,14 @@ class WordIds:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the row splits."""
+        return self._by_words(data, offsets) if self.by_words else self._whole(data, offsets)
+
+    def _whole(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        found = self.plain([data[a:b].tobytes().decode() for a, b in zip(offsets[:-1], offsets[1:], strict=True)])
+        splits = np.cumsum([0, *map(len, found)])
+        return np.fromiter((i for x in found for i in x), np.uint32, int(splits[-1])), splits
+
+    def _by_words(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         words = words_of(data, offsets, _GAPS, (_LETTER, _SIGN))
         unique, first, back = np.unique(words.hash, return_index=True, return_inverse=True)
         known = np.zeros(len(unique), bool)

@@ -56,6 +56,19 @@ def test_same_ids_as_the_library(plain, monkeypatch):
             assert ids[splits[k] : splits[k + 1]].tolist() == plain.encode(text, add_special_tokens=False).ids, text
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_another_tokenizer_gives_its_own_ids(name, spark, odd_docs):
+    path = public_tokenizers.path(name)
+    library, words = Tokenizer.from_file(path), token_files.WordIds(path)
+    assert words.by_words == (name == "word_bpe_49k.json")
+    texts = ["Two words", " two  Words ", "", "x1-y2 don't", "the the THE", "Été 漢字🙂 <|endoftext|>"]
+    ids, splits = words.encode(*buffer_of(pa.array(texts)))
+    assert [x.tolist() for x in np.split(ids, splits[1:-1])] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    got = {(r["doc_id"], r["n_tokens"]) for r in token_files.encoded(odd_docs, path).collect()}
+    want = {(r["doc_id"], len(library.encode(r["text"] or "", add_special_tokens=False).ids) + 1) for r in odd_docs.collect()}
+    assert got == want
+
+
 def test_block_round_trip():
     ids = np.array([5, 5, 70_000, 2, 2, 5, 2], np.uint32)
     raw = token_files.block_bytes([3, None], ids, np.array([4, 3])) * 2

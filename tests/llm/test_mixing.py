@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from eventloom.llm import mixing as M
@@ -35,6 +36,16 @@ def test_targets_are_met(spark, sf_dir):
         assert miss <= max(0.01, np.abs(brute_fit(tokens, p, wanted) - wanted).max() + 2e-3)
 
 
+def test_a_miss_is_reported(spark, sf_dir, monkeypatch):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    marks = M.labelled_by_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    monkeypatch.setattr(M, "STEPS", 0)
+    with pytest.warns(UserWarning, match="miss the target"):
+        mix, _ = M.fit(docs, marks, M.WEIGHTS)
+    total = docs.select(F.sum(M.token_count("text"))).first()[0]
+    assert mix.miss > M.TOLERANCE and np.isclose(mix.miss, np.abs(np.array(mix.reached) - mix.targets).max() / total)
+
+
 def test_good_domains_are_not_thinned(spark, sf_dir):
     rows = QUERIES["op3_mixing"](spark, sf_dir)
     assert rows.columns == ["doc_id", "n_tokens", "domain", "posterior", "rate", "copies"]

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventloom.llm.common import written
+from eventloom.llm.common import trimmed, written
 from eventloom.llm.fm_index import FMIndex
 from eventloom.llm.words import LETTERS_AND_DIGITS, buffer_of, ranges, row_blocks, words_of
 
@@ -185,7 +185,7 @@ def contamination(
             out = written(out, "spans")
             phrases.destroy()  # no task asks for the last block again
         phrases = context.broadcast(Phrases(items, size))
-        out = out.mapInArrow(_search(phrases, text, to_arrow_schema(schema), again), schema)
+        out = out.mapInArrow(trimmed(_search(phrases, text, to_arrow_schema(schema), again)), schema)
         again = True
     return out
 
@@ -225,7 +225,7 @@ def without_passages(
     else:
         for items in _blocks(benchmark, item, item_text, block_bytes):
             phrases = docs.sparkSession.sparkContext.broadcast(Phrases(items, size))
-            out = docs.mapInArrow(_remove(phrases, text), docs.schema)
+            out = docs.mapInArrow(trimmed(_remove(phrases, text)), docs.schema)
     if chars in docs.columns:
         out = out.withColumn(chars, F.length(text).cast(docs.schema[chars].dataType))
     return out

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.llm import rank_code
-from eventloom.llm.common import KEPT_IN_WORKER, shared_folder, tasks_for, text_bytes, written
+from eventloom.llm.common import KEPT_IN_WORKER, shared_folder, tasks_for, text_bytes, trimmed, written
 from eventloom.llm.words import NOT_SPACE, buffer_of, ranges, row_blocks, words_of
 
 END_ID = 2
@@ -46,8 +46,9 @@ BLOCK_IDS = 1 << 21
 #: Text bytes in a file, about.
 FILE_BYTES = 64 << 20
 #: Words whose ids a worker keeps.
-KEPT_WORDS = 2_000_000
-_CHUNK = 4 << 20
+KEPT_WORDS = 1_000_000
+#: Text bytes that are encoded at once; the arrays for them take about thirty times as much.
+_CHUNK = 1 << 20
 _MARK = b"FRQCODE1"
 
 #: White space of ASCII, where every chunk ends.
@@ -223,7 +224,7 @@ def write_files(docs: DataFrame, tokenizer: str, folder: str, *, doc: str = "doc
     n = tasks_for(docs.sparkSession, text_bytes(rows), file_bytes)
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     dealt = rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    return written(dealt.mapInArrow(_write(folder, tokenizer, end_id), "part int, path string, docs long, ids long"), "manifest")
+    return written(dealt.mapInArrow(trimmed(_write(folder, tokenizer, end_id)), "part int, path string, docs long, ids long"), "manifest")
 
 
 def read_files(files: DataFrame) -> DataFrame:
@@ -248,7 +249,7 @@ def read_files(files: DataFrame) -> DataFrame:
                         base += int(ends[-1])
 
     places = spark.createDataFrame(rows, "path string, base long").repartition(len(rows), "path")
-    return places.mapInArrow(of, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return places.mapInArrow(trimmed(of), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def encoded(docs: DataFrame, tokenizer: str, **how) -> DataFrame:

@@ -33,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventloom.llm.common import trimmed
 from eventloom.llm.words import LETTERS_AND_DIGITS, Words, buffer_of, mixed, ranges, row_blocks, words_of
 
 BUCKETS = 1 << 16
@@ -277,4 +278,4 @@ def scored(docs: DataFrame, model: Model, *, text: str = "text", score: str = "s
                 columns = [c.cast(f.type) for c, f in zip(batch.slice(a, b - a).columns, arrow, strict=False)]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(p)], schema=arrow)
 
-    return docs.mapInArrow(of, schema)
+    return docs.mapInArrow(trimmed(of), schema)

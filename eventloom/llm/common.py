@@ -52,13 +52,14 @@ def release_memory() -> None:
     trim_memory()
 
 
-def trimmed(of: Callable) -> Callable:
-    """A function for mapInArrow that gives free memory back before and after its task: Spark
+def trimmed(of: Callable, before: Callable[[], None] = release_memory, after: Callable[[], None] = lambda: None) -> Callable:
+    """A function for mapInArrow that gives memory back before and after its task: Spark
     deals tasks over all idle workers, and each would keep the peak of its last one."""
 
     def each(batches):
-        trim_memory()
+        before()
         yield from of(batches)
+        after()
         trim_memory()
 
     return each

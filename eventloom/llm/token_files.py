@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventloom.llm import rank_code
-from eventloom.llm.common import KEPT_IN_WORKER, shared_folder, tasks_for, text_bytes, trimmed, written
+from eventloom.llm.common import KEPT_IN_WORKER, shared_folder, tasks_for, text_bytes, trim_memory, trimmed, written
 from eventloom.llm.words import NOT_SPACE, buffer_of, ranges, row_blocks, words_of
 
 END_ID = 2
@@ -75,13 +75,13 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self._forget()
+        self.forget()
         data, offsets = buffer_of(pa.array(_PROBES))
         ids, splits = self._by_words(data, offsets)
         self.by_words = [x.tolist() for x in np.split(ids, splits[1:-1])] == self.plain(_PROBES)
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.hash = np.zeros(0, np.uint64)
         self.start, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
@@ -91,7 +91,7 @@ class WordIds:
 
     def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
         if len(self.hash) + len(hashes) > KEPT_WORDS:
-            self._forget()
+            self.forget()
         found = self.plain(texts)
         size = np.array([len(x) for x in found], np.int64)
         flat = np.fromiter((i for x in found for i in x), np.uint32, int(size.sum()))
@@ -121,7 +121,7 @@ class WordIds:
             known = self.hash[at] == unique
         if not known.all():
             if len(self.hash) + int((~known).sum()) > KEPT_WORDS:
-                self._forget()
+                self.forget()
                 known[:] = False
             new = np.flatnonzero(~known)
             self._learn(unique[new], [data[words.start[i] : words.end[i]].tobytes().decode() for i in first[new]])
@@ -142,6 +142,11 @@ _ENCODERS: dict[str, WordIds] = {}  # one per worker and tokenizer
 KEPT_IN_WORKER.append(_ENCODERS.clear)
 
 
+def _forget_words() -> None:
+    for known in _ENCODERS.values():
+        known.forget()
+
+
 def encoder(path: str) -> WordIds:
     if path not in _ENCODERS:
         _ENCODERS[path] = WordIds(path)
@@ -224,7 +229,7 @@ def write_files(docs: DataFrame, tokenizer: str, folder: str, *, doc: str = "doc
     n = tasks_for(docs.sparkSession, text_bytes(rows), file_bytes)
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     dealt = rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    return written(dealt.mapInArrow(trimmed(_write(folder, tokenizer, end_id)), "part int, path string, docs long, ids long"), "manifest")
+    return written(dealt.mapInArrow(trimmed(_write(folder, tokenizer, end_id), trim_memory, _forget_words), "part int, path string, docs long, ids long"), "manifest")
 
 
 def read_files(files: DataFrame) -> DataFrame:

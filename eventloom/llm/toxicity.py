@@ -49,7 +49,7 @@ SEED = 17
 LEAST_SEEN = 3
 #: Texts that a round goes through at least, with repeats.
 LEAST_SPANS = 3000
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 _EDGE = 10  # a line feed is in no word
 

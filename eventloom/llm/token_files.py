@@ -8,7 +8,8 @@ take one byte. A block has its own rank table: it can be written in one pass,
 read alone, and written again alone when an executor is lost. Files are written
 under another name first and then moved, so a repeated task leaves one whole file.
 
-Encoding keeps the ids of words it has met. Texts are cut at white space and
+Encoding keeps the ids of words it has met, also from file to file unless ``keep_words`` is
+false: that holds less memory in idle workers and learns every file's words anew. Texts are cut at white space and
 between an ASCII letter and an ASCII sign or digit, where this tokenizer's
 words end too, and ASCII case is ignored as it is there; texts that hold the mark
 of a special token are encoded as they are. Whether a tokenizer file allows all that is
@@ -83,7 +84,7 @@ class WordIds:
 
     def forget(self) -> None:
         self.hash = np.zeros(0, np.uint64)
-        self.start, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.start, self.size = np.zeros(0, np.int32), np.zeros(0, np.int32)
         self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
 
     def plain(self, texts: list[str]) -> list[list[int]]:
@@ -93,7 +94,7 @@ class WordIds:
         if len(self.hash) + len(hashes) > KEPT_WORDS:
             self.forget()
         found = self.plain(texts)
-        size = np.array([len(x) for x in found], np.int64)
+        size = np.array([len(x) for x in found], np.int32)
         flat = np.fromiter((i for x in found for i in x), np.uint32, int(size.sum()))
         while self.used + len(flat) > len(self.pool):
             self.pool = np.concatenate((self.pool, np.zeros_like(self.pool)))
@@ -126,8 +127,8 @@ class WordIds:
             new = np.flatnonzero(~known)
             self._learn(unique[new], [data[words.start[i] : words.end[i]].tobytes().decode() for i in first[new]])
         at = np.searchsorted(self.hash, unique)
-        size = self.size[at][back]
-        ids = self.pool[ranges(self.start[at][back], size)]
+        size = self.size[at][back].astype(np.int64)
+        ids = self.pool[ranges(self.start[at][back].astype(np.int64), size)]
         splits = np.concatenate(([0], np.cumsum(size)))[words.splits]
         marked = [i for i in range(len(offsets) - 1) if b"<|" in data[offsets[i] : offsets[i + 1]].tobytes()] if b"<|" in data[offsets[0] : offsets[-1]].tobytes() else []
         if marked:
@@ -223,13 +224,14 @@ def _write(folder: str, tokenizer: str, end_id: int):
     return of
 
 
-def write_files(docs: DataFrame, tokenizer: str, folder: str, *, doc: str = "doc_id", text: str = "text", end_id: int = END_ID, file_bytes: int = FILE_BYTES) -> DataFrame:
+def write_files(docs: DataFrame, tokenizer: str, folder: str, *, doc: str = "doc_id", text: str = "text", end_id: int = END_ID, file_bytes: int = FILE_BYTES, keep_words: bool = True) -> DataFrame:
     """Writes the files into a folder (URI) and returns part, path, docs, ids of each, in document order by part."""
     rows = docs.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     n = tasks_for(docs.sparkSession, text_bytes(rows), file_bytes)
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
     dealt = rows.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    return written(dealt.mapInArrow(trimmed(_write(folder, tokenizer, end_id), trim_memory, _forget_words), "part int, path string, docs long, ids long"), "manifest")
+    of = trimmed(_write(folder, tokenizer, end_id), trim_memory, *([] if keep_words else [_forget_words]))
+    return written(dealt.mapInArrow(of, "part int, path string, docs long, ids long"), "manifest")
 
 
 def read_files(files: DataFrame) -> DataFrame:

@@ -105,3 +105,9 @@ def test_query(spark, plain):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     got = sorted((tuple(r) for r in QUERIES["op1_token_files"](spark, sf).collect()), key=lambda r: r[1])
     assert got == expected(plain, rows)
+
+
+def test_words_kept_or_not(spark, odd_docs):
+    docs = odd_docs.unionByName(odd_docs.withColumn("doc_id", odd_docs["doc_id"] + 100))
+    rows = [sorted(token_files.encoded(docs, word_tokenizer(), keep_words=keep, file_bytes=64).toPandas().astype(str).values.tolist()) for keep in (True, False)]
+    assert rows[0] == rows[1]

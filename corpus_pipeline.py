@@ -48,7 +48,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def as_token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return token_files.encoded(docs, word_tokenizer())
+    return token_files.encoded(docs, word_tokenizer(), keep_words=False)  # memory of idle workers counts here
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
